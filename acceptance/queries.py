@@ -64,7 +64,7 @@ def edge_values() -> Column:
         F.when(kind == 0, F.lit(None))
         .when(kind == 1, "")
         .when(kind == 2, "  ")
-        .when(kind == 3, " ")
+        .when(kind == 3, "\u00a0")
         .otherwise(F.col("c_name"))
     )
 

@@ -13,7 +13,7 @@ from maskwright.functions.keyed import (
     checked_key,
     keyed_hash,
 )
-from maskwright.plans.paths import Place, parse, quoted, read, value_of
+from maskwright.plans.paths import Place, Step, parse, quoted, read, value_of
 from maskwright.plans.settings import (
     require_name,
     require_some,
@@ -65,8 +65,16 @@ def _texts(place: Place) -> Column:
     """All values of a place as one flat array of strings, empty for none."""
     if not place.depth:
         return F.array(value_of(place).cast("string"))
-    texts = read(None, place.steps, lambda line: line[-1].cast("string"))
-    for layer in range(place.depth - 1):
+    *above, last = place.steps
+    if last.open:
+        texts = read(None, tuple(above), lambda line: _elements(line[-1], last))
+    else:
+        texts = read(None, place.steps, lambda line: line[-1].cast("string"))
+    for _ in range(place.depth - 1):
         # A null array among others would make the flat array null.
         texts = F.flatten(F.filter(texts, lambda inner: inner.isNotNull()))
     return F.coalesce(texts, F.array().cast("array<string>"))
+
+
+def _elements(node: Column, step: Step) -> Column:
+    return (F.map_values(node) if step.in_map else node).cast("array<string>")
