@@ -21,22 +21,21 @@ PORTION = 1 << 20
 
 
 class Crc32c:
-    """Holds the look-up tables; make one for each task and feed it batches."""
+    """Checksums of batches. Look-up tables are made when first needed and kept."""
 
     def __init__(self) -> None:
         register = np.left_shift(np.uint32(1), np.arange(32, dtype=np.uint32))
         for _ in range(8):
             odd = register & np.uint32(1)
             register = (register >> np.uint32(1)) ^ odd * np.uint32(POLYNOMIAL)
-        # _tables[k] moves a register past 2**k zero bytes.
+        # _bits[k] and _tables[k] move a register past 2**k zero bytes.
         self._bits = [register]
-        self._tables = [_half_tables(register)]
+        self._tables: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _table(self, power: int) -> tuple[np.ndarray, np.ndarray]:
         while len(self._tables) <= power:
-            bits = _look_up(self._tables[-1], self._bits[-1])
-            self._bits.append(bits)
-            self._tables.append(_half_tables(bits))
+            self._tables.append(_half_tables(self._bits[-1]))
+            self._bits.append(_look_up(self._tables[-1], self._bits[-1]))
         return self._tables[power]
 
     def _advance(self, register: np.ndarray, power: int) -> np.ndarray:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import sys
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -48,24 +48,26 @@ def crc32(text: Column) -> Column:
 
 
 def adler32_udf(depth: int = 0):
-    return _in_batches(lambda: _adler32, "<u4", depth)
+    return _in_batches(_adler32, "<u4", depth)
 
 
 def crc32c_udf(depth: int = 0):
-    return _in_batches(checksums.Crc32c, "<u4", depth)
+    return _in_batches(checksums.Crc32c(), "<u4", depth)
 
 
 def farm_fingerprint64_udf(depth: int = 0):
-    return _in_batches(lambda: farmhash.fingerprint64, "<u8", depth)
+    return _in_batches(farmhash.fingerprint64, "<u8", depth)
 
 
-def _in_batches(prepare: Callable[[], Digests], word: str, depth: int):
-    """An Arrow UDF for texts inside ``depth`` layers of arrays; null for null."""
+def _in_batches(digests: Digests, word: str, depth: int):
+    """An Arrow UDF for texts inside ``depth`` layers of arrays; null for null.
 
-    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        digests = prepare()
-        for batch in batches:
-            yield _hex(batch, digests, word)
+    It takes one array at a time, not an iterator of them: Spark runs all such
+    UDFs of a projection in one pass through Python.
+    """
+
+    def digest(batch: pa.Array) -> pa.Array:
+        return _hex(batch, digests, word)
 
     return F.arrow_udf(digest, "array<" * depth + "string" + ">" * depth)
 

@@ -150,7 +150,9 @@ def _apply(
             name = f"__digests_{len(helpers)}"
             helpers[name] = _digests(place, source, algorithm, key)
             replacements.append(Replacement(place, _pick(source), F.col(name)))
-    return df.withColumns(helpers).withColumns(replaced(replacements)).drop(*helpers)
+    if helpers:
+        df = df.withColumns(helpers)
+    return df.withColumns(replaced(replacements)).drop(*helpers)
 
 
 def _hash(source: Place, algorithm: Algorithm, key: str):

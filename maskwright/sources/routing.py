@@ -84,8 +84,9 @@ def split_files(
     parsed = reader.load(path).select(unit_column(folders).alias(UNIT), "*")
     fields = [F.col(quoted(field.name)) for field in schema.fields]
     # Spark converts only the fields a query uses, and finds only their errors.
-    # A hash of all fields is never null, but makes it convert them all.
-    failed = F.col(_CORRUPT).isNotNull() & F.xxhash64(*fields).isNotNull()
+    # This comparison always holds, but makes it convert all of them.
+    all_read = F.xxhash64(*fields) >= F.lit(-(2**63))
+    failed = F.col(_CORRUPT).isNotNull() & all_read
     return _route(parsed, failed, fields, read_lines(spark, path, folders=folders))
 
 

@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import pytest
+
+from maskwright import hash_fields, key_hash_dictionary
+from tests.fixtures import DIGESTS, KEY, SHA256_123_ADDRESS, VALUE
+
+SHA256 = DIGESTS["hash-sha256"]
+PAIRS = [(SHA256, VALUE), (SHA256_123_ADDRESS, "123 address")]
+
+
+@pytest.fixture
+def person(spark):
+    schema = "name string, address string, age int, state string, city string"
+    return spark.createDataFrame([(VALUE, "123 address", 35, "", "")], schema)
+
+
+def test_two_fields(person):
+    pairs = key_hash_dictionary(person, {"a": "/name", "b": "/address"}, key=KEY)
+    assert pairs.columns == ["hash", "plaintext"]
+    assert pairs.collect() == PAIRS
+
+
+def test_missing_path(person):
+    paths = {"a": "/name", "b": "/address", "c": "/foo"}
+    assert key_hash_dictionary(person, paths, key=KEY).collect() == PAIRS
+    nothing = key_hash_dictionary(person, {"c": "/foo"}, key=KEY)
+    assert nothing.columns == ["hash", "plaintext"] and nothing.collect() == []
+
+
+def test_labels_order_the_pairs(person):
+    pairs = key_hash_dictionary(person, {"z": "/name", "b": "./address"}, key=KEY)
+    assert pairs.collect() == PAIRS[::-1]
+
+
+@pytest.mark.parametrize("algorithm", ["sha256", "crc32", "crc32c"])
+def test_null_and_empty_values_are_dropped(spark, algorithm):
+    df = spark.createDataFrame([(None,), ("",), ("  ",), ("a",), ("a",)], "v string")
+    rows = key_hash_dictionary(df, {"v": "/v"}, key=KEY, algorithm=algorithm).collect()
+    assert [r.plaintext for r in rows] == ["  ", "a", "a"]
+    assert rows[0].hash == "  " and rows[1] == rows[2] and rows[1].hash != "a"
+
+
+def test_names(person):
+    pairs = key_hash_dictionary(
+        person, {"a": "/name"}, key=KEY, hash_name="to.ken", plaintext_name="clear text"
+    )
+    assert pairs.columns == ["to.ken", "clear text"] and pairs.collect() == PAIRS[:1]
+    for names in ({"hash_name": ""}, {"plaintext_name": None}, {"hash_name": "Plaintext"}):
+        with pytest.raises(ValueError):
+            key_hash_dictionary(person, {"a": "/name"}, key=KEY, **names)
+
+
+def test_many_fields(spark):
+    df = spark.createDataFrame(
+        [
+            (["a", None, "b"], {"k": "c"}, [(["d", ""], 5), (None, None), None], ("e", "f")),
+            (None, None, None, None),
+        ],
+        "l array<string>, m map<string,string>, n array<struct<x array<string>, y int>>, "
+        "s struct<p string, q string>",
+    )
+    paths = {"1": "/l[*]", "2": "/m[*]", "3": "/n[*]/x[*]", "4": "/n[*]/y", "5": "/s/*", "6": "/l[0]"}
+    pairs = key_hash_dictionary(df, paths, key=KEY)
+    assert [r.plaintext for r in pairs.collect()] == ["a", "b", "c", "d", "5", "e", "f", "a"]
+    with pytest.raises(ValueError, match="no plain text form"):
+        key_hash_dictionary(df, {"1": "/l"}, key=KEY)
+
+
+def test_numbers_and_attributes(person):
+    pairs = key_hash_dictionary(person, {"a": "/${f}"}, key=KEY, attributes={"f": "age"})
+    assert pairs.first().plaintext == "35"
+
+
+def test_settings_are_checked(person):
+    with pytest.raises(ValueError, match="At least one RecordPath"):
+        key_hash_dictionary(person, {}, key=KEY)
+    with pytest.raises(ValueError, match="key"):
+        key_hash_dictionary(person, {"a": "/name"}, key=None)
+
+
+def test_reference_crc32(person):
+    pairs = key_hash_dictionary(
+        person, {"a": "/name"}, key=KEY, algorithm="crc32", reference_crc32=True
+    )
+    assert pairs.first().hash == DIGESTS["hash-adler32"]
+
+
+def test_tokens_join_back_to_their_texts(spark):
+    df = spark.range(50).selectExpr("cast(id % 7 AS string) AS v")
+    words = key_hash_dictionary(df, {"v": "/v"}, key=KEY).dropDuplicates(["hash"])
+    hashed = hash_fields(df, {"/v": "/v"}, key=KEY)
+    back = hashed.join(words, hashed.v == words.hash).select("plaintext")
+    assert sorted(back.collect()) == sorted(df.collect())

@@ -1,0 +1,167 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from maskwright import ALGORITHMS, keyed_hash
+from maskwright.functions import digests
+from maskwright.functions.checksums import Crc32c
+from maskwright.functions.farmhash import fingerprint64
+from maskwright.functions.keyed import algorithm_named
+from tests.fixtures import DIGESTS, KEY, MORE_ALGORITHMS, MORE_DIGESTS, VALUE
+
+
+def token(spark, value, algorithm="sha256", key=KEY, **settings):
+    df = spark.createDataFrame([(value,)], "v string")
+    return df.select(keyed_hash("v", key, algorithm, **settings).alias("t")).first().t
+
+
+@pytest.mark.parametrize("algorithm", DIGESTS)
+def test_known_digests(spark, algorithm):
+    assert token(spark, VALUE, algorithm) == DIGESTS[algorithm]
+
+
+@pytest.mark.parametrize("value", MORE_DIGESTS, ids=["short", "accent", "long"])
+def test_more_digests(spark, value):
+    for algorithm, digest in zip(MORE_ALGORITHMS, MORE_DIGESTS[value]):
+        assert token(spark, value, algorithm) == digest
+
+
+def test_names():
+    for algorithm in ALGORITHMS:
+        short = algorithm.id.removeprefix("hash-")
+        for name in (algorithm.id, short, algorithm.display_name):
+            assert algorithm_named(name) is algorithm
+    assert algorithm_named(None).id == algorithm_named("").id == "hash-sha256"
+    with pytest.raises(ValueError, match="unknown hash algorithm"):
+        algorithm_named("md5")
+
+
+def test_reference_crc32_is_adler32(spark):
+    assert token(spark, VALUE, "hash-crc32") == DIGESTS["hash-crc32"]
+    assert token(spark, VALUE, "hash-crc32", reference_crc32=True) == DIGESTS["hash-adler32"]
+    assert token(spark, VALUE, "crc32c", reference_crc32=True) == DIGESTS["hash-crc32c"]
+
+
+@pytest.mark.parametrize("key", ["", None, 5])
+def test_key_is_required(key):
+    for algorithm in ALGORITHMS:
+        with pytest.raises(ValueError, match="key"):
+            keyed_hash(F.lit("v"), key, algorithm.id)
+
+
+@pytest.mark.parametrize("algorithm", ["sha256", "crc32", "adler32", "crc32c"])
+def test_blank_values_stay(spark, algorithm):
+    blanks = [
+        None,
+        "",
+        " ",
+        " \t\n\u000b\f\r\u001c\u001d\u001e\u001f",
+        "\u1680\u2000\u2006\u2008\u200a\u2028\u2029\u205f\u3000",
+    ]
+    not_blank = ["\u00a0", "\u2007", "\u202f", "\u200b", "\u0085", " a"]
+    df = spark.createDataFrame([(v,) for v in blanks + not_blank], "v string")
+    rows = df.select("v", keyed_hash("v", KEY, algorithm).alias("t")).collect()
+    assert [r.t for r in rows[: len(blanks)]] == blanks
+    assert all(r.t != r.v for r in rows[len(blanks) :])
+
+
+def test_java_agrees_on_what_is_blank(spark):
+    points = [p for p in range(1, 0x10000) if not 0xD800 <= p < 0xE000]
+    df = spark.createDataFrame([(p, chr(p)) for p in points], "p int, v string")
+    differ = df.where(
+        (keyed_hash("v", KEY) == F.col("v")) != F.col("v").rlike(r"\A\p{javaWhitespace}*\z")
+    )
+    assert differ.count() == 0
+
+
+def test_message_has_no_line_breaks(spark):
+    text = "long text, " * 50
+    message = KEY + text + base64.b64encode(text.encode()).decode()
+    assert token(spark, text) == hashlib.sha256(message.encode()).hexdigest()
+    assert token(spark, text, "sha384") == hashlib.sha384(message.encode()).hexdigest()
+    assert token(spark, text, "sha512") == hashlib.sha512(message.encode()).hexdigest()
+
+
+def test_other_types_hash_their_text(spark):
+    df = spark.sql("SELECT 12 AS i, true AS b, DATE'2020-02-03' AS d, 1.50 AS x, 1e10D AS f")
+    row = df.select(*[keyed_hash(c, KEY).alias(c) for c in df.columns]).first()
+    texts = {"i": "12", "b": "true", "d": "2020-02-03", "x": "1.50", "f": "1.0E10"}
+    for name, text in texts.items():
+        assert row[name] == token(spark, text)
+
+
+def texts():
+    source = random.Random(3)
+    letters = "abc \u00e9\u4e2d\U0001f600"
+    sizes = [*range(5, 200), *[source.randrange(200, 5000) for _ in range(60)], 40_000]
+    return ["k" + "".join(source.choice(letters) for _ in range(n)) for n in sizes]
+
+
+@pytest.mark.parametrize(
+    "name, digest",
+    [
+        ("adler32", digests.adler32_udf),
+        ("crc32", lambda: digests.crc32),
+        ("crc32c", digests.crc32c_udf),
+        ("farmHashFingerprint64", digests.farm_fingerprint64_udf),
+    ],
+)
+def test_an_independent_library_agrees(spark, name, digest):
+    values = texts()
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    hashing = getattr(spark._jvm.com.google.common.hash.Hashing, name)()
+    utf8 = spark._jvm.java.nio.charset.StandardCharsets.UTF_8
+    for row in df.select("i", digest()(F.col("v")).alias("h")).collect():
+        assert row.h == hashing.hashString(values[row.i], utf8).toString()
+
+
+@pytest.mark.parametrize("name", ["farm", "crc"])
+def test_a_batch_equals_its_messages_alone(name):
+    messages = [t.encode() for t in texts()] * 3
+    random.Random(5).shuffle(messages)
+    digest = fingerprint64 if name == "farm" else Crc32c()
+    size = np.array([len(m) for m in messages])
+    together = digest(np.frombuffer(b"".join(messages), np.uint8), np.cumsum(size) - size, size)
+    for message, found in zip(messages, together):
+        alone = np.frombuffer(message, np.uint8)
+        assert digest(alone, np.array([0]), np.array([len(message)]))[0] == found
+
+
+def test_portions_do_not_change_checksums(monkeypatch):
+    messages = [t.encode() for t in texts()]
+    size = np.array([len(m) for m in messages])
+    data = np.frombuffer(b"".join(messages), np.uint8)
+    whole = Crc32c()(data, np.cumsum(size) - size, size)
+    monkeypatch.setattr("maskwright.functions.checksums.PORTION", 1000)
+    assert (Crc32c()(data, np.cumsum(size) - size, size) == whole).all()
+
+
+@pytest.mark.parametrize("algorithm", ["crc32c", "farmHashFingerprint64", "adler32"])
+def test_nulls_and_empty_batches(spark, algorithm):
+    df = spark.range(0, 50, 1, 3).select(
+        F.when(F.col("id") % 7 == 0, F.col("id").cast("string")).alias("v")
+    )
+    rows = df.select("v", keyed_hash("v", KEY, algorithm).alias("t")).collect()
+    assert all((r.v is None) == (r.t is None) for r in rows)
+    assert df.where("v = 'none'").select(keyed_hash("v", KEY, algorithm)).collect() == []
+
+
+def test_tokens_do_not_depend_on_partitioning(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("v"))
+    for algorithm in ("sha256", "crc32c", "farmHashFingerprint64"):
+        one = df.coalesce(1).select("v", keyed_hash("v", KEY, algorithm).alias("t"))
+        many = df.repartition(13).select("v", keyed_hash("v", KEY, algorithm).alias("t"))
+        assert sorted(one.collect()) == sorted(many.collect())
+
+
+def test_a_constant_token_folds(spark):
+    df = spark.createDataFrame([(DIGESTS["hash-sha256"],)], "t string")
+    found = df.where(F.col("t") == keyed_hash(F.lit(VALUE), KEY))
+    assert found.count() == 1
+    assert "sha2" not in found._jdf.queryExecution().optimizedPlan().toString()
