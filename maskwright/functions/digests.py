@@ -24,6 +24,9 @@ from maskwright.functions import checksums, farmhash
 for _module in (__name__, checksums.__name__, farmhash.__name__):
     cloudpickle.register_pickle_by_value(sys.modules[_module])
 
+# The lower hex digit of each of four bytes.
+LOW_DIGITS = 0x0F0F0F0F
+
 # Digests of the messages data[start:start + size], as one array of integers.
 Digests = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
@@ -41,10 +44,13 @@ def sha512(text: Column) -> Column:
 
 
 def crc32(text: Column) -> Column:
-    digits = F.lpad(F.hex(F.crc32(text.cast("binary"))), 8, "0")
-    # Reverses the bytes. The checksum appears once in this, so it is computed
-    # once for each value, also inside a CASE branch.
-    return F.lower(F.regexp_replace(digits, "(..)(..)(..)(..)", "$4$3$2$1"))
+    value = F.crc32(text.cast("binary"))
+    # Swapping the two digits of each byte and then the order of all digits
+    # reverses the bytes.
+    swapped = F.shiftleft(value.bitwiseAND(LOW_DIGITS), 4).bitwiseOR(
+        F.shiftright(value, 4).bitwiseAND(LOW_DIGITS)
+    )
+    return F.lower(F.reverse(F.lpad(F.hex(swapped), 8, "0")))
 
 
 def adler32_udf(depth: int = 0):

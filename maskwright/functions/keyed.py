@@ -86,12 +86,14 @@ def keyed_hash(
     """
     chosen = algorithm_named(algorithm, reference_crc32=reference_crc32)
     text = as_column(value).cast("string")
-    if chosen.native:
-        digest = chosen.native(message(checked_key(key), text))
-        return F.when(is_blank(text), text).otherwise(digest)
-    return F.coalesce(chosen.udf()(message_to_digest(text, key)), text)
+    digest = chosen.native or chosen.udf()
+    return F.coalesce(digest(message_to_digest(text, key)), text)
 
 
 def message_to_digest(text: Column, key: str) -> Column:
-    """The message of a text, and null where the text stands for itself."""
+    """The message of a text, and null where the text stands for itself.
+
+    A digest of it is part of every row's evaluation, not of a CASE branch, so
+    Spark computes what it names twice only once.
+    """
     return F.when(~is_blank(text), message(checked_key(key), text))

@@ -6,37 +6,38 @@ import re
 
 from pyspark.sql import SparkSession
 
+from maskwright.functions.digests import LOW_DIGITS
 from maskwright.functions.keyed import ALGORITHMS, checked_key
 from maskwright.functions.message import BLANK_CHARACTERS
 
+_CRC32 = "crc32(CAST({0} AS BINARY))"
+_DIGESTS = {
+    "hash-sha256": "sha2({0}, 256)",
+    "hash-sha384": "sha2({0}, 384)",
+    "hash-sha512": "sha2({0}, 512)",
+    "hash-crc32": (
+        f"lower(reverse(lpad(hex(shiftleft({_CRC32} & {LOW_DIGITS}, 4) | "
+        f"(shiftright({_CRC32}, 4) & {LOW_DIGITS})), 8, '0')))"
+    ),
+}
 _REDACTION = "spark.sql.redaction.string.regex"
 
 
 def register_sql_functions(spark: SparkSession, key: str) -> list[str]:
     """Temporary SQL functions ``keyed_sha256(value)`` and so on, with the key built in."""
     blank = f"trim(LEADING {_literal(BLANK_CHARACTERS)} FROM value) = ''"
-    encoded = r"replace(base64(CAST(value AS BINARY)), concat(chr(13), chr(10)), '')"
+    encoded = "replace(base64(CAST(value AS BINARY)), concat(chr(13), chr(10)), '')"
     message = f"concat({_literal(checked_key(key))}, value, {encoded})"
-    bodies = {
-        "hash-sha256": f"sha2({message}, 256)",
-        "hash-sha384": f"sha2({message}, 384)",
-        "hash-sha512": f"sha2({message}, 512)",
-        "hash-crc32": (
-            f"lower(regexp_replace(lpad(hex(crc32(CAST({message} AS BINARY))), 8, '0'), "
-            "'(..)(..)(..)(..)', '$4$3$2$1'))"
-        ),
-    }
+    guarded = f"CASE WHEN NOT ({blank}) THEN {message} END"
     names = []
     for algorithm in ALGORITHMS:
         name = "keyed_" + algorithm.id.removeprefix("hash-").lower()
-        if algorithm.native:
-            body = f"CASE WHEN {blank} THEN value ELSE {bodies[algorithm.id]} END"
-        else:
+        if algorithm.udf:
             spark.udf.register(f"{name}_digest", algorithm.udf())
-            body = f"coalesce({name}_digest(CASE WHEN NOT ({blank}) THEN {message} END), value)"
+        digest = _DIGESTS.get(algorithm.id, f"{name}_digest({{0}})").format(guarded)
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) "
-            f"RETURNS STRING RETURN {body}"
+            f"RETURNS STRING RETURN coalesce({digest}, value)"
         )
         names.append(name)
     return names
