@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from maskwright.plans.paths import quoted, same_name
 
 UNIT = "unit"
+RECORDS = "records"
 
 
 def read_records(
@@ -93,7 +94,7 @@ def _conformed(value: Column, own: T.DataType, target: T.DataType) -> Column:
     return value.cast(target)
 
 
-def with_record_count(df: DataFrame, name: str = "records") -> tuple[DataFrame, Observation]:
+def with_record_count(df: DataFrame, name: str = RECORDS) -> tuple[DataFrame, Observation]:
     """The table and an observation of its ``record_count``, filled by the first action."""
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias("record_count")), observation

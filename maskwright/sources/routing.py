@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.plans.paths import quoted
 from maskwright.sources.records import UNIT
 from maskwright.sources.scratch import shared_folder
 
@@ -29,10 +28,12 @@ BROADCAST_UNITS = 20_000
 
 @dataclass(frozen=True)
 class Routed:
-    """``success``: the records of good units, with their unit. ``failure``: the
-    raw lines of failed units. ``failed_units``: how many of those there are."""
+    """``success``: the records of good units, with their unit; ``records``: the
+    same without it. ``failure``: the raw lines of failed units, with their unit.
+    ``failed_units``: how many of those there are."""
 
     success: DataFrame
+    records: DataFrame
     failure: DataFrame
     failed_units: int
 
@@ -65,8 +66,7 @@ def split_by_unit(
     """Split lines of JSON or CSV records into those of good and of failed units."""
     record = _parse(fmt, _with_corrupt(schema), _permissive(options))
     parsed = lines.where(F.trim(LINE) != "").withColumn(_RECORD, record)
-    fields = [F.col(_RECORD)[field.name].alias(field.name) for field in schema.fields]
-    return _route(parsed, F.col(_RECORD)[_CORRUPT].isNotNull(), fields, lines)
+    return _route(parsed, F.lit(True), schema, lines)
 
 
 def split_files(
@@ -81,22 +81,23 @@ def split_files(
     """The same for files whose records are not their lines: CSV with a header,
     JSON over several lines, XML."""
     reader = spark.read.format(fmt).schema(_with_corrupt(schema)).options(**_permissive(options))
-    parsed = reader.load(path).select(unit_column(folders).alias(UNIT), "*")
-    fields = [F.col(quoted(field.name)) for field in schema.fields]
+    parsed = reader.load(path).select(unit_column(folders).alias(UNIT), F.struct("*").alias(_RECORD))
     # Spark converts only the fields a query uses, and finds only their errors.
     # This comparison always holds, but makes it convert all of them.
-    all_read = F.xxhash64(*fields) >= F.lit(-(2**63))
-    failed = F.col(_CORRUPT).isNotNull() & all_read
-    return _route(parsed, failed, fields, read_lines(spark, path, folders=folders))
+    all_read = F.xxhash64(*_fields(schema)) >= F.lit(-(2**63))
+    return _route(parsed, all_read, schema, read_lines(spark, path, folders=folders))
 
 
-def _route(parsed: DataFrame, failed: Column, fields: list[Column], lines: DataFrame) -> Routed:
+def _route(
+    parsed: DataFrame, all_read: Column, schema: T.StructType, lines: DataFrame
+) -> Routed:
     """A first job finds the failed units. Each task reduces its lines to one flag
     for each unit before anything is shuffled, so one huge file is no hot spot.
     What it finds is written to the checkpoint folder and decides the plan: no
     join without failed units, a broadcast of few, a shuffled join of many.
     """
     shared_folder(lines.sparkSession)
+    failed = F.col(_RECORD)[_CORRUPT].isNotNull() & all_read
     bad = (
         parsed.groupBy(UNIT)
         .agg(F.max(failed).alias("failed"))
@@ -105,14 +106,17 @@ def _route(parsed: DataFrame, failed: Column, fields: list[Column], lines: DataF
         .checkpoint()
     )
     count = bad.count()
-    if not count:
-        return Routed(parsed.select(UNIT, *fields), lines.where(F.lit(False)), 0)
-    bad = F.broadcast(bad) if count <= BROADCAST_UNITS else bad
-    return Routed(
-        parsed.join(bad, UNIT, "left_anti").select(UNIT, *fields),
-        lines.join(bad, UNIT, "left_semi"),
-        count,
-    )
+    if count:
+        bad = F.broadcast(bad) if count <= BROADCAST_UNITS else bad
+        good, failure = parsed.join(bad, UNIT, "left_anti"), lines.join(bad, UNIT, "left_semi")
+    else:
+        good, failure = parsed, lines.where(F.lit(False))
+    fields = _fields(schema)
+    return Routed(good.select(UNIT, *fields), good.select(*fields), failure, count)
+
+
+def _fields(schema: T.StructType) -> list[Column]:
+    return [F.col(_RECORD)[field.name].alias(field.name) for field in schema.fields]
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:

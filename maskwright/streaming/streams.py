@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from maskwright.sources.records import UNIT
+from maskwright.sources.records import RECORDS, UNIT
 from maskwright.sources.routing import LINE, split_by_unit, unit_column
 
 
@@ -54,8 +54,12 @@ def start_writing(
     available_now: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
-    """Append the stream to files. ``available_now`` stops when the input is used up."""
-    writer = df.writeStream.format(fmt).outputMode("append").options(**(options or {}))
+    """Append the stream to files. ``available_now`` stops when the input is used up.
+
+    The progress of each batch has its ``record_count``, under ``observedMetrics``.
+    """
+    counted = df.observe(RECORDS, F.count(F.lit(1)).alias("record_count"))
+    writer = counted.writeStream.format(fmt).outputMode("append").options(**(options or {}))
     writer = writer.option("checkpointLocation", checkpoint).option("path", path)
     return _triggered(writer, available_now).start()
 

@@ -98,6 +98,16 @@ def test_records_over_several_lines(spark, tmp_path):
     assert outcome(routed) == ([1, 2], lines_of(files, "type.json", "cut.json"))
 
 
+def test_a_field_may_be_named_unit(spark, tmp_path):
+    schema = T.StructType().add("unit", "string").add("line", "string")
+    folder = put(tmp_path / "u", {"a.json": '{"unit":"m","line":"x"}\n'})
+    for routed in (
+        split_by_unit(read_lines(spark, folder), "json", schema),
+        split_files(spark, folder, "json", schema),
+    ):
+        assert routed.records.collect() == [("m", "x")]
+
+
 def test_settings_are_checked(spark, tmp_path):
     lines = read_lines(spark, put(tmp_path / "s", JSON))
     with pytest.raises(ValueError, match="schema"):
@@ -120,13 +130,14 @@ def test_stream_of_records(spark, tmp_path):
             hashed(records), out, "parquet", checkpoint=checkpoint, available_now=True
         )
         query.awaitTermination()
-        return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        metrics = [p["observedMetrics"] for p in query.recentProgress]
+        return [m["records"]["record_count"] for m in metrics if m]
 
-    run()
+    assert run() == [2]
     assert spark.read.parquet(out).count() == 2
     for name in ("b.json", "c.json"):
         (tmp_path / "in" / name).write_text('{"id":9,"name":"x"}\n')
-    assert len(run()) == 2
+    assert run() == [1, 1]
     batch = hashed(spark.read.schema(SCHEMA).json(source))
     assert sorted(spark.read.parquet(out).drop("unit").collect(), key=str) == sorted(
         batch.collect(), key=str
