@@ -1,7 +1,7 @@
 """Keyed hashing of fields in Spark tables and streams."""
 
 from maskwright.functions import ALGORITHMS, DEFAULT_ALGORITHM, keyed_hash
-from maskwright.functions.sql import hide_key, register_sql_functions
+from maskwright.functions.sql import hide_keys, register_sql_functions
 from maskwright.operators import (
     hash_fields,
     hash_lookup,
@@ -17,7 +17,7 @@ __all__ = [
     "hash_fields",
     "hash_lookup",
     "hash_lookup_map",
-    "hide_key",
+    "hide_keys",
     "key_hash_dictionary",
     "keyed_hash",
     "nest_fields",

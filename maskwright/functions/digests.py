@@ -31,20 +31,20 @@ LOW_DIGITS = 0x0F0F0F0F
 Digests = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def sha256(text: Column) -> Column:
-    return F.sha2(text, 256)
+def sha256(message: Column) -> Column:
+    return F.sha2(message, 256)
 
 
-def sha384(text: Column) -> Column:
-    return F.sha2(text, 384)
+def sha384(message: Column) -> Column:
+    return F.sha2(message, 384)
 
 
-def sha512(text: Column) -> Column:
-    return F.sha2(text, 512)
+def sha512(message: Column) -> Column:
+    return F.sha2(message, 512)
 
 
-def crc32(text: Column) -> Column:
-    value = F.crc32(text.cast("binary"))
+def crc32(message: Column) -> Column:
+    value = F.crc32(message)
     # Swapping the two digits of each byte and then the order of all digits
     # reverses the bytes.
     swapped = F.shiftleft(value.bitwiseAND(LOW_DIGITS), 4).bitwiseOR(
@@ -66,7 +66,7 @@ def farm_fingerprint64_udf(depth: int = 0):
 
 
 def _in_batches(digests: Digests, word: str, depth: int):
-    """An Arrow UDF for texts inside ``depth`` layers of arrays; null for null.
+    """An Arrow UDF for messages inside ``depth`` layers of arrays; null for null.
 
     It takes one array at a time, not an iterator of them: Spark runs all such
     UDFs of a projection in one pass through Python.
@@ -84,16 +84,16 @@ def _adler32(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return np.array([zlib.adler32(view[a:b]) for a, b in bounds], np.uint32)
 
 
-def _hex(texts: pa.Array, digests: Digests, word: str) -> pa.Array:
-    if pa.types.is_list(texts.type) or pa.types.is_large_list(texts.type):
-        sizes = texts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+def _hex(messages: pa.Array, digests: Digests, word: str) -> pa.Array:
+    if pa.types.is_list(messages.type) or pa.types.is_large_list(messages.type):
+        sizes = messages.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        inner = _hex(texts.flatten(), digests, word)
-        return pa.ListArray.from_arrays(pa.array(bounds), inner, mask=texts.is_null())
+        inner = _hex(messages.flatten(), digests, word)
+        return pa.ListArray.from_arrays(pa.array(bounds), inner, mask=messages.is_null())
 
-    present = texts.drop_null().cast(pa.large_binary())
+    present = messages.drop_null().cast(pa.large_binary())
     if not len(present):
-        return pa.nulls(len(texts), pa.string())
+        return pa.nulls(len(messages), pa.string())
     _, offsets, content = present.buffers()
     bounds = np.frombuffer(offsets, "<i8")[present.offset : present.offset + len(present) + 1]
     data = np.frombuffer(content, np.uint8)[bounds[0] : bounds[-1]]
@@ -103,7 +103,7 @@ def _hex(texts: pa.Array, digests: Digests, word: str) -> pa.Array:
     out = pa.StringArray.from_buffers(
         len(found), pa.py_buffer(ends), pa.py_buffer(found.tobytes().hex().encode())
     )
-    if not texts.null_count:
+    if not messages.null_count:
         return out
-    valid = texts.is_valid().to_numpy(zero_copy_only=False)
+    valid = messages.is_valid().to_numpy(zero_copy_only=False)
     return out.take(pa.array(np.cumsum(valid) - 1, mask=~valid))

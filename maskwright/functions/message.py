@@ -1,4 +1,4 @@
-"""The text that is digested for a value, and the blank test that guards it."""
+"""The bytes that are digested for a value, and the blank test that guards it."""
 
 from __future__ import annotations
 
@@ -24,11 +24,13 @@ def is_blank(text: Column) -> Column:
 
 
 def message(key: str, text: Column) -> Column:
-    """``key || text || base64(text)``, with no line breaks in the base64 part.
+    """The bytes of ``key || text || base64(text)``, with no line breaks in base64.
 
     Spark's ``base64`` breaks lines after 76 characters, so they are taken out
     again; ``replace`` leaves an unbroken text as it is and is several times
-    faster than ``translate`` on a long one.
+    faster than ``translate`` on a long one. The key is a binary constant, which
+    plans print as hexadecimal digits that ``hide_keys`` can recognise.
     """
-    encoded = F.replace(F.base64(text.cast("binary")), F.lit("\r\n"), F.lit(""))
-    return F.concat(F.lit(key), text, encoded)
+    octets = text.cast("binary")
+    encoded = F.replace(F.base64(octets), F.lit("\r\n"), F.lit(""))
+    return F.concat(F.lit(key.encode()), octets, encoded.cast("binary"))

@@ -1,33 +1,33 @@
-"""The keyed hash for Spark SQL, and keeping its key out of sight."""
+"""The keyed hash for Spark SQL, and keeping keys out of sight."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
 from maskwright.functions.digests import LOW_DIGITS
 from maskwright.functions.keyed import ALGORITHMS, checked_key
 from maskwright.functions.message import BLANK_CHARACTERS
 
-_CRC32 = "crc32(CAST({0} AS BINARY))"
 _DIGESTS = {
     "hash-sha256": "sha2({0}, 256)",
     "hash-sha384": "sha2({0}, 384)",
     "hash-sha512": "sha2({0}, 512)",
     "hash-crc32": (
-        f"lower(reverse(lpad(hex(shiftleft({_CRC32} & {LOW_DIGITS}, 4) | "
-        f"(shiftright({_CRC32}, 4) & {LOW_DIGITS})), 8, '0')))"
+        f"lower(reverse(lpad(hex(shiftleft(crc32({{0}}) & {LOW_DIGITS}, 4) | "
+        f"(shiftright(crc32({{0}}), 4) & {LOW_DIGITS})), 8, '0')))"
     ),
 }
 _REDACTION = "spark.sql.redaction.string.regex"
+_BINARY_CONSTANT = "0x[0-9A-F]+"
 
 
 def register_sql_functions(spark: SparkSession, key: str) -> list[str]:
     """Temporary SQL functions ``keyed_sha256(value)`` and so on, with the key built in."""
-    blank = f"trim(LEADING {_literal(BLANK_CHARACTERS)} FROM value) = ''"
+    blank = f"trim(LEADING decode({_octets(BLANK_CHARACTERS)}, 'UTF-8') FROM value) = ''"
     encoded = "replace(base64(CAST(value AS BINARY)), concat(chr(13), chr(10)), '')"
-    message = f"concat({_literal(checked_key(key))}, value, {encoded})"
+    message = (
+        f"concat({_octets(checked_key(key))}, CAST(value AS BINARY), CAST({encoded} AS BINARY))"
+    )
     guarded = f"CASE WHEN NOT ({blank}) THEN {message} END"
     names = []
     for algorithm in ALGORITHMS:
@@ -43,16 +43,20 @@ def register_sql_functions(spark: SparkSession, key: str) -> list[str]:
     return names
 
 
-def _literal(text: str) -> str:
-    """A constant string expression that needs no quoting."""
-    return f"decode(X'{text.encode().hex()}', 'UTF-8')"
+def _octets(text: str) -> str:
+    """A binary constant, which needs no quoting."""
+    return f"X'{text.encode().hex()}'"
+
 
+def hide_keys(spark: SparkSession) -> None:
+    """Keep keys, and all other binary constants, out of plans as Spark prints them.
 
-def hide_key(spark: SparkSession, key: str) -> None:
-    """Keep the key out of plans as ``explain`` and the UI print them."""
+    This holds for ``explain`` and for plan descriptions in the UI and the event
+    log, and the setting itself gives nothing away. It does not hold for the node
+    labels of the UI's plan graph, which Spark never redacts.
+    """
     present = spark.conf.get(_REDACTION, None)
-    pattern = re.sub(r"([^A-Za-z0-9])", r"\\\1", checked_key(key))
     if not present:
-        spark.conf.set(_REDACTION, pattern)
-    elif pattern not in present.split("|"):
-        spark.conf.set(_REDACTION, f"{present}|{pattern}")
+        spark.conf.set(_REDACTION, _BINARY_CONSTANT)
+    elif _BINARY_CONSTANT not in present.split("|"):
+        spark.conf.set(_REDACTION, f"{present}|{_BINARY_CONSTANT}")
