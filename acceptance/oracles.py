@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from acceptance.digests_sql import (
+    fingerprint64_to_64_bytes,
+    fingerprint64_to_128_bytes,
+    sha384,
+    sha512,
+)
 from acceptance.settings import ATTRIBUTES, KEY, SEED
 from maskwright.sources.members import FIRST_NAMES, LAST_NAMES
 
@@ -91,6 +97,14 @@ ORDER_LINE = (
     """'{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}'"""
 )
 
+
+
+def hashed(table: str, id: str, value: str, digest) -> str:
+    """A column of a table hashed by one of the digests written as queries."""
+    source = digest(f"SELECT {id}, {value} AS v, encode({message(value)}) AS m FROM {table}")
+    return f"SELECT {id}, {guarded('v', 'digest')} AS {value} FROM ({source})"
+
+
 ORACLES = {
     "keyed_sha256": f"SELECT c_custkey, {sha256('c_name')} AS c_name FROM customer",
     "long_text": f"SELECT doc_id, {sha256('text')} AS text FROM documents",
@@ -100,6 +114,12 @@ ORACLES = {
     "crc32c": f"SELECT p_partkey, {crc('p_name', 0x82F63B78)} AS p_name FROM part",
     "adler32": f"SELECT p_partkey, {adler32('p_name')} AS p_name FROM part",
     "crc32_reference_dispatch": f"SELECT p_partkey, {adler32('p_name')} AS p_name FROM part",
+    "sha384": hashed("part", "p_partkey", "p_name", sha384),
+    "sha512": hashed("part", "p_partkey", "p_name", sha512),
+    "farm_fingerprint64": hashed("part", "p_partkey", "p_name", fingerprint64_to_64_bytes),
+    "farm_fingerprint64_names": hashed(
+        "customer", "c_custkey", "c_name", fingerprint64_to_128_bytes
+    ),
     "adler32_blank_guard": f"SELECT c_custkey, {adler32('v')} AS v "
     f"FROM (SELECT c_custkey, {EDGE} AS v FROM customer)",
     "multi_in_place": f"SELECT c_custkey, {sha256('c_name')} AS c_name, c_nationkey, c_acctbal, "

@@ -131,6 +131,13 @@ def farm_fingerprint64(spark, folder):
     return hashed_part(spark, folder, "hash-farmHashFingerprint64")
 
 
+@query
+def farm_fingerprint64_names(spark, folder):
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name")
+    algorithm = "hash-farmHashFingerprint64"
+    return hash_fields(customer, {"/c_name": "/c_name"}, key=KEY, algorithm=algorithm)
+
+
 @query
 def farm_fingerprint64_long_text(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
