@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,24 +48,36 @@ def key_hash_dictionary(
         raise ValueError("hash_name and plaintext_name must differ")
     chosen = algorithm_named(algorithm, reference_crc32=reference_crc32)
 
-    values = []
+    places = []
     for label in sorted(paths):
         path = parse(with_attributes(paths[label], attributes))
-        places = [place for place in path.places(df.schema) if place.exists]
-        values += [_texts(require_text_form(place, path)) for place in places]
-    if not values:
-        values = [F.array().cast("array<string>")]
+        found = [place for place in path.places(df.schema) if place.exists]
+        places += [require_text_form(place, path) for place in found]
 
     plaintext = F.col(quoted(plaintext_name))
-    pairs = df.select(F.explode(F.concat(*values)).alias(plaintext_name))
+    pairs = df.select(F.explode(_texts(places)).alias(plaintext_name))
     pairs = pairs.where(plaintext.isNotNull() & (plaintext != ""))
     return pairs.select(keyed_hash(plaintext, key, chosen.id).alias(hash_name), plaintext)
 
 
-def _texts(place: Place) -> Column:
-    """All values of a place as one flat array of strings, empty for none."""
-    if not place.depth:
-        return F.array(value_of(place).cast("string"))
+def _texts(places: list[Place]) -> Column:
+    """All values of the places as one flat array of strings, empty for none."""
+    arrays = []
+    for many, group in groupby(places, lambda place: place.depth > 0):
+        if many:
+            arrays += [_flat_texts(place) for place in group]
+        else:
+            arrays.append(F.array(*[value_of(place).cast("string") for place in group]))
+    if not arrays:
+        return _no_texts()
+    return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+
+
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _flat_texts(place: Place) -> Column:
     *above, last = place.steps
     if last.open:
         texts = read(None, tuple(above), lambda line: _elements(line[-1], last))
@@ -73,7 +86,7 @@ def _texts(place: Place) -> Column:
     for _ in range(place.depth - 1):
         # A null array among others would make the flat array null.
         texts = F.flatten(F.filter(texts, lambda inner: inner.isNotNull()))
-    return F.coalesce(texts, F.array().cast("array<string>"))
+    return F.coalesce(texts, _no_texts())
 
 
 def _elements(node: Column, step: Step) -> Column:

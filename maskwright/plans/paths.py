@@ -116,8 +116,9 @@ class Path:
             places = [root_of(schema)]
         else:
             places = [Place(at.steps, at.types, len(at.steps))]
+        folded = name_folding()
         for move, name in self.moves:
-            places = [found for place in places for found in _MOVES[move](place, name)]
+            places = [found for place in places for found in _MOVES[move](place, name, folded)]
         return places
 
 
@@ -161,52 +162,58 @@ def _unquoted(text: str) -> str:
     return text[1:-1] if text[0] in "'\"" else text
 
 
-def same_name(left: str, right: str) -> bool:
-    """Whether two column names are one and the same for the running session."""
+def name_folding() -> Callable[[str], str]:
+    """What to compare column names by: themselves, or their lower case forms."""
     session = SparkSession.getActiveSession()
-    if session and session.conf.get("spark.sql.caseSensitive", "false") == "true":
-        return left == right
-    return left.lower() == right.lower()
+    exact = session and session.conf.get("spark.sql.caseSensitive", "false") == "true"
+    return str if exact else str.lower
 
 
-def _child(place: Place, name: str) -> list[Place]:
+def field_named(
+    schema: T.StructType, name: str, folded: Callable[[str], str]
+) -> T.StructField | None:
+    wanted = folded(name)
+    return next((field for field in schema.fields if folded(field.name) == wanted), None)
+
+
+def _child(place: Place, name: str, folded: Callable[[str], str]) -> list[Place]:
     if not isinstance(place.type, T.StructType):
         return []
-    for field in place.type.fields:
-        if same_name(field.name, name):
-            return [place.down(Step("field", field.name), field.dataType)]
-    return [place.down(Step("field", name), None)]
+    field = field_named(place.type, name, folded)
+    if field is None:
+        return [place.down(Step("field", name), None)]
+    return [place.down(Step("field", field.name), field.dataType)]
 
 
-def _any(place: Place, _=None) -> list[Place]:
+def _any(place: Place, *_) -> list[Place]:
     if not isinstance(place.type, T.StructType):
         return []
     return [place.down(Step("field", f.name), f.dataType) for f in place.type.fields]
 
 
-def _descend(place: Place, name: str | None) -> list[Place]:
+def _descend(place: Place, name: str | None, folded: Callable[[str], str]) -> list[Place]:
     found = []
     for child in _any(place):
-        if name is None or same_name(child.name, name):
+        if name is None or folded(child.name) == folded(name):
             found.append(child)
-        found.extend(_descend(child, name))
+        found.extend(_descend(child, name, folded))
     if isinstance(place.type, (T.ArrayType, T.MapType)):
         for element in _subscripted(place, None):
-            found.extend(_descend(element, name))
+            found.extend(_descend(element, name, folded))
     return found
 
 
-def _subscripted(place: Place, subscript: str | int | None) -> list[Place]:
+def _subscripted(place: Place, subscript: str | int | None, *_) -> list[Place]:
     if isinstance(place.type, T.ArrayType) and not isinstance(subscript, str):
         step = Step("each") if subscript is None else Step("index", subscript)
         return [place.down(step, place.type.elementType)]
     if isinstance(place.type, T.MapType) and not isinstance(subscript, int):
-        in_map = Step("each", in_map=True) if subscript is None else Step("key", subscript, True)
-        return [place.down(in_map, place.type.valueType)]
+        step = Step("each", None, True) if subscript is None else Step("key", subscript, True)
+        return [place.down(step, place.type.valueType)]
     return []
 
 
-def _parent(place: Place, _=None) -> list[Place]:
+def _parent(place: Place, *_) -> list[Place]:
     return [] if place.is_root else [place.up()]
 
 

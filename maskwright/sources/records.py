@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.plans.paths import quoted, same_name
+from maskwright.plans.paths import field_named, name_folding, quoted
 
 UNIT = "unit"
 RECORDS = "records"
@@ -58,38 +58,41 @@ def conform(df: DataFrame, target: T.StructType, *, keep_extra: bool = False) ->
     can still be computed from those before a last ``conform`` drops them.
     Structs, also those in arrays, are matched field by field by name.
     """
-    columns = [
-        _conformed(F.col(quoted(own.name)), own.dataType, field.dataType).alias(field.name)
-        if (own := _field(df.schema, field.name))
-        else F.lit(None).cast(field.dataType).alias(field.name)
-        for field in target.fields
-    ]
+    folded = name_folding()
+    columns = []
+    for field in target.fields:
+        own = field_named(df.schema, field.name, folded)
+        value = own and _conformed(F.col(quoted(own.name)), own.dataType, field.dataType, folded)
+        columns.append(_or_null(value, field))
     if keep_extra:
-        columns += [F.col(quoted(n)) for n in df.columns if not _field(target, n)]
+        extra = [name for name in df.columns if not field_named(target, name, folded)]
+        columns += [F.col(quoted(name)) for name in extra]
     return df.select(*columns)
 
 
-def _field(schema: T.StructType, name: str) -> T.StructField | None:
-    return next((field for field in schema.fields if same_name(field.name, name)), None)
+def _or_null(value: Column | None, field: T.StructField) -> Column:
+    missing = value is None
+    return (F.lit(None).cast(field.dataType) if missing else value).alias(field.name)
 
 
-def _conformed(value: Column, own: T.DataType, target: T.DataType) -> Column:
+def _conformed(
+    value: Column, own: T.DataType, target: T.DataType, folded: Callable[[str], str]
+) -> Column:
     if own == target:
         return value
     if isinstance(own, T.StructType) and isinstance(target, T.StructType):
         fields = []
         for field in target.fields:
-            match = _field(own, field.name)
-            new = (
-                _conformed(value.getField(match.name), match.dataType, field.dataType)
-                if match
-                else F.lit(None).cast(field.dataType)
+            match = field_named(own, field.name, folded)
+            inner = match and _conformed(
+                value.getField(match.name), match.dataType, field.dataType, folded
             )
-            fields.append(new.alias(field.name))
+            fields.append(_or_null(inner, field))
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(own, T.ArrayType) and isinstance(target, T.ArrayType):
         return F.transform(
-            value, lambda element: _conformed(element, own.elementType, target.elementType)
+            value,
+            lambda element: _conformed(element, own.elementType, target.elementType, folded),
         )
     return value.cast(target)
 
