@@ -43,10 +43,12 @@ class Crc32c:
 
     def __call__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Checksums of ``data[start:start + size]``; every size is at least 4."""
-        found = [
-            self._together(data[start[a] : start[b - 1] + size[b - 1]], start[a:b] - start[a], size[a:b])
-            for a, b in _portions(start)
-        ]
+        found = []
+        for first, end in _portions(start):
+            begin, stop = start[first], start[end - 1] + size[end - 1]
+            found.append(
+                self._together(data[begin:stop], start[first:end] - begin, size[first:end])
+            )
         return np.concatenate(found) if found else np.zeros(0, np.uint32)
 
     def _together(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:

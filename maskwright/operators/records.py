@@ -53,9 +53,8 @@ def hash_fields(
         updates = _updates(df.schema, destination, source)
         # Mappings that do not meet go into one projection. A mapping that
         # reads or writes a column which is still waiting starts the next one.
-        if waiting and (
-            destination.spreads or source.spreads or touched & _columns_of(destination, source, updates)
-        ):
+        spreads = destination.spreads or source.spreads
+        if waiting and (spreads or touched & _columns_of(destination, source, updates)):
             df = _apply(df, waiting, chosen, key)
             waiting, touched = [], set()
             updates = _updates(df.schema, destination, source)
@@ -145,11 +144,16 @@ def _apply(
         elif algorithm.native or closed:
             replacements.append(Replacement(place, _hash(source, algorithm, key)))
         else:
-            # A UDF cannot run inside a lambda. So it digests whole arrays of
-            # messages in a column of their own, and the lambda picks from it.
+            # A UDF cannot run inside a lambda. So it runs in a column of its own:
+            # on the one source value of the row, or on whole arrays of messages,
+            # from which the lambda picks by position.
             name = f"__digests_{len(helpers)}"
-            helpers[name] = _digests(place, source, algorithm, key)
-            replacements.append(Replacement(place, _pick(source), F.col(name)))
+            if source.shared:
+                helpers[name] = _digests(place, source, algorithm, key)
+                replacements.append(Replacement(place, _pick(source), F.col(name)))
+            else:
+                helpers[name] = keyed_hash(value_of(source), key, algorithm.id)
+                replacements.append(Replacement(place, _column(name)))
     if helpers:
         df = df.withColumns(helpers)
     return df.withColumns(replaced(replacements)).drop(*helpers)
@@ -173,6 +177,10 @@ def _pick(source: Place):
     return lambda line, digest: F.coalesce(digest, value_of(source, line).cast("string"))
 
 
+def _column(name: str):
+    return lambda *_: F.col(name)
+
+
 def _nest(fields: dict[str, Place]):
     def make(line, _):
         if not fields:

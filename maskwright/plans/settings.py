@@ -35,9 +35,13 @@ def mapping_in_order(
     ]
 
 
+# Fixed value: the message for a mapping without entries.
+NO_PATHS = "At least one RecordPath must be specified"
+
+
 def require_some(paths: Mapping | Sequence) -> None:
     if not paths:
-        raise ValueError("At least one RecordPath must be specified")
+        raise ValueError(NO_PATHS)
 
 
 def require_name(name: str, what: str) -> str:

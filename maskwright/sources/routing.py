@@ -21,9 +21,9 @@ LINE = "line"
 _RECORD = "__record"
 _CORRUPT = "__corrupt"
 
-# Up to this many failed units are broadcast: at most a few MB of paths.
-# More than that are joined by a shuffle.
-BROADCAST_UNITS = 20_000
+# Paths of failed units are broadcast up to this many bytes, and joined by a
+# shuffle beyond it.
+BROADCAST_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,8 @@ def split_files(
     """The same for files whose records are not their lines: CSV with a header,
     JSON over several lines, XML."""
     reader = spark.read.format(fmt).schema(_with_corrupt(schema)).options(**_permissive(options))
-    parsed = reader.load(path).select(unit_column(folders).alias(UNIT), F.struct("*").alias(_RECORD))
+    record = F.struct("*").alias(_RECORD)
+    parsed = reader.load(path).select(unit_column(folders).alias(UNIT), record)
     # Spark converts only the fields a query uses, and finds only their errors.
     # This comparison always holds, but makes it convert all of them.
     all_read = F.xxhash64(*_fields(schema)) >= F.lit(-(2**63))
@@ -105,9 +106,9 @@ def _route(
         .select(UNIT)
         .checkpoint()
     )
-    count = bad.count()
+    count, size = bad.agg(F.count(UNIT), F.sum(F.octet_length(UNIT))).first()
     if count:
-        bad = F.broadcast(bad) if count <= BROADCAST_UNITS else bad
+        bad = F.broadcast(bad) if size <= BROADCAST_BYTES else bad
         good, failure = parsed.join(bad, UNIT, "left_anti"), lines.join(bad, UNIT, "left_semi")
     else:
         good, failure = parsed, lines.where(F.lit(False))

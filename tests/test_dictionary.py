@@ -60,8 +60,8 @@ def test_many_fields(spark):
         "l array<string>, m map<string,string>, n array<struct<x array<string>, y int>>, "
         "s struct<p string, q string>",
     )
-    paths = {"1": "/l[*]", "2": "/m[*]", "3": "/n[*]/x[*]", "4": "/n[*]/y", "5": "/s/*", "6": "/l[0]"}
-    pairs = key_hash_dictionary(df, paths, key=KEY)
+    paths = ["/l[*]", "/m[*]", "/n[*]/x[*]", "/n[*]/y", "/s/*", "/l[0]"]
+    pairs = key_hash_dictionary(df, {str(i): path for i, path in enumerate(paths)}, key=KEY)
     assert [r.plaintext for r in pairs.collect()] == ["a", "b", "c", "d", "5", "e", "f", "a"]
     with pytest.raises(ValueError, match="no plain text form"):
         key_hash_dictionary(df, {"1": "/l"}, key=KEY)

@@ -21,7 +21,7 @@ def test_csv_members_to_json(spark, tmp_path):
     )
     assert done == Done(200, 0)
     written = spark.read.schema(MEMBER).json(f"{tmp_path}/out")
-    assert written.where("length(hashed_first_name) = 64 AND length(first_name) < 10").count() == 200
+    assert written.where("length(hashed_first_name) = 64 AND first_name <> ''").count() == 200
 
 
 def test_a_source_field_may_be_missing_from_the_target(spark, tmp_path):
@@ -71,12 +71,12 @@ def test_dictionary_of_files_with_a_header(spark, tmp_path):
 def test_columnar_files(spark, tmp_path):
     spark.createDataFrame([(VALUE,)], "v string").write.parquet(f"{tmp_path}/in")
     sink = Sink(f"{tmp_path}/out", "csv")
-    assert hash_files(spark, Source(f"{tmp_path}/in", "parquet"), sink, {"/v": "/v"}, key=KEY) == Done(1, 0)
+    source = Source(f"{tmp_path}/in", "parquet")
+    assert hash_files(spark, source, sink, {"/v": "/v"}, key=KEY) == Done(1, 0)
     assert spark.read.csv(sink.path).first()[0] == DIGESTS["hash-sha256"]
 
 
 def test_a_schema_is_needed(spark, tmp_path):
+    source = Source(put(tmp_path / "in", JSON), "json")
     with pytest.raises(ValueError, match="schema"):
-        hash_files(
-            spark, Source(put(tmp_path / "in", JSON), "json"), Sink("x", "orc"), {"/a": "/a"}, key=KEY
-        )
+        hash_files(spark, source, Sink("x", "orc"), {"/a": "/a"}, key=KEY)

@@ -8,7 +8,8 @@ from tests.fixtures import DIGESTS, KEY, SHA256_NULL_KEY, VALUE
 
 
 def test_struct(spark):
-    df = spark.createDataFrame([(VALUE, None, "", " ", 3)], "a string, b string, c string, d string, e int")
+    schema = "a string, b string, c string, d string, e int"
+    df = spark.createDataFrame([(VALUE, None, "", " ", 3)], schema)
     found = hash_lookup(df, ["a", "b", "c", "d", "e"], key="null", into="found")
     row = found.first().found.asDict()
     assert (row["a"], row["b"], row["c"], row["d"]) == (SHA256_NULL_KEY, None, "", " ")
@@ -35,7 +36,8 @@ def test_map(spark):
 
 def test_map_of_numbers(spark):
     df = spark.sql("SELECT map('a', 1) AS m, '1' AS v")
-    row = df.select(hash_lookup_map("m", KEY).alias("m"), hash_lookup_map(F.create_map(F.lit("a"), "v"), KEY).alias("n")).first()
+    texts = hash_lookup_map(F.create_map(F.lit("a"), "v"), KEY)
+    row = df.select(hash_lookup_map("m", KEY).alias("m"), texts.alias("n")).first()
     assert row.m == row.n
 
 

@@ -12,7 +12,8 @@ NATIVE_AND_ARROW = ["sha256", "crc32", "crc32c", "adler32", "farmHashFingerprint
 
 @pytest.fixture
 def person(spark):
-    return spark.createDataFrame([(VALUE, "123 Foo Way", 35)], "name string, address string, age int")
+    rows = [(VALUE, "123 Foo Way", 35)]
+    return spark.createDataFrame(rows, "name string, address string, age int")
 
 
 @pytest.fixture
@@ -130,7 +131,8 @@ def test_nested_fields(spark, nested, algorithm):
         "/tags[*]": ".",
         "/codes[0]": ".",
     }
-    first, second = hash_fields(nested, mapping, key=KEY, algorithm=algorithm).orderBy("id").collect()
+    hashed = hash_fields(nested, mapping, key=KEY, algorithm=algorithm)
+    first, second = hashed.orderBy("id").collect()
     assert first.tags == [t("a"), "", None]
     assert first.codes == [t("1"), "2"]
     assert first.props == {"x": t("1"), "y": None}
@@ -237,6 +239,18 @@ def test_rows_keep_number_and_order(spark):
         assert [r.id for r in hashed.collect()] == list(range(1000))
 
 
+def test_a_column_without_a_type(spark):
+    df = spark.sql("SELECT NULL AS v, 'a' AS w")
+    assert hash_fields(df, {"/v": "/v"}, key=KEY).first().v is None
+
+
+def test_one_source_for_a_whole_array(spark, nested):
+    for algorithm in ("sha256", "crc32c"):
+        t = token(spark, "Ann", algorithm)
+        hashed = hash_fields(nested, {"/tags[*]": "/name"}, key=KEY, algorithm=algorithm)
+        assert hashed.orderBy("id").first().tags == [t, t, t]
+
+
 def test_nest_fields(nested):
     result = nest_fields(
         nested, {"/both": ["/id", "/name"], "/geo": "/home/geo/*", "/home/up": "../street"}

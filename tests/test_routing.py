@@ -40,9 +40,9 @@ def lines_of(files, *names):
     return sorted((n, line) for n in names for line in files[n].rstrip("\n").split("\n"))
 
 
-@pytest.mark.parametrize("limit", [20_000, 0])
+@pytest.mark.parametrize("limit", [routing.BROADCAST_BYTES, 0])
 def test_json(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(routing, "BROADCAST_UNITS", limit)
+    monkeypatch.setattr(routing, "BROADCAST_BYTES", limit)
     routed = split_by_unit(read_lines(spark, put(tmp_path / "j", JSON)), "json", SCHEMA)
     assert routed.failed_units == 2
     assert outcome(routed) == ([1, 2], lines_of(JSON, "cut.json", "type.json"))
