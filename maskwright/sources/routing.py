@@ -18,12 +18,15 @@ from maskwright.sources.records import UNIT
 from maskwright.sources.scratch import shared_folder
 
 LINE = "line"
+BLOCK = "block"
 _RECORD = "__record"
 _CORRUPT = "__corrupt"
+_SALT = "__salt"
 
 # Paths of failed units are broadcast up to this many bytes, and joined by a
-# shuffle beyond it.
-BROADCAST_BYTES = 8 << 20
+# shuffle beyond it, where each unit is spread over this many groups.
+BROADCAST_BYTES = 32 << 20
+SALTS = 256
 
 
 @dataclass(frozen=True)
@@ -45,9 +48,18 @@ def read_lines(
     options: Mapping[str, str] | None = None,
     folders: bool = False,
 ) -> DataFrame:
-    """The lines of text files, each with its unit."""
+    """The lines of text files, each with its unit and the start of its block there."""
     lines = spark.read.options(**(options or {})).text(path)
-    return lines.select(unit_column(folders).alias(UNIT), F.col("value").alias(LINE))
+    return lines.select(*line_columns(folders))
+
+
+def line_columns(folders: bool = False) -> list[Column]:
+    return [*place_columns(folders), F.col("value").alias(LINE)]
+
+
+def place_columns(folders: bool = False) -> list[Column]:
+    block = F.col("_metadata.file_block_start").alias(BLOCK)
+    return [unit_column(folders).alias(UNIT), block]
 
 
 def unit_column(folders: bool = False) -> Column:
@@ -82,10 +94,11 @@ def split_files(
     JSON over several lines, XML."""
     reader = spark.read.format(fmt).schema(_with_corrupt(schema)).options(**_permissive(options))
     record = F.struct("*").alias(_RECORD)
-    parsed = reader.load(path).select(unit_column(folders).alias(UNIT), record)
+    parsed = reader.load(path).select(*place_columns(folders), record)
     # Spark converts only the fields a query uses, and finds only their errors.
     # This comparison always holds, but makes it convert all of them.
-    all_read = F.xxhash64(*_fields(schema)) >= F.lit(-(2**63))
+    texts = [F.col(_RECORD)[field.name].cast("string") for field in schema.fields]
+    all_read = F.xxhash64(*texts) >= F.lit(-(2**63))
     return _route(parsed, all_read, schema, read_lines(spark, path, folders=folders))
 
 
@@ -95,7 +108,7 @@ def _route(
     """A first job finds the failed units. Each task reduces its lines to one flag
     for each unit before anything is shuffled, so one huge file is no hot spot.
     What it finds is written to the checkpoint folder and decides the plan: no
-    join without failed units, a broadcast of few, a shuffled join of many.
+    join without failed units, a broadcast of few, a salted, shuffled join of many.
     """
     shared_folder(lines.sparkSession)
     failed = F.col(_RECORD)[_CORRUPT].isNotNull() & all_read
@@ -107,13 +120,28 @@ def _route(
         .checkpoint()
     )
     count, size = bad.agg(F.count(UNIT), F.sum(F.octet_length(UNIT))).first()
-    if count:
-        bad = F.broadcast(bad) if size <= BROADCAST_BYTES else bad
+    if not count:
+        good, failure = parsed, lines.where(F.lit(False))
+    elif size <= BROADCAST_BYTES:
+        bad = F.broadcast(bad)
         good, failure = parsed.join(bad, UNIT, "left_anti"), lines.join(bad, UNIT, "left_semi")
     else:
-        good, failure = parsed, lines.where(F.lit(False))
+        # Every group gets the whole list, so which group a row is in does not matter.
+        on = [UNIT, _SALT]
+        bad = bad.select(UNIT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(_SALT))
+        good = _salted(parsed).join(bad, on, "left_anti")
+        failure = _salted(lines).join(bad, on, "left_semi")
     fields = _fields(schema)
-    return Routed(good.select(UNIT, *fields), good.select(*fields), failure, count)
+    return Routed(
+        good.select(UNIT, *fields), good.select(*fields), failure.select(UNIT, LINE), count
+    )
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    """A group for each row, the same whenever it is computed: by its place in the
+    unit, so that copies of one line spread too, and by the line."""
+    spread = [name for name in (BLOCK, LINE) if name in df.columns]
+    return df.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
 
 
 def _fields(schema: T.StructType) -> list[Column]:

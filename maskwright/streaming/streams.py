@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from maskwright.sources.records import RECORDS, UNIT
-from maskwright.sources.routing import LINE, split_by_unit, unit_column
+from maskwright.sources.routing import line_columns, split_by_unit, unit_column
 
 
 def stream_records(
@@ -38,7 +38,7 @@ def stream_lines(
 ) -> DataFrame:
     """Lines of text files as they arrive, each with its file, for ``start_routing``."""
     lines = _limited(spark.readStream.format("text"), files_per_trigger).load(path)
-    return lines.select(unit_column().alias(UNIT), F.col("value").alias(LINE))
+    return lines.select(*line_columns())
 
 
 def _limited(reader, files_per_trigger: int | None):

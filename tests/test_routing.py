@@ -51,6 +51,42 @@ def test_json(spark, tmp_path, monkeypatch, limit):
     assert routed.success.columns == ["unit", "id", "name", "size"]
 
 
+def test_copies_of_a_line_spread_over_groups(spark, tmp_path):
+    bad = "x" * 79
+    files = {"hot.json": f"{bad}\n" * 100_000, "good.json": '{"id":1}\n'}
+    folder = put(tmp_path / "h", files)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        salted = routing._salted(read_lines(spark, folder).where(f"line = '{bad}'"))
+        groups = salted.groupBy("__salt").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(groups) > 30 and max(g["count"] for g in groups) < 15_000
+
+
+@pytest.mark.parametrize("limit", [routing.BROADCAST_BYTES, 0])
+def test_maps_and_lists(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(routing, "BROADCAST_BYTES", limit)
+    schema = T.StructType.fromDDL("m map<string,int>, l array<int>, s struct<a: int>")
+    files = {"a.json": '{"m":{"k":1},"l":[1],"s":{"a":2}}\n', "b.json": '{"m":{"k":"x"}}\n'}
+    folder = put(tmp_path / "m", files)
+    for routed in (
+        split_by_unit(read_lines(spark, folder), "json", schema),
+        split_files(spark, folder, "json", schema),
+    ):
+        assert routed.records.collect() == [({"k": 1}, [1], (2,))]
+        assert routed.failure.columns == ["unit", "line"] and routed.failure.count() == 1
+
+
+def test_lines_without_blocks(spark, monkeypatch):
+    monkeypatch.setattr(routing, "BROADCAST_BYTES", 0)
+    rows = [("a", '{"id":1}'), ("b", "{"), ("b", "{}")]
+    lines = spark.createDataFrame(rows, "unit string, line string")
+    routed = split_by_unit(lines, "json", SCHEMA)
+    assert [r.id for r in routed.records.collect()] == [1]
+    assert sorted(routed.failure.collect()) == [("b", "{"), ("b", "{}")]
+
+
 def test_csv(spark, tmp_path):
     routed = split_by_unit(read_lines(spark, put(tmp_path / "c", CSV)), "csv", SCHEMA)
     assert outcome(routed) == ([1, 2], lines_of(CSV, "short.csv", "type.csv"))
