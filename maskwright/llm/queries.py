@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from maskwright.llm import mixing, oracles
 from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from maskwright.llm.mixing import mix_sources
 from maskwright.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +38,24 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source")
+    mixed = mix_sources(documents)
+    mix = F.col(mixed.columns[-1])
+    planned = mixed.select(
+        "doc_id",
+        mix["size"].alias("size"),
+        mix["source_size"].alias("source_size"),
+        mix["target"].alias("target"),
+        mix["taken"].alias("taken"),
+        F.round(F.get(mix["takes"], F.lit(0))["position"], 6).alias("position"),
+    )
+    return planned.repartitionByRange("position", "doc_id").sortWithinPartitions("position")
+
+
+ORACLES["op2_mixing"] = oracles.mixing(
+    mixing.WEIGHTS, mixing.SCHEDULES, mixing.SHARE, mixing.MOST
+)
