@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from maskwright.llm import mixing, oracles
 from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from maskwright.llm.mixing import mix_sources
+from maskwright.llm.near_duplicates import near_duplicates
 from maskwright.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +60,8 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op2_mixing"] = oracles.mixing(
     mixing.WEIGHTS, mixing.SCHEDULES, mixing.SHARE, mixing.MOST
 )
+
+
+@query
+def op9_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
