@@ -24,9 +24,8 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD_BITS = 64
 #: Half of the pre-tokens kept with their ids by a Python worker, and the longest that is kept.
-KEPT_PIECES = 250_000
+KEPT_PIECES = 400_000
 KEPT_LENGTH = 48
 #: Texts over so many characters are matched piece by piece and not as one list.
 LISTED_TEXT = 1_000_000
@@ -40,17 +39,18 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """A queue of (rank, position), lowest rank first and then lowest position."""
+    """Positions by rank, lowest rank first and then lowest position.
+
+    A bucket for each rank; a bit for each bucket that is not empty, in words of about the
+    square root of their number; above these, a bit for each word that is not zero.
+    """
 
     def __init__(self, ranks: int):
+        self.shift = max(1, (max(ranks, 2) - 1).bit_length() + 1 >> 1)
+        self.low = (1 << self.shift) - 1
         self.buckets: list[list[int]] = [[] for _ in range(ranks)]
-        self.levels: list[list[int]] = []
-        while True:
-            ranks = (ranks + WORD_BITS - 1) // WORD_BITS
-            self.levels.append([0] * ranks)
-            if ranks <= 1:
-                break
-        self.downward = self.levels[::-1]
+        self.words = [0] * ((ranks >> self.shift) + 1)
+        self.top = 0
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets[rank]
@@ -58,31 +58,24 @@ class RankQueue:
             heappush(bucket, position)
             return
         bucket.append(position)
-        for level in self.levels:
-            word = rank >> 6
-            was = level[word]
-            level[word] = was | 1 << (rank & 63)
-            if was:
-                return
-            rank = word
-
-    def pop(self) -> tuple[int, int] | None:
-        rank = 0
-        for level in self.downward:
-            word = level[rank]
-            if not word:
-                return None  # only the top can be empty
-            rank = (rank << 6) | (word & -word).bit_length() - 1
+        word = rank >> self.shift
+        if not self.words[word]:
+            self.top |= 1 << word
+        self.words[word] |= 1 << (rank & self.low)
+
+    def pop(self) -> tuple[int, int]:
+        """The first entry of a queue that is not empty, that is, whose top is not zero."""
+        word = (self.top & -self.top).bit_length() - 1
+        bits = self.words[word]
+        first = bits & -bits
+        rank = (word << self.shift) + first.bit_length() - 1
         bucket = self.buckets[rank]
         if len(bucket) > 1:
             return rank, heappop(bucket)
-        at = rank
-        for level in self.levels:
-            word = at >> 6
-            left = level[word] = level[word] & ~(1 << (at & 63))
-            if left:
-                break
-            at = word
+        bits ^= first
+        self.words[word] = bits
+        if not bits:
+            self.top ^= 1 << word
         return rank, bucket.pop()
 
 
@@ -104,7 +97,8 @@ class Encoder:
         if piece in ranks:
             return [ranks[piece]]
         size = len(piece)
-        rank_of, push, pop = ranks.get, self.queue.push, self.queue.pop
+        queue, rank_of = self.queue, ranks.get
+        push, pop = queue.push, queue.pop
         after = list(range(1, size + 1))
         before = list(range(-1, size))
         # What rank the pair that starts here has now; -1: none, or no start any more.
@@ -113,8 +107,8 @@ class Encoder:
         for i, rank in enumerate(pair):
             if rank >= 0:
                 push(rank, i)
-        while (first := pop()) is not None:
-            rank, i = first
+        while queue.top:
+            rank, i = pop()
             if pair[i] != rank:
                 continue
             gone = after[i]
@@ -186,7 +180,8 @@ def bpe_encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
         values = pa.array(np.frombuffer(flat, dtype=np.int32) if flat else [], pa.int32())
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-    return F.arrow_udf(encode, "array<int>")(text)
+    # Not deterministic for the optimizer only: else each use of the ids encodes anew.
+    return F.arrow_udf(encode, "array<int>").asNondeterministic()(text)
 
 
 def bpe_decode(ids: Column, ranks: dict[bytes, int]) -> Column:
