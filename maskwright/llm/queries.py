@@ -12,7 +12,8 @@ from maskwright.llm import mixing, oracles
 from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from maskwright.llm.mixing import mix_sources
 from maskwright.llm.near_duplicates import near_duplicates
-from maskwright.llm.tables import table
+from maskwright.llm.quality import labelled, quality_score, train_quality
+from maskwright.llm.tables import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,22 @@ def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
 
+#: A score from here on predicts the label 1.
+PREDICTED = 0.3
+
+
+@query
+def op4_quality_nbsvm(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    fold = held_out(F.col("doc_id"), 5, 0)
+    model = train_quality(
+        labelled(documents, table(spark, folder, "labels"), fold, label_col="quality")
+    )
+    scored = documents.select(
+        "doc_id", fold.alias("held_out"), quality_score(F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= PREDICTED).cast("int"))
+
 
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
