@@ -193,9 +193,8 @@ def training_order(mixed: DataFrame, *, text_col: str = "text") -> DataFrame:
     text, use = F.col(quoted(text_col)), F.col(uses)
     space = r"[\x20\x09-\x0D]"
     first = F.concat(F.lit(rf"^(?:{space}*+{WORD}+){{"), use["words"].cast("string"), F.lit("}+"))
-    cut = F.when(
-        use["words"] < F.col(quoted(mix))["size"], F.regexp_extract(text, first, 0)
-    ).otherwise(text)
+    whole = use["words"] >= F.col(quoted(mix))["size"]
+    cut = F.when(whole, text).otherwise(F.call_function("regexp_extract", text, first, F.lit(0)))
     columns = [(cut if c == text_col else F.col(quoted(c))).alias(c) for c in mixed.columns[:-1]]
     ordered = each.select(*columns, use.alias(mix))
     position = F.col(quoted(mix))["position"]

@@ -18,13 +18,13 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskwright.llm.components import components
 from maskwright.llm.darts import BANDS, ROWS, dart_sketch
 from maskwright.llm.shingles import WORDS, shingle_set
-from maskwright.llm.tables import column, stored
+from maskwright.llm.tables import column, free_name, quoted, stored
 
 SIMILARITY = 0.8
 #: Ids that are broadcast rather than shuffled, at most: 8 bytes each, some 100 MB in memory.
@@ -48,6 +48,44 @@ def near_duplicates(
     ``class_id`` is the smallest id that is reached by links, ``kept`` is true for the row
     of that id. Ids must fit a bigint.
     """
+    classes = _classes(docs, id_col, text_col, words, similarity, bands, rows)
+    return classes.select(F.col("own").alias(id_col), "class_id", "kept")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each class, the one that is kept. Texts are only shuffled
+    where more ids are dropped than can be broadcast, or where ids are repeated."""
+    classes = stored(
+        _classes(docs, id_col, text_col, WORDS, SIMILARITY, BANDS, ROWS).select("id", "kept"),
+        "classes",
+    )
+    text, own = column(docs, text_col), column(docs, id_col).cast("bigint")
+    key = free_name(docs, "key")
+    keyed = docs.withColumn(key, F.coalesce(own, F.xxhash64(F.coalesce(text, F.lit("")))))
+    dropped = classes.filter("NOT kept").select(F.col("id").alias(key)).distinct()
+    unique = keyed.join(_sent(dropped), key, "left_anti")
+    repeated = classes.filter("kept").groupBy(F.col("id").alias(key)).count().filter("count > 1")
+    repeated = stored(repeated.select(key), "repeated")
+    if not repeated.isEmpty():
+        number = free_name(keyed, "number")
+        same = Window.partitionBy(key).orderBy(F.md5(F.coalesce(text, F.lit(""))))
+        several = unique.join(_sent(repeated), key, "left_semi")
+        one = several.withColumn(number, F.row_number().over(same)).filter(F.col(number) == 1)
+        unique = unique.join(_sent(repeated), key, "left_anti").unionByName(one.drop(number))
+    return unique.select(*(F.col(quoted(name)) for name in docs.columns))
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """Ids, marked for a broadcast where they are few enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _classes(
+    docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float, bands: int, rows: int
+) -> DataFrame:
+    """(id, own, class_id, kept) for each row; ``id`` is never null, ``own`` as it came."""
     known = docs.select(
         column(docs, id_col).cast("bigint").alias("id"),
         F.coalesce(column(docs, text_col), F.lit("")).alias("text"),
@@ -73,7 +111,9 @@ def near_duplicates(
         .filter("leader < last")
     )
     shared = stored(
-        buckets.join(leaders.select("key", "leader"), "key").select("key", "id", "n", "bits", "leader"),
+        buckets.join(leaders.select("key", "leader"), "key").select(
+            "key", "id", "n", "bits", "leader"
+        ),
         "buckets",
     )
     first = shared.filter("id <> leader").select("id", F.col("leader").alias("other")).distinct()
@@ -96,7 +136,7 @@ def near_duplicates(
     classed = classed.join(joined.withColumnRenamed("id", "node"), "node", "left")
     class_id = F.coalesce("component", "node")
     return classed.select(
-        F.col("own").alias(id_col), class_id.alias("class_id"), (class_id == F.col("id")).alias("kept")
+        "id", "own", class_id.alias("class_id"), (class_id == F.col("id")).alias("kept")
     )
 
 
@@ -109,9 +149,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     ids = stored(
         pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct(), "ids"
     )
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    sets = texts.join(ids, "id", "left_semi").select(
+    sets = texts.join(_sent(ids), "id", "left_semi").select(
         "id", shingle_set(F.col("text"), words).alias("set")
     )
     # Copies of an id are one set; the union of its texts, where they differ.

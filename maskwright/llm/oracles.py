@@ -60,3 +60,55 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (words + again)::BIGIN
   CASE WHEN words > 0 THEN
     round(CASE place % {len(schedules)} {position} END, 6) END AS position
 FROM taken"""
+
+
+def quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _spans(kinds: dict[str, tuple[str, str]]) -> str:
+    """CTEs docs (row, doc_id, text) and spans (row, place, kind, start, stop), by pattern and
+    the condition on a match."""
+    each = " UNION ALL ".join(
+        f"""
+  SELECT row, {place} AS place, '{kind}' AS kind, stop - length(value) AS start, stop FROM (
+    SELECT row, value, sum(length(gap) + length(value)) OVER (PARTITION BY row ORDER BY i
+      ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
+    FROM (SELECT row, unnest(found) AS value, unnest(gaps[1:len(found)]) AS gap,
+        generate_subscripts(found, 1) AS i
+      FROM (SELECT row, regexp_extract_all(text, {quoted(pattern)}) AS found,
+          string_split_regex(text, {quoted(pattern)}) AS gaps FROM docs)))
+  WHERE {keep}"""
+        for place, (kind, (pattern, keep)) in enumerate(kinds.items())
+    )
+    return f"""
+docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+spans AS MATERIALIZED ({each})"""
+
+
+def secrets(kinds: dict[str, tuple[str, str]], roles: dict[str, str], base, scope: int) -> str:
+    strong = ", ".join(f"'{kind}'" for kind in base)
+    role = "CASE kind " + " ".join(f"WHEN '{k}' THEN '{r}'" for k, r in roles.items()) + " END"
+    one = "concat_ws(':', kind, start, stop), ',' ORDER BY start, place"
+    counts = ", ".join(
+        f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in base
+    )
+    return f"""
+WITH {_spans(kinds)},
+parts AS MATERIALIZED (SELECT *, {role} AS role, kind IN ({strong}) AS strong FROM spans),
+reported AS (
+  SELECT * FROM parts WHERE strong UNION ALL
+  SELECT * FROM parts c WHERE NOT strong
+    AND NOT EXISTS (SELECT 1 FROM parts b WHERE b.row = c.row AND b.strong
+      AND b.start < c.stop AND c.start < b.stop)
+    AND EXISTS (SELECT 1 FROM parts p WHERE p.row = c.row AND p.role <> c.role
+      AND ((p.stop <= c.start AND p.stop > c.start - {scope})
+        OR (p.start >= c.stop AND p.start < c.stop + {scope})))),
+found AS (
+  SELECT row, {counts},
+    string_agg({one}) FILTER (strong) AS base, string_agg({one}) AS spans
+  FROM reported GROUP BY row)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in base)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN found USING (row)"""

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.llm import mixing, oracles
+from maskwright.llm import mixing, oracles, secrets
 from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
 from maskwright.llm.mixing import mix_sources
 from maskwright.llm.near_duplicates import near_duplicates
 from maskwright.llm.quality import labelled, quality_score, train_quality
+from maskwright.llm.secrets import scan_secrets
+from maskwright.llm.spans import count_of, listed
 from maskwright.llm.tables import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +23,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+QUERIES["pipeline"] = corpus_pipeline.run
 
 
 def query(function: Query) -> Query:
@@ -82,3 +86,37 @@ ORACLES["op2_mixing"] = oracles.mixing(
 @query
 def op9_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col(scanned.columns[-1])
+    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE))
+    return scanned.select(
+        "doc_id",
+        *(count_of(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(spans).alias("spans"),
+    )
+
+
+ORACLES["op1_secrets"] = oracles.secrets(
+    {
+        "assign": (
+            secrets.ASSIGN,
+            f"length(regexp_extract(value, {oracles.quoted(secrets.ASSIGN)}, 2)) >= 12",
+        ),
+        "access": (secrets.ACCESS, "true"),
+        "hex": (secrets.HEX, "true"),
+        "key_id": (secrets.KEY_ID, "true"),
+        "opaque": (
+            secrets.OPAQUE,
+            " AND ".join(f"regexp_matches(value, '{c}')" for c in ("[0-9]", "[A-Z]", "[a-z]")),
+        ),
+        "endpoint": (secrets.ENDPOINT, "true"),
+    },
+    secrets.ROLES,
+    secrets.BASE,
+    secrets.SCOPE,
+)
