@@ -37,22 +37,27 @@ def fit_svm(
 
 def fit_sigmoid(margins: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
     """a and b such that 1 / (1 + exp(-(a * margin + b))) is likely for the labels."""
-    a, b = 1.0, 0.0
     ones, zeros = positive.sum(), len(positive) - positive.sum()
     goal = np.where(positive > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margins + b, -30, 30)))
+
+    def loss(a: float, b: float) -> float:
+        z = a * margins + b
+        return float((np.logaddexp(0, z) - goal * z).sum() + 5e-4 * a * a)
+
+    a, b = 0.0, float(np.log((ones + 1) / (zeros + 1)))
+    for _ in range(100):
+        p = sigmoid(a * margins + b)
         spread = p * (1 - p) + 1e-9
         gradient = np.array([((p - goal) * margins).sum() + 1e-3 * a, (p - goal).sum()])
+        cross = (spread * margins).sum()
         curve = np.array(
-            [
-                [(spread * margins * margins).sum() + 1e-3, (spread * margins).sum()],
-                [(spread * margins).sum(), spread.sum() + 1e-6],
-            ]
+            [[(spread * margins * margins).sum() + 1e-3, cross], [cross, spread.sum() + 1e-6]]
         )
-        step = np.linalg.solve(curve, gradient)
-        a, b = a - step[0], b - step[1]
-        if abs(step).max() < 1e-6:
+        step, now, size = np.linalg.solve(curve, gradient), loss(a, b), 1.0
+        while size > 1e-8 and loss(a - size * step[0], b - size * step[1]) > now:
+            size /= 2
+        a, b = a - size * step[0], b - size * step[1]
+        if size * abs(step).max() < 1e-7:
             break
     return float(a), float(b)
 

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from maskwright.llm import mixing, oracles, secrets
 from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from maskwright.llm.language import predict_language, train_language
 from maskwright.llm.mixing import mix_sources
 from maskwright.llm.near_duplicates import near_duplicates
 from maskwright.llm.quality import labelled, quality_score, train_quality
 from maskwright.llm.secrets import scan_secrets
 from maskwright.llm.spans import count_of, listed
 from maskwright.llm.tables import held_out, table
+from maskwright.llm.toxicity import letter_trigrams, toxicity_score, train_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +49,19 @@ def op4_quality_nbsvm(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= PREDICTED).cast("int"))
 
 
+@query
+def op5_language_svm(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    fold = held_out(F.col("doc_id"), 4, 2)
+    model = train_language(documents.filter(~fold).select("text", "lang"))
+    predicted = documents.select(
+        "doc_id", fold.alias("held_out"), predict_language(F.col("text"), model).alias("found")
+    )
+    return predicted.select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score")
+    )
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path(VOCABULARY))
@@ -120,3 +135,16 @@ ORACLES["op1_secrets"] = oracles.secrets(
     secrets.BASE,
     secrets.SCOPE,
 )
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    fold = held_out(F.col("doc_id"), 4, 2)
+    counts = letter_trigrams(documents.select("text"))
+    examples = labelled(documents, table(spark, folder, "labels"), fold, label_col="toxic")
+    model = train_toxicity(examples, counts)
+    scored = documents.select(
+        "doc_id", fold.alias("held_out"), toxicity_score(F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= PREDICTED).cast("int"))
