@@ -1,8 +1,8 @@
 """Near-duplicate documents: DartMinHash bands propose, exact similarity decides.
 
 Copies of a text become one class first. Classes that share the bucket of a band are
-candidates, but a bucket never gives all its pairs. First each member is compared with the
-smallest member, and the links found make components. Then only members of different
+candidates, but a bucket never gives all its pairs. First each member is compared with one
+member, another in each bucket, and the links found make components. Then only members of different
 components of a bucket are still open: those outside the bucket's largest component are
 compared with the members of the others, if sizes and the bits of their signatures allow
 the similarity. Similarity is the share of distinct word shingles (Jaccard), in lower case
@@ -107,8 +107,12 @@ def _classes(
 
     leaders = (
         buckets.groupBy("key")
-        .agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-        .filter("leader < last")
+        .agg(
+            F.min_by("id", F.xxhash64("id", "key")).alias("leader"),
+            F.min("id").alias("first"),
+            F.max("id").alias("last"),
+        )
+        .filter("first < last")
     )
     shared = stored(
         buckets.join(leaders.select("key", "leader"), "key").select(
@@ -116,20 +120,18 @@ def _classes(
         ),
         "buckets",
     )
-    first = shared.filter("id <> leader").select("id", F.col("leader").alias("other")).distinct()
-    sets = known.select("id", "text")
-    compared = stored(_similar(first, sets, words), "compared")
-    links = compared.filter(F.col("similarity") >= similarity).select("id", "other")
-    joined = stored(components(links), "components")
-    open_pairs = stored(_open(shared, joined, similarity, bands * rows), "open").join(
-        compared, ["id", "other"], "left_anti"
+    first = (
+        shared.filter("id <> leader")
+        .select(F.greatest("id", "leader").alias("id"), F.least("id", "leader").alias("other"))
+        .distinct()
     )
-    if not open_pairs.isEmpty():
-        late = _similar(open_pairs, sets, words).filter(F.col("similarity") >= similarity)
-        late = stored(late.select("id", "other"), "late")
-        if not late.isEmpty():
-            tied = joined.select("id", F.col("component").alias("other"))
-            joined = stored(components(tied.unionByName(late)), "components")
+    sets = stored(_sets(shared.select("id").distinct(), known, words), "sets")
+    links = stored(_links(first, sets, similarity), "links")
+    joined = stored(components(links), "components")
+    late = stored(_late(shared, joined, sets, similarity, bands * rows), "late")
+    if not late.isEmpty():
+        tied = joined.select("id", F.col("component").alias("other"))
+        joined = stored(components(tied.unionByName(late)), "components")
     # The class of a row: of its text's first id, of that id's other texts, and of links.
     named = names.join(by_id, "id").groupBy("digest").agg(F.min("lowest").alias("node"))
     classed = names.select("id", "own", "digest").join(named, "digest")
@@ -140,35 +142,40 @@ def _classes(
     )
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """The pairs (id, other) with the Jaccard similarity of their shingles.
+def _sets(ids: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(id, set): the distinct shingles of the ids in question, from their texts.
 
-    Texts are read again for the ids in question only; where these are few they go to the
-    texts, else both are shuffled.
+    Where the ids are few they go to the texts, else both are shuffled.
     """
-    ids = stored(
-        pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct(), "ids"
-    )
-    sets = texts.join(_sent(ids), "id", "left_semi").select(
-        "id", shingle_set(F.col("text"), words).alias("set")
-    )
+    wanted = texts.select("id", "text").join(_sent(stored(ids, "ids")), "id", "left_semi")
+    sets = wanted.select("id", shingle_set(F.col("text"), words).alias("set"))
     # Copies of an id are one set; the union of its texts, where they differ.
-    sets = sets.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("set"))).alias("set"))
-    sets = stored(sets, "sets")
-    with_left = pairs.join(sets, "id")
-    other = sets.select(F.col("id").alias("other"), F.col("set").alias("other_set"))
-    common = F.size(F.array_intersect("set", "other_set"))
-    return with_left.join(other, "other").select(
-        "id",
-        "other",
-        (common / (F.size("set") + F.size("other_set") - common)).alias("similarity"),
-    )
+    return sets.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("set"))).alias("set"))
+
 
+def _similarity(a: Column, b: Column) -> Column:
+    common = F.size(F.array_intersect(a, b))
+    return common / (F.size(a) + F.size(b) - common)
 
-def _open(shared: DataFrame, joined: DataFrame, similarity: float, coordinates: int) -> DataFrame:
-    """Pairs of a bucket that may be links and are not in one component yet."""
+
+def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (id, other) that are similar enough."""
+    others = sets.select(F.col("id").alias("other"), F.col("set").alias("other_set"))
+    both = pairs.join(sets, "id").join(others, "other")
+    close = _similarity(F.col("set"), F.col("other_set")) >= similarity
+    return both.filter(close).select("id", "other")
+
+
+def _late(
+    shared: DataFrame, joined: DataFrame, sets: DataFrame, similarity: float, coordinates: int
+) -> DataFrame:
+    """Links of bucket members that are not in one component yet.
+
+    The join itself compares the sets, so only links leave it. A pair that shares several
+    buckets is compared in the smallest of them.
+    """
     members = shared.join(joined, "id", "left").select(
-        "key", "id", "n", "bits", F.coalesce("component", "id").alias("part")
+        *(c for c in shared.columns if c != "leader"), F.coalesce("component", "id").alias("part")
     )
     parts = members.groupBy("key", "part").agg(F.count("*").alias("size"))
     mixed = (
@@ -176,23 +183,25 @@ def _open(shared: DataFrame, joined: DataFrame, similarity: float, coordinates:
         .agg(F.max(F.struct("size", "part"))["part"].alias("main"), F.count("*").alias("parts"))
         .filter("parts > 1")
     )
-    members = members.join(mixed.select("key", "main"), "key")
+    members = stored(members.join(mixed.select("key", "main"), "key"), "mixed")
+    keys = members.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    members = members.join(keys, "id").join(sets, "id")
     left = members.filter("part <> main").select(
-        "key", *(F.col(c).alias(f"{c}_") for c in ("id", "n", "bits", "part"))
+        *(F.col(c).alias(f"{c}_") for c in ("key", "id", "n", "bits", "part", "keys", "set"))
     )
     differing = (1 - similarity) / 2 * coordinates
     limit = math.floor(differing + STRAY * math.sqrt(differing))
     pairs = left.join(
         members,
-        (left["key"] == members["key"])
+        (F.col("key") == F.col("key_"))
         & (F.col("part") != F.col("part_"))
         & ((F.col("part") == F.col("main")) | (F.col("part_") < F.col("part")))
         & (F.least("n", "n_") >= similarity * F.greatest("n", "n_"))
-        & (_differing(F.col("bits"), F.col("bits_"), coordinates) <= limit),
+        & (_differing(F.col("bits"), F.col("bits_"), coordinates) <= limit)
+        & (F.col("key") == F.array_min(F.array_intersect("keys", "keys_")))
+        & (_similarity(F.col("set"), F.col("set_")) >= similarity),
     )
-    return pairs.select(
-        F.greatest("id", "id_").alias("id"), F.least("id", "id_").alias("other")
-    ).distinct()
+    return pairs.select(F.col("id_").alias("id"), F.col("id").alias("other"))
 
 
 def _differing(a: Column, b: Column, coordinates: int) -> Column:
