@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from maskwright.llm import mixing, oracles, secrets
 from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from maskwright.llm.embedding_links import embedding_links
 from maskwright.llm.language import predict_language, train_language
 from maskwright.llm.mixing import mix_sources
 from maskwright.llm.near_duplicates import near_duplicates
@@ -148,3 +149,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", fold.alias("held_out"), toxicity_score(F.col("text"), model).alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= PREDICTED).cast("int"))
+
+
+@query
+def op3_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links(table(spark, folder, "embeddings"))
