@@ -15,6 +15,7 @@ from maskwright.llm.embedding_links import embedding_links
 from maskwright.llm.language import predict_language, train_language
 from maskwright.llm.mixing import mix_sources
 from maskwright.llm.near_duplicates import near_duplicates
+from maskwright.llm.nearest import nearest
 from maskwright.llm.quality import labelled, quality_score, train_quality
 from maskwright.llm.secrets import scan_secrets
 from maskwright.llm.spans import count_of, listed
@@ -154,3 +155,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_links(table(spark, folder, "embeddings"))
+
+
+@query
+def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    found = nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
