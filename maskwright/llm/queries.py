@@ -16,6 +16,8 @@ from maskwright.llm.language import predict_language, train_language
 from maskwright.llm.mixing import mix_sources
 from maskwright.llm.near_duplicates import near_duplicates
 from maskwright.llm.nearest import nearest
+from maskwright.llm.personal_data import BASE as PERSONAL
+from maskwright.llm.personal_data import personal_data
 from maskwright.llm.quality import labelled, quality_score, train_quality
 from maskwright.llm.secrets import scan_secrets
 from maskwright.llm.spans import count_of, listed
@@ -161,3 +163,16 @@ def op3_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
 def op6_nearest(spark: SparkSession, folder: str) -> DataFrame:
     found = nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
     return found.select("query_id", "rank", "vec_id", "score")
+
+
+@query
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*PERSONAL))
+    return found.select(
+        "doc_id",
+        *(count_of(spans, kind).alias(f"n_{kind}") for kind in PERSONAL),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(spans).alias("spans"),
+    )

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.spans import SPAN, Kind, redacted, with_spans
+from maskwright.llm.spans import SPAN, Kind, covered, redacted, with_spans
 from maskwright.llm.tables import column, free_name, quoted
 
 ASSIGN = (
@@ -63,9 +63,7 @@ KINDS = (
 )
 
 
-def scan_secrets(
-    docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE
-) -> DataFrame:
+def scan_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """``docs`` with the spans of its secrets as the last column, ``secrets`` or the next
     free name: array<struct<start, place, kind, end, value>>, by start and then kind."""
     into = free_name(docs, "secrets")
@@ -85,7 +83,7 @@ def scan_secrets(
 def _linked(spans: Column, scope: int) -> Column:
     """The weak spans that overlap no strong one and have a part of another role in scope."""
     near = F.array_union(_sweep(spans, scope, True), _sweep(spans, scope, False))
-    return F.array_except(near, _covered(spans))
+    return F.array_except(near, covered(spans, BASE))
 
 
 def _sweep(spans: Column, scope: int, rightward: bool) -> Column:
@@ -125,33 +123,6 @@ def _sweep(spans: Column, scope: int, rightward: bool) -> Column:
     return F.aggregate(events, nothing, step, lambda state: state["out"])
 
 
-def _covered(spans: Column) -> Column:
-    """Weak spans that overlap a strong one: entered before it is left, or the other way."""
-
-    def step(state: Column, span: Column) -> Column:
-        strong = span["kind"].isin(*BASE)
-        # Weak spans that start within the strong ones so far, and those that reach into one.
-        inside = ~strong & (span["start"] < state["strong"])
-        reached = F.filter(state["weak"], lambda w: strong & (w["end"] > span["start"]))
-        out = F.concat(state["out"], F.when(inside, F.array(span)).otherwise(reached))
-        pending = F.filter(state["weak"], lambda w: (w["end"] > span["start"]) & ~strong)
-        weak = F.when(strong | inside, pending).otherwise(F.array_append(pending, span))
-        return F.struct(
-            F.when(strong, F.greatest(state["strong"], span["end"]))
-            .otherwise(state["strong"])
-            .alias("strong"),
-            weak.alias("weak"),
-            out.alias("out"),
-        )
-
-    nothing = F.struct(
-        F.lit(0).alias("strong"),
-        F.array().cast(SPAN).alias("weak"),
-        F.array().cast(SPAN).alias("out"),
-    )
-    return F.aggregate(spans, nothing, step, lambda state: state["out"])
-
-
 def _role(kind: Column) -> Column:
     role = F.lit("secret")
     for name, own in ROLES.items():

@@ -52,7 +52,9 @@ def with_spans(df: DataFrame, text: Column, kinds: Sequence[Kind], into: str) ->
 def _placed(text: Column, matches: Column, kind: Kind, place: int) -> Column:
     pieces = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(matches))
     both = F.zip_with(
-        F.transform(pieces, F.length), matches, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value"))
+        F.transform(pieces, F.length),
+        matches,
+        lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")),
     )
 
     def step(state: Column, match: Column) -> Column:
@@ -84,6 +86,33 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def covered(spans: Column, kinds: Sequence[str]) -> Column:
+    """Spans of other kinds that overlap one of these kinds; ``spans`` are in order."""
+
+    def step(state: Column, span: Column) -> Column:
+        strong = span["kind"].isin(*kinds)
+        # Those that start within the strong ones so far, and those that reach into one.
+        inside = ~strong & (span["start"] < state["strong"])
+        reached = F.filter(state["weak"], lambda w: strong & (w["end"] > span["start"]))
+        out = F.concat(state["out"], F.when(inside, F.array(span)).otherwise(reached))
+        pending = F.filter(state["weak"], lambda w: (w["end"] > span["start"]) & ~strong)
+        weak = F.when(strong | inside, pending).otherwise(F.array_append(pending, span))
+        return F.struct(
+            F.when(strong, F.greatest(state["strong"], span["end"]))
+            .otherwise(state["strong"])
+            .alias("strong"),
+            weak.alias("weak"),
+            out.alias("out"),
+        )
+
+    nothing = F.struct(
+        F.lit(0).alias("strong"),
+        F.array().cast(SPAN).alias("weak"),
+        F.array().cast(SPAN).alias("out"),
+    )
+    return F.aggregate(spans, nothing, step, lambda state: state["out"])
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with ``<KIND>`` in the place of each span; overlapping ones become one."""
 

@@ -309,7 +309,8 @@ def train_toxicity(examples: DataFrame, counts: np.ndarray) -> Model:
 
     counted = sample.mapInPandas(count, "bucket bigint, clean bigint, toxic bigint")
     sums = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    table = sums.toPandas()  # one row for each bucket at most
+    # One row for each bucket at most; what fewer than two toxic texts have proves nothing.
+    table = sums.filter("toxic > 1 OR bucket < 0").toPandas()
     all_clean, all_toxic = table.loc[table["bucket"] < 0, ["clean", "toxic"]].to_numpy()[0]
     seen = table[table["bucket"] >= 0]
     clean, toxic = (seen[c].to_numpy() + 0.5 for c in ("clean", "toxic"))
