@@ -82,11 +82,19 @@ def keyed_hash(
     """Token of a value: the hex digest of key, text and base64 of the text.
 
     Null gives null; empty and all-whitespace texts are returned as they are.
-    Other types than strings are hashed by their text form.
+    Other types than strings are hashed by their text form, timestamps by that in the
+    session's time zone: a column does not know its type. The result is named
+    ``keyed_hash``, since Spark's own name for it would spell out the key.
     """
-    chosen = algorithm_named(algorithm, reference_crc32=reference_crc32)
     text = as_column(value).cast("string")
-    digest = chosen.native or chosen.udf()
+    return token(text, key, algorithm_named(algorithm, reference_crc32=reference_crc32)).alias(
+        "keyed_hash"
+    )
+
+
+def token(text: Column, key: str, algorithm: Algorithm) -> Column:
+    """The token of a text, without a name."""
+    digest = algorithm.native or algorithm.udf()
     return F.coalesce(digest(message_to_digest(text, key)), text)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The code points for which Java's Character.isWhitespace holds.
 BLANK_CODE_POINTS = (
@@ -14,6 +15,15 @@ BLANK_CODE_POINTS = (
 BLANK_CHARACTERS = "".join(map(chr, BLANK_CODE_POINTS))
 
 
+def text_form(value: Column, kind: T.DataType | None) -> Column:
+    """The text of a value, the same whatever the session's time zone: timestamps as in UTC."""
+    if not isinstance(kind, T.TimestampType):
+        return value.cast("string")
+    seconds = F.unix_micros(value).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).cast("string")
+
+
 def is_blank(text: Column) -> Column:
     """True for an empty or all-whitespace text, null for null.
 

@@ -94,9 +94,12 @@ def _run(
         )
         return Done(_written(operator(records), sink), 0)
 
-    if source.fmt in _LINE_FORMATS and not _spans_lines(source.options):
+    if source.fmt in _LINE_FORMATS and not _needs_files(source.options):
         routed = split_by_unit(
-            read_lines(spark, source.path), source.fmt, source.schema, options=source.options
+            read_lines(spark, source.path, options=source.options),
+            source.fmt,
+            source.schema,
+            options=source.options,
         )
     else:
         routed = split_files(
@@ -110,9 +113,12 @@ def _run(
     return Done(count, routed.failed_units)
 
 
-def _spans_lines(options: Mapping[str, str]) -> bool:
+def _needs_files(options: Mapping[str, str]) -> bool:
+    """Whether records are more or other than lines that Spark can split by itself."""
     settings = {name.lower(): str(value).lower() for name, value in options.items()}
-    return "true" in (settings.get("header"), settings.get("multiline"))
+    encoding = settings.get("encoding", settings.get("charset", "utf-8"))
+    wide = encoding.startswith(("utf-16", "utf-32", "utf16", "utf32"))
+    return wide or "true" in (settings.get("header"), settings.get("multiline"))
 
 
 def _written(df: DataFrame, sink: Sink) -> int:

@@ -7,13 +7,15 @@ from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from maskwright.functions.keyed import (
     DEFAULT_ALGORITHM,
     algorithm_named,
     checked_key,
-    keyed_hash,
+    token,
 )
+from maskwright.functions.message import text_form
 from maskwright.plans.paths import Place, Step, parse, quoted, read, value_of
 from maskwright.plans.settings import (
     require_name,
@@ -57,7 +59,7 @@ def key_hash_dictionary(
     plaintext = F.col(quoted(plaintext_name))
     pairs = df.select(F.explode(_texts(places)).alias(plaintext_name))
     pairs = pairs.where(plaintext.isNotNull() & (plaintext != ""))
-    return pairs.select(keyed_hash(plaintext, key, chosen.id).alias(hash_name), plaintext)
+    return pairs.select(token(plaintext, key, chosen).alias(hash_name), plaintext)
 
 
 def _texts(places: list[Place]) -> Column:
@@ -67,7 +69,7 @@ def _texts(places: list[Place]) -> Column:
         if many:
             arrays += [_flat_texts(place) for place in group]
         else:
-            arrays.append(F.array(*[value_of(place).cast("string") for place in group]))
+            arrays.append(F.array(*[text_form(value_of(place), place.type) for place in group]))
     if not arrays:
         return _no_texts()
     return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
@@ -80,14 +82,17 @@ def _no_texts() -> Column:
 def _flat_texts(place: Place) -> Column:
     *above, last = place.steps
     if last.open:
-        texts = read(None, tuple(above), lambda line: _elements(line[-1], last))
+        texts = read(None, tuple(above), lambda line: _elements(line[-1], place, last))
     else:
-        texts = read(None, place.steps, lambda line: line[-1].cast("string"))
+        texts = read(None, place.steps, lambda line: text_form(line[-1], place.type))
     for _ in range(place.depth - 1):
         # A null array among others would make the flat array null.
         texts = F.flatten(F.filter(texts, lambda inner: inner.isNotNull()))
     return F.coalesce(texts, _no_texts())
 
 
-def _elements(node: Column, step: Step) -> Column:
-    return (F.map_values(node) if step.in_map else node).cast("array<string>")
+def _elements(node: Column, place: Place, step: Step) -> Column:
+    values = F.map_values(node) if step.in_map else node
+    if isinstance(place.type, T.TimestampType):
+        return F.transform(values, lambda value: text_form(value, place.type))
+    return values.cast("array<string>")

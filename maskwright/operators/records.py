@@ -17,9 +17,10 @@ from maskwright.functions.keyed import (
     Algorithm,
     algorithm_named,
     checked_key,
-    keyed_hash,
     message_to_digest,
+    token,
 )
+from maskwright.functions.message import text_form
 from maskwright.plans.paths import Path, Place, Replacement, parse, read, replaced, value_of
 from maskwright.plans.settings import (
     mapping_in_order,
@@ -152,15 +153,19 @@ def _apply(
                 helpers[name] = _digests(place, source, algorithm, key)
                 replacements.append(Replacement(place, _pick(source), F.col(name)))
             else:
-                helpers[name] = keyed_hash(value_of(source), key, algorithm.id)
+                helpers[name] = token(_text(source), key, algorithm)
                 replacements.append(Replacement(place, _column(name)))
     if helpers:
         df = df.withColumns(helpers)
     return df.withColumns(replaced(replacements)).drop(*helpers)
 
 
+def _text(source: Place, *line) -> Column:
+    return text_form(value_of(source, *line), source.type)
+
+
 def _hash(source: Place, algorithm: Algorithm, key: str):
-    return lambda line, _: keyed_hash(value_of(source, line), key, algorithm.id)
+    return lambda line, _: token(_text(source, line), key, algorithm)
 
 
 def _digests(place: Place, source: Place, algorithm: Algorithm, key: str) -> Column:
@@ -168,13 +173,13 @@ def _digests(place: Place, source: Place, algorithm: Algorithm, key: str) -> Col
     messages = read(
         None,
         place.steps,
-        lambda line: message_to_digest(value_of(source, line).cast("string"), key),
+        lambda line: message_to_digest(_text(source, line), key),
     )
     return algorithm.udf(depth)(messages)
 
 
 def _pick(source: Place):
-    return lambda line, digest: F.coalesce(digest, value_of(source, line).cast("string"))
+    return lambda line, digest: F.coalesce(digest, _text(source, line))
 
 
 def _column(name: str):

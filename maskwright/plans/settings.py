@@ -35,8 +35,7 @@ def mapping_in_order(
     ]
 
 
-# Fixed value: the message for a mapping without entries.
-NO_PATHS = "At least one RecordPath must be specified"
+NO_PATHS = "there is no path to hash"
 
 
 def require_some(paths: Mapping | Sequence) -> None:
@@ -52,10 +51,14 @@ def require_name(name: str, what: str) -> str:
 
 def require_text_form(place: Place, path: Path) -> Place:
     """The place, if its values have a plain text form to hash."""
-    nested = not isinstance(place.type, (T.AtomicType, T.NullType))
-    if nested or isinstance(place.type, (T.BinaryType, T.VariantType)):
+    require_text_type(place.type, f"{path.text!r} selects")
+    return place
+
+
+def require_text_type(kind: T.DataType, what: str) -> None:
+    nested = not isinstance(kind, (T.AtomicType, T.NullType))
+    if nested or isinstance(kind, (T.BinaryType, T.VariantType)):
         raise ValueError(
-            f"{path.text!r} selects a {place.type.simpleString()}, which has no plain text "
-            "form; add a string column, such as to_json(...), and hash that"
+            f"{what} a {kind.simpleString()}, which has no plain text form; add a string "
+            "column, such as to_json(...), and hash that"
         )
-    return place

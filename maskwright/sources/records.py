@@ -15,6 +15,26 @@ UNIT = "unit"
 RECORDS = "records"
 
 
+# Options that say which files are read and where their lines end. Readers of lines get
+# these, parsers of lines the others.
+READER_OPTIONS = frozenset(
+    name.lower()
+    for name in (
+        "basePath", "encoding", "charset", "ignoreCorruptFiles", "ignoreMissingFiles", "lineSep",
+        "modifiedAfter", "modifiedBefore", "pathGlobFilter", "recursiveFileLookup",
+        "maxFilesPerTrigger", "maxBytesPerTrigger", "latestFirst", "maxFileAge", "fileNameOnly",
+    )
+)
+
+
+def reader_options(options: Mapping[str, str] | None) -> dict[str, str]:
+    return {k: v for k, v in (options or {}).items() if k.lower() in READER_OPTIONS}
+
+
+def parser_options(options: Mapping[str, str] | None) -> dict[str, str]:
+    return {k: v for k, v in (options or {}).items() if k.lower() not in READER_OPTIONS}
+
+
 def read_records(
     spark: SparkSession,
     path: str | list[str],

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskwright.sources.records import UNIT
+from maskwright.plans.paths import name_folding, quoted
+from maskwright.sources.records import UNIT, parser_options, reader_options
 from maskwright.sources.scratch import shared_folder
 
 LINE = "line"
@@ -22,6 +23,7 @@ BLOCK = "block"
 _RECORD = "__record"
 _CORRUPT = "__corrupt"
 _SALT = "__salt"
+_PARTITION = "__partition"
 
 # Paths of failed units are broadcast up to this many bytes, and joined by a
 # shuffle beyond it, where each unit is spread over this many groups.
@@ -48,13 +50,39 @@ def read_lines(
     options: Mapping[str, str] | None = None,
     folders: bool = False,
 ) -> DataFrame:
-    """The lines of text files, each with its unit and the start of its block there."""
-    lines = spark.read.options(**(options or {})).text(path)
-    return lines.select(*line_columns(folders))
+    """The lines of text files, each with its unit and the start of its block there.
+
+    Of ``options`` those count that say which files are read, where their lines end
+    and how they are encoded. The columns of partition folders come along.
+    """
+    lines = spark.read.options(**line_options(options)).text(path)
+    return with_places(lines, options, folders)
+
+
+def line_options(options: Mapping[str, str] | None) -> dict[str, str]:
+    """The options of a reader of lines; it reads bytes, which are decoded afterwards."""
+    given = reader_options(options)
+    encoding = _encoding(options)
+    if encoding not in ("UTF-8", "UTF8", "US-ASCII", "ISO-8859-1", "WINDOWS-1252"):
+        raise ValueError(f"lines in {encoding} can't be routed; use split_files")
+    return {k: v for k, v in given.items() if k.lower() not in ("encoding", "charset")}
 
 
-def line_columns(folders: bool = False) -> list[Column]:
-    return [*place_columns(folders), F.col("value").alias(LINE)]
+def _encoding(options: Mapping[str, str] | None) -> str:
+    named = {k.lower(): v for k, v in (options or {}).items()}
+    return str(named.get("encoding", named.get("charset", "UTF-8"))).upper()
+
+
+def with_places(
+    lines: DataFrame, options: Mapping[str, str] | None = None, folders: bool = False
+) -> DataFrame:
+    """Lines as Spark's text source gives them, in the form that routing takes."""
+    line = F.col("value")
+    if not _encoding(options).startswith("UTF"):
+        line = F.decode(line.cast("binary"), _encoding(options))
+    parts = [F.col(quoted(name)) for name in lines.columns if name != "value"]
+    partition = [F.struct(*parts).alias(_PARTITION)] if parts else []
+    return lines.select(*place_columns(folders), line.alias(LINE), *partition)
 
 
 def place_columns(folders: bool = False) -> list[Column]:
@@ -75,10 +103,34 @@ def split_by_unit(
     *,
     options: Mapping[str, str] | None = None,
 ) -> Routed:
-    """Split lines of JSON or CSV records into those of good and of failed units."""
-    record = _parse(fmt, _with_corrupt(schema), _permissive(options))
-    parsed = lines.where(F.trim(LINE) != "").withColumn(_RECORD, record)
-    return _route(parsed, F.lit(True), schema, lines)
+    """Split lines of JSON or CSV records into those of good and of failed units.
+
+    Fields that are columns of partition folders are taken from these; folder columns
+    that are not in the schema come after its fields.
+    """
+    checked = _with_corrupt(schema)
+    partition = _partition(lines)
+    folded = name_folding()
+    own = {folded(name) for name in partition}
+    in_lines = T.StructType([f for f in checked.fields if folded(f.name) not in own])
+    record = _parse(fmt, in_lines, _permissive(parser_options(options)))
+    parsed = lines.where(_is_record(fmt, options)).withColumn(_RECORD, record)
+    return _route(parsed, F.lit(True), schema, lines, partition)
+
+
+def _partition(lines: DataFrame) -> list[str]:
+    return lines.schema[_PARTITION].dataType.names if _PARTITION in lines.columns else []
+
+
+def _is_record(fmt: str, options: Mapping[str, str] | None) -> Column:
+    """Whether a line is more than what the format's own reader passes over."""
+    if fmt != "csv":
+        return F.rtrim(F.col(LINE), F.lit(" \t\r\n")) != ""
+    # Everything up to the space, as in Java's trim.
+    blank = F.lit("".join(map(chr, range(33))))
+    kept = F.rtrim(F.col(LINE), blank) != ""
+    comment = {k.lower(): v for k, v in (options or {}).items()}.get("comment")
+    return kept & ~F.col(LINE).startswith(comment) if comment else kept
 
 
 def split_files(
@@ -99,11 +151,21 @@ def split_files(
     # This comparison always holds, but makes it convert all of them.
     texts = [F.col(_RECORD)[field.name].cast("string") for field in schema.fields]
     all_read = F.xxhash64(*texts) >= F.lit(-(2**63))
-    return _route(parsed, all_read, schema, read_lines(spark, path, folders=folders))
+    named = {name_folding()(field.name) for field in schema.fields}
+    loaded = [n for n in parsed.schema[_RECORD].dataType.names if n != _CORRUPT]
+    extra = [name for name in loaded if name_folding()(name) not in named]
+    found = {k: v for k, v in reader_options(options).items() if k.lower() != "linesep"}
+    lines = read_lines(spark, path, options=found, folders=folders)
+    return _route(parsed, all_read, schema, lines, [], extra)
 
 
 def _route(
-    parsed: DataFrame, all_read: Column, schema: T.StructType, lines: DataFrame
+    parsed: DataFrame,
+    all_read: Column,
+    schema: T.StructType,
+    lines: DataFrame,
+    partition: list[str],
+    extra: list[str] | None = None,
 ) -> Routed:
     """A first job finds the failed units. Each task reduces its lines to one flag
     for each unit before anything is shuffled, so one huge file is no hot spot.
@@ -131,7 +193,8 @@ def _route(
         bad = bad.select(UNIT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(_SALT))
         good = _salted(parsed).join(bad, on, "left_anti")
         failure = _salted(lines).join(bad, on, "left_semi")
-    fields = _fields(schema)
+    fields = _fields(schema, partition)
+    fields += [F.col(_RECORD)[name].alias(name) for name in extra or []]
     return Routed(
         good.select(UNIT, *fields), good.select(*fields), failure.select(UNIT, LINE), count
     )
@@ -144,8 +207,15 @@ def _salted(df: DataFrame) -> DataFrame:
     return df.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
 
 
-def _fields(schema: T.StructType) -> list[Column]:
-    return [F.col(_RECORD)[field.name].alias(field.name) for field in schema.fields]
+def _fields(schema: T.StructType, partition: list[str]) -> list[Column]:
+    folded = name_folding()
+    folders = {folded(name): name for name in partition}
+    columns = []
+    for field in schema.fields:
+        name = folders.pop(folded(field.name), None)
+        value = F.col(_RECORD)[field.name] if name is None else F.col(_PARTITION)[name]
+        columns.append((value if name is None else value.cast(field.dataType)).alias(field.name))
+    return columns + [F.col(_PARTITION)[name].alias(name) for name in folders.values()]
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:

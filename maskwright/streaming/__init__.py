@@ -1,8 +1,17 @@
 from maskwright.streaming.streams import (
     start_routing,
+    start_routing_files,
     start_writing,
+    stream_files,
     stream_lines,
     stream_records,
 )
 
-__all__ = ["start_routing", "start_writing", "stream_lines", "stream_records"]
+__all__ = [
+    "start_routing",
+    "start_routing_files",
+    "start_writing",
+    "stream_files",
+    "stream_lines",
+    "stream_records",
+]

@@ -14,7 +14,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from maskwright.sources.records import RECORDS, UNIT
-from maskwright.sources.routing import line_columns, split_by_unit, unit_column
+from maskwright.sources.routing import (
+    Routed,
+    line_options,
+    split_by_unit,
+    split_files,
+    unit_column,
+    with_places,
+)
 
 
 def stream_records(
@@ -34,11 +41,30 @@ def stream_records(
 
 
 def stream_lines(
-    spark: SparkSession, path: str, *, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    options: Mapping[str, str] | None = None,
+    files_per_trigger: int | None = None,
+    folders: bool = False,
 ) -> DataFrame:
-    """Lines of text files as they arrive, each with its file, for ``start_routing``."""
-    lines = _limited(spark.readStream.format("text"), files_per_trigger).load(path)
-    return lines.select(*line_columns())
+    """Lines of text files as they arrive, each with its file or folder, for
+    ``start_routing``; ``options`` as in ``read_lines``."""
+    reader = spark.readStream.format("text").options(**line_options(options))
+    return with_places(_limited(reader, files_per_trigger).load(path), options, folders)
+
+
+def stream_files(
+    spark: SparkSession,
+    path: str,
+    *,
+    options: Mapping[str, str] | None = None,
+    files_per_trigger: int = 100,
+) -> DataFrame:
+    """Paths of files as they arrive, for ``start_routing_files``. Nothing is read yet."""
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).options(**(options or {}))
+    return _limited(reader, files_per_trigger).load(path).select("path")
 
 
 def _limited(reader, files_per_trigger: int | None):
@@ -78,26 +104,66 @@ def start_routing(
 ) -> StreamingQuery:
     """Route each arriving file as a whole: transformed records or unchanged lines.
 
-    Both go to Parquet, in one ``batch_id=n`` folder for each micro-batch. A batch
-    that is run again after a failure overwrites its own folder, so every record
-    is there once.
+    Both go to Parquet, in one ``query_id=q/batch_id=n`` folder for each micro-batch.
+    The id of a query is in its checkpoint, so a batch that is run again after a failure
+    overwrites its own folder and every record is there once, while another query may
+    write to the same place. A batch is read three times and never cached, as it may be
+    the whole backlog.
     """
 
+    def routed(batch: DataFrame) -> Routed:
+        return split_by_unit(batch, fmt, schema, options=options)
+
+    return _start(lines, routed, success_path, failure_path, checkpoint, transform, available_now)
+
+
+def start_routing_files(
+    files: DataFrame,
+    fmt: str,
+    schema: T.StructType,
+    *,
+    success_path: str,
+    failure_path: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame] = lambda records: records,
+    options: Mapping[str, str] | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """The same for the files of ``stream_files`` whose records are not their lines: XML,
+    CSV with a header, JSON over several lines. A batch has as many paths as the stream
+    allows."""
+
+    def routed(batch: DataFrame) -> Routed:
+        paths = [row["path"] for row in batch.collect()]
+        return split_files(batch.sparkSession, paths, fmt, schema, options=options)
+
+    return _start(files, routed, success_path, failure_path, checkpoint, transform, available_now)
+
+
+def _start(
+    source: DataFrame,
+    routed: Callable[[DataFrame], Routed],
+    success_path: str,
+    failure_path: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame],
+    available_now: bool,
+) -> StreamingQuery:
     def route(batch: DataFrame, batch_id: int) -> None:
-        lines_once = batch.persist()
-        try:
-            routed = split_by_unit(lines_once, fmt, schema, options=options)
-            _overwrite(transform(routed.success), success_path, batch_id)
-            _overwrite(routed.failure, failure_path, batch_id)
-        finally:
-            lines_once.unpersist()
-
-    writer = lines.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+        if batch.isEmpty():
+            return
+        found = routed(batch)
+        folder = f"query_id={_query_id(batch.sparkSession, checkpoint)}/batch_id={batch_id}"
+        for df, path in ((transform(found.success), success_path), (found.failure, failure_path)):
+            df.write.mode("overwrite").parquet(f"{path}/{folder}")
+
+    writer = source.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return _triggered(writer, available_now).start()
 
 
-def _overwrite(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave a query, which stays the same when it is started again."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
 def _triggered(writer, available_now: bool):

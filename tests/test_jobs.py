@@ -80,3 +80,49 @@ def test_a_schema_is_needed(spark, tmp_path):
     source = Source(put(tmp_path / "in", JSON), "json")
     with pytest.raises(ValueError, match="schema"):
         hash_files(spark, source, Sink("x", "orc"), {"/a": "/a"}, key=KEY)
+
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_reader_options_hold_in_jobs(spark, tmp_path, fmt):
+    def line(number, name):
+        return f'{{"id":{number},"name":"{name}"}}' if fmt == "json" else f"{number},{name},"
+
+    def job(name, options):
+        source = Source(f"{tmp_path}/{name}", fmt, SCHEMA, options)
+        sink = Sink(f"{tmp_path}/{name}-out", "parquet", failure_path=f"{tmp_path}/{name}-bad")
+        done = hash_files(spark, source, sink, {"/size": "/name"}, key=KEY)
+        written = spark.read.parquet(sink.path)
+        return done, sorted((r["id"], r["name"]) for r in written.collect())
+
+    put(tmp_path / "deep", {f"a.{fmt}": line(1, "x") + "\n"})
+    put(tmp_path / "deep" / "more", {f"b.{fmt}": line(2, "y") + "\n"})
+    assert job("deep", {"recursiveFileLookup": "true"}) == (Done(2, 0), [(1, "x"), (2, "y")])
+    put(tmp_path / "glob", {f"a.{fmt}": line(1, "x") + "\n", "b.log": line(2, "y") + "\n"})
+    assert job("glob", {"pathGlobFilter": f"*.{fmt}"}) == (Done(1, 0), [(1, "x")])
+    put(tmp_path / "sep", {f"a.{fmt}": ";".join([line(1, "x"), line(2, "y")])})
+    assert job("sep", {"lineSep": ";"}) == (Done(2, 0), [(1, "x"), (2, "y")])
+    (tmp_path / "latin").mkdir()
+    (tmp_path / "latin" / f"a.{fmt}").write_bytes((line(1, "é") + "\n").encode("latin-1"))
+    assert job("latin", {"encoding": "ISO-8859-1"}) == (Done(1, 0), [(1, "é")])
+
+
+def test_partition_folders_in_jobs(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in (1, 2):
+        put(tmp_path / "in" / f"k={k}", {"a.json": f'{{"id":{k},"name":"n"}}\n'})
+    sink = Sink(f"{tmp_path}/out", "parquet")
+    hash_files(spark, Source(f"{tmp_path}/in", "json", SCHEMA), sink, {"/name": "/name"}, key=KEY)
+    assert sorted((r.id, r.k) for r in spark.read.parquet(sink.path).collect()) == [(1, 1), (2, 2)]
+
+
+def test_dictionary_honours_options(spark, tmp_path):
+    source = put(tmp_path / "in", {"a.json": '{"id":1,"name":"x"};{"id":2,"name":"y"}'})
+    done = dictionary_of_files(
+        spark,
+        Source(source, "json", SCHEMA, {"lineSep": ";"}),
+        Sink(f"{tmp_path}/out", "parquet"),
+        {"n": "/name"},
+        key=KEY,
+    )
+    assert done == Done(2, 0)

@@ -6,7 +6,14 @@ from pyspark.sql import types as T
 from maskwright import hash_fields
 from maskwright.sources import read_lines, routing, split_by_unit, split_files
 from maskwright.sources.routing import LINE
-from maskwright.streaming import start_routing, start_writing, stream_lines, stream_records
+from maskwright.streaming import (
+    start_routing,
+    start_routing_files,
+    start_writing,
+    stream_files,
+    stream_lines,
+    stream_records,
+)
 from tests.fixtures import KEY
 
 SCHEMA = T.StructType().add("id", "integer").add("name", "string").add("size", "integer")
@@ -223,14 +230,71 @@ def test_stream_routing(spark, tmp_path):
         )
         query.awaitTermination()
 
-    for checkpoint in (f"{tmp_path}/c1", f"{tmp_path}/c2"):
-        # The second run repeats all batches, as after a lost checkpoint.
+    # Another query, with a checkpoint of its own, leaves what is there alone.
+    for number, checkpoint in enumerate((f"{tmp_path}/c1", f"{tmp_path}/c2"), 1):
         run(checkpoint)
         good = spark.read.parquet(success)
-        assert sorted(r.id for r in good.collect()) == [1, 2]
-        assert good.select("batch_id").distinct().count() == 1
+        assert sorted(r.id for r in good.collect()) == sorted([1, 2] * number)
+        assert good.select("query_id").distinct().count() == number
         bad = spark.read.parquet(failure)
-        assert sorted((r.unit.rsplit("/", 1)[1], r[LINE]) for r in bad.collect()) == lines_of(
-            JSON, "cut.json", "type.json"
-        )
-        assert bad.select("batch_id").distinct().count() == 2
+        names = lines_of(JSON, "cut.json", "type.json")
+        found = sorted((r.unit.rsplit("/", 1)[1], r[LINE]) for r in bad.collect())
+        assert found == sorted(names * number)
+    # The last batch once more, as after a failure before it was committed.
+    commits = sorted((tmp_path / "c2" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    (tmp_path / "c2" / "commits" / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    commits[-1].unlink()
+    run(f"{tmp_path}/c2")
+    assert sorted(r.id for r in spark.read.parquet(success).collect()) == [1, 1, 2, 2]
+    assert spark.read.parquet(failure).count() == 2 * len(names)
+
+
+def test_stream_of_files_that_are_no_lines(spark, tmp_path):
+    files = {name: "id,name,size\n" + text for name, text in CSV.items()}
+    source = put(tmp_path / "in", files)
+    success, failure = f"{tmp_path}/success", f"{tmp_path}/failure"
+    query = start_routing_files(
+        stream_files(spark, source, files_per_trigger=2),
+        "csv",
+        SCHEMA,
+        success_path=success,
+        failure_path=failure,
+        checkpoint=f"{tmp_path}/c",
+        options={"header": "true"},
+        available_now=True,
+    )
+    query.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(success).collect()) == [1, 2]
+    bad = spark.read.parquet(failure).collect()
+    assert sorted((r.unit.rsplit("/", 1)[1], r[LINE]) for r in bad) == lines_of(
+        files, "short.csv", "type.csv"
+    )
+
+
+def test_blank_lines_are_no_records(spark, tmp_path):
+    folder = put(tmp_path / "b", {"a.json": '{"id":1}\n\t\n \t\r\n', "b.json": '{"id":2}\n'})
+    routed = split_by_unit(read_lines(spark, folder), "json", SCHEMA)
+    assert outcome(routed) == ([1, 2], [])
+    rows = sorted(routed.records.collect())
+    assert rows == sorted(spark.read.schema(SCHEMA).json(folder).collect())
+    folder = put(tmp_path / "c", {"a.csv": "1,a,1\n\t \n\x01\n#2,b,2\n"})
+    options = {"comment": "#"}
+    routed = split_by_unit(read_lines(spark, folder), "csv", SCHEMA, options=options)
+    assert routed.records.collect() == spark.read.schema(SCHEMA).csv(folder, comment="#").collect()
+
+
+def test_partition_folders(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    for k in (1, 2):
+        put(tmp_path / "p" / f"k={k}", {"a.json": f'{{"id":{k}}}\n'})
+    folder = f"{tmp_path}/p"
+    with_k = T.StructType().add("k", "string").add("id", "integer")
+    for schema in (SCHEMA, with_k):
+        expected = spark.read.schema(schema).json(folder)
+        for routed in (
+            split_by_unit(read_lines(spark, folder), "json", schema),
+            split_files(spark, folder, "json", schema),
+        ):
+            assert sorted(routed.records.columns) == sorted(expected.columns)
+            got = routed.records.select(expected.columns)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
