@@ -25,7 +25,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Half of the pre-tokens kept with their ids by a Python worker, and the longest that is kept.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 150_000
 KEPT_LENGTH = 48
 #: Texts over so many characters are matched piece by piece and not as one list.
 LISTED_TEXT = 1_000_000
@@ -38,54 +38,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(part[0]): int(part[1]) for part in parts if part}
 
 
-class RankQueue:
-    """Positions by rank, lowest rank first and then lowest position.
+class Encoder:
+    """Ids of texts by ranks; each match of the pattern is encoded on its own.
 
-    A bucket for each rank; a bit for each bucket that is not empty, in words of about the
-    square root of their number; above these, a bit for each word that is not zero.
+    The queue: a bucket of positions for each rank; a bit for each bucket that is not
+    empty, in words of about the square root of their number of bits; above these, a bit
+    for each word that is not zero. It is empty between pre-tokens.
     """
 
-    def __init__(self, ranks: int):
-        self.shift = max(1, (max(ranks, 2) - 1).bit_length() + 1 >> 1)
-        self.low = (1 << self.shift) - 1
-        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
-        self.words = [0] * ((ranks >> self.shift) + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets[rank]
-        if bucket:
-            heappush(bucket, position)
-            return
-        bucket.append(position)
-        word = rank >> self.shift
-        if not self.words[word]:
-            self.top |= 1 << word
-        self.words[word] |= 1 << (rank & self.low)
-
-    def pop(self) -> tuple[int, int]:
-        """The first entry of a queue that is not empty, that is, whose top is not zero."""
-        word = (self.top & -self.top).bit_length() - 1
-        bits = self.words[word]
-        first = bits & -bits
-        rank = (word << self.shift) + first.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        bits ^= first
-        self.words[word] = bits
-        if not bits:
-            self.top ^= 1 << word
-        return rank, bucket.pop()
-
-
-class Encoder:
-    """Ids of texts by ranks; each match of the pattern is encoded on its own."""
-
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.longest = max(map(len, ranks), default=0)
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        count = max(ranks.values(), default=0) + 1
+        self.shift = max(1, (count - 1).bit_length() + 1 >> 1)
+        self.buckets: list[list[int]] = [[] for _ in range(count)]
+        self.words = [0] * ((count >> self.shift) + 1)
         # White space is Unicode's property; Python's own class also has four separators.
         spaces = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.pattern = regex.compile(spaces)
@@ -93,12 +59,11 @@ class Encoder:
 
     def merged(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        ranks, longest = self.ranks, self.longest
+        ranks = self.ranks
         if piece in ranks:
             return [ranks[piece]]
-        size = len(piece)
-        queue, rank_of = self.queue, ranks.get
-        push, pop = queue.push, queue.pop
+        size, shift, low = len(piece), self.shift, (1 << self.shift) - 1
+        rank_of, buckets, words, top = ranks.get, self.buckets, self.words, 0
         after = list(range(1, size + 1))
         before = list(range(-1, size))
         # What rank the pair that starts here has now; -1: none, or no start any more.
@@ -106,26 +71,51 @@ class Encoder:
         pair.append(-1)
         for i, rank in enumerate(pair):
             if rank >= 0:
-                push(rank, i)
-        while queue.top:
-            rank, i = pop()
+                if bucket := buckets[rank]:
+                    bucket.append(i)  # ascending, so a heap
+                    continue
+                bucket.append(i)
+                word = rank >> shift
+                words[word] |= 1 << (rank & low)
+                top |= 1 << word
+        while top:
+            # The lowest bit of the lowest word is the lowest rank.
+            word = (top & -top).bit_length() - 1
+            bits = words[word]
+            first = bits & -bits
+            rank = (word << shift) + first.bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                words[word] = bits = bits ^ first
+                if not bits:
+                    top ^= 1 << word
             if pair[i] != rank:
                 continue
             gone = after[i]
             middle = after[i] = after[gone]
             pair[gone] = pair[i] = -1
-            left = before[i]
             if middle < size:
                 before[middle] = i
-                end = after[middle]
-                if end - i <= longest and (rank := rank_of(piece[i:end], -1)) >= 0:
+                rank = rank_of(piece[i : after[middle]], -1)
+                if rank >= 0:
                     pair[i] = rank
-                    push(rank, i)
+                    bucket = buckets[rank]
+                    if not bucket:
+                        word = rank >> shift
+                        words[word] |= 1 << (rank & low)
+                        top |= 1 << word
+                    heappush(bucket, i)
+            left = before[i]
             if left >= 0:
-                pair[left] = -1
-                if middle - left <= longest and (rank := rank_of(piece[left:middle], -1)) >= 0:
-                    pair[left] = rank
-                    push(rank, left)
+                pair[left] = rank = rank_of(piece[left:middle], -1)
+                if rank >= 0:
+                    bucket = buckets[rank]
+                    if not bucket:
+                        word = rank >> shift
+                        words[word] |= 1 << (rank & low)
+                        top |= 1 << word
+                    heappush(bucket, left)
         ids, i = [], 0
         while i < size:
             end = after[i]

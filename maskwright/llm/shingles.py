@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORDS = 5
 _WORD = re.compile(r"\w+")
 #: Hashes of words kept by a Python worker.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 #: Words that are worked on at once.
 BLOCK_WORDS = 200_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)

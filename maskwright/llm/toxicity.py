@@ -42,7 +42,7 @@ BUCKETS = 1 << 20
 #: Standard errors by which log-odds are lowered, so that rare words prove little.
 CAUTION = 2.0
 READINGS, BEAM = 3, 24
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 SYMBOLS = 64
 #: Letters of a word's beginning that are scored.
 LONGEST = 9
