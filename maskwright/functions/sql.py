@@ -4,50 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from maskwright.functions.digests import LOW_DIGITS
 from maskwright.functions.keyed import ALGORITHMS, checked_key
-from maskwright.functions.message import BLANK_CHARACTERS
-
-_DIGESTS = {
-    "hash-sha256": "sha2({0}, 256)",
-    "hash-sha384": "sha2({0}, 384)",
-    "hash-sha512": "sha2({0}, 512)",
-    "hash-crc32": (
-        f"lower(reverse(lpad(hex(shiftleft(crc32({{0}}) & {LOW_DIGITS}, 4) | "
-        f"(shiftright(crc32({{0}}), 4) & {LOW_DIGITS})), 8, '0')))"
-    ),
-}
+from maskwright.functions.token_udf import token_udf
+
 _REDACTION = "spark.sql.redaction.string.regex"
 _BINARY_CONSTANT = "0x[0-9A-F]+"
 
 
 def register_sql_functions(spark: SparkSession, key: str) -> list[str]:
-    """Temporary SQL functions ``keyed_sha256(value)`` and so on, with the key built in."""
-    blank = f"trim(LEADING decode({_octets(BLANK_CHARACTERS)}, 'UTF-8') FROM value) = ''"
-    encoded = "replace(base64(CAST(value AS BINARY)), concat(chr(13), chr(10)), '')"
-    message = (
-        f"concat({_octets(checked_key(key))}, CAST(value AS BINARY), CAST({encoded} AS BINARY))"
-    )
-    guarded = f"CASE WHEN NOT ({blank}) THEN {message} END"
+    """Temporary SQL functions ``keyed_sha256(value)`` and so on, with the key built in.
+
+    They are Arrow UDFs that hold the key, which is thus in no SQL text, function body or
+    plan. ``keyed_hash`` on columns is the faster form of the digests that Spark has.
+    """
+    checked_key(key)
     names = []
     for algorithm in ALGORITHMS:
         name = "keyed_" + algorithm.id.removeprefix("hash-").lower()
-        if algorithm.udf:
-            spark.udf.register(f"{name}_digest", algorithm.udf())
-        digest = _DIGESTS.get(algorithm.id, f"{name}_digest({{0}})").format(guarded)
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) "
-            f"RETURNS STRING RETURN coalesce({digest}, value)"
-        )
+        spark.udf.register(name, token_udf(algorithm.id, key))
         names.append(name)
     return names
 
 
-def _octets(text: str) -> str:
-    """A binary constant, which needs no quoting."""
-    return f"X'{text.encode().hex()}'"
-
-
 def hide_keys(spark: SparkSession) -> None:
     """Keep keys, and all other binary constants, out of plans as Spark prints them.
 

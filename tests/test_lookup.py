@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from maskwright import hash_lookup, hash_lookup_map
+from maskwright import hash_fields, hash_lookup, hash_lookup_map, key_hash_dictionary
 from tests.fixtures import DIGESTS, KEY, SHA256_NULL_KEY, VALUE
 
 
@@ -51,3 +51,37 @@ def test_a_key_is_needed(spark):
             hash_lookup_map("v", key)
     with pytest.raises(ValueError, match="into"):
         hash_lookup(df, ["v"], key=KEY, into="")
+
+
+def test_types_without_a_text_form_are_refused(spark):
+    df = spark.sql("SELECT array(1) AS a, struct(1) AS s, X'00' AS b, map('k', 1) AS m")
+    for name in df.columns:
+        with pytest.raises(ValueError, match="no plain text form"):
+            hash_lookup(df, [name], key=KEY)
+
+
+def test_timestamps_have_one_text_form(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    tokens = set()
+    try:
+        for session in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            # The second is in an hour that New York has twice.
+            df = spark.sql(
+                "SELECT t, array(t) AS a, map('k', t) AS m FROM VALUES "
+                "(timestamp_micros(1700000000123000)), (timestamp_micros(1699165800000000)), "
+                "(timestamp_micros(-62000000000000001)) AS x(t)"
+            )
+            hashed = hash_fields(df, {"/t": ".", "/a[*]": ".", "/m[*]": "."}, key=KEY)
+            found = [(r.t, r.a[0], r.m["k"]) for r in hashed.collect()]
+            looked = [r.lookup.t for r in hash_lookup(df, ["t"], key=KEY).collect()]
+            pairs = key_hash_dictionary(df, {"t": "/t", "u": "/a[*]"}, key=KEY).collect()
+            assert all(len(set(row)) == 1 for row in found)
+            assert [row[0] for row in found] == looked
+            assert {p.hash for p in pairs} == set(looked)
+            texts = {p.plaintext for p in pairs}
+            assert "2023-11-14 22:13:20.123" in texts and "2023-11-05 06:30:00" in texts
+            tokens.add(tuple(looked))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(tokens) == 1 and len(set(tokens.pop())) == 3

@@ -1,6 +1,13 @@
 from __future__ import annotations
 
-from maskwright import ALGORITHMS, hash_fields, hide_keys, keyed_hash, register_sql_functions
+from maskwright import (
+    ALGORITHMS,
+    hash_fields,
+    hash_lookup_map,
+    hide_keys,
+    keyed_hash,
+    register_sql_functions,
+)
 from tests.fixtures import DIGESTS, KEY, VALUE
 
 
@@ -55,3 +62,23 @@ def test_hidden_keys(spark, capsys):
         assert KEY.encode().hex() not in printed.lower()
     finally:
         spark.conf.set(setting, before) if before else spark.conf.unset(setting)
+
+
+def test_the_key_is_in_no_name_and_no_function(spark, tmp_path, capsys):
+    df = spark.createDataFrame([(VALUE, {"a": VALUE})], "v string, m map<string,string>")
+    secret = (KEY, KEY.encode().hex(), KEY.encode().hex().upper())
+    plain = df.select(*(keyed_hash("v", KEY, a.id) for a in ALGORITHMS[:1]), hash_lookup_map("m", KEY))
+    assert plain.columns == ["keyed_hash", "hash_lookup"]
+    for algorithm in ALGORITHMS:
+        assert df.select(keyed_hash("v", KEY, algorithm.id)).columns == ["keyed_hash"]
+    plain.write.parquet(f"{tmp_path}/out")
+    written = "".join(
+        p.read_bytes().decode("latin-1") for p in (tmp_path / "out").glob("*.parquet")
+    )
+    said = spark.read.parquet(f"{tmp_path}/out").schema.json() + written
+    for name in register_sql_functions(spark, KEY):
+        spark.sql(f"EXPLAIN EXTENDED SELECT {name}(v) FROM {{df}}", df=df).show(truncate=False)
+        for row in spark.sql(f"DESCRIBE FUNCTION EXTENDED {name}").collect():
+            said += str(row)
+    said += capsys.readouterr().out
+    assert "keyed_sha256" in said and not any(text in said for text in secret)
