@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterable
-from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
 
@@ -24,7 +23,9 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Half of the pre-tokens kept with their ids by a Python worker, and the longest that is kept.
+from maskwright.llm.batches import task_udf
+
+#: Half of the pre-tokens kept with their ids by a task, and the longest that is kept.
 KEPT_PIECES = 150_000
 KEPT_LENGTH = 48
 #: Texts over so many characters are matched piece by piece and not as one list.
@@ -152,26 +153,24 @@ class _Kept(dict):
         return ids
 
 
-@lru_cache(maxsize=2)
-def _encoder(tokens: tuple[bytes, ...], numbers: tuple[int, ...], pattern: str) -> Encoder:
-    return Encoder(dict(zip(tokens, numbers)), pattern)
-
-
 def bpe_encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
     """The ids of a text column, ``array<int>``; null texts give an empty array."""
-    tokens, numbers = tuple(ranks), tuple(ranks.values())
 
-    def encode(texts: pa.Array) -> pa.Array:
-        ids_of = _encoder(tokens, numbers, pattern).ids
-        flat, ends = array("i"), [0]
-        for value in texts:
-            flat.extend(ids_of(value.as_py() or ""))
-            ends.append(len(flat))
-        values = pa.array(np.frombuffer(flat, dtype=np.int32) if flat else [], pa.int32())
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+    def make():
+        ids_of = Encoder(ranks, pattern).ids
+
+        def encode(texts: pa.Array) -> pa.Array:
+            flat, ends = array("i"), [0]
+            for value in texts:
+                flat.extend(ids_of(value.as_py() or ""))
+                ends.append(len(flat))
+            values = pa.array(np.frombuffer(flat, dtype=np.int32) if flat else [], pa.int32())
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+        return encode
 
     # Not deterministic for the optimizer only: else each use of the ids encodes anew.
-    return F.arrow_udf(encode, "array<int>").asNondeterministic()(text)
+    return task_udf(make, "array<int>").asNondeterministic()(text)
 
 
 def bpe_decode(ids: Column, ranks: dict[bytes, int]) -> Column:

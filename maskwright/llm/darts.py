@@ -16,8 +16,8 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+from maskwright.llm.batches import task_udf
 from maskwright.llm.shingles import GOLDEN, WORDS, blocks, mixed
 
 #: Coordinates: 32 bands of 5. Of two sets with similarity 0.8, all bands differ in 3 cases
@@ -105,9 +105,8 @@ def dart_sketch(
     """
 
     def sketch(texts: pa.Array) -> pa.Array:
-        parts = [
-            _sketches(block, bands, rows, weighted) for block in blocks(texts.to_pylist(), words)
-        ]
+        values = (value.as_py() for value in texts)
+        parts = [_sketches(block, bands, rows, weighted) for block in blocks(values, words)]
         if not parts:
             parts = [(np.empty(0, np.int64), np.empty((0, bands), np.int64), np.empty((0, 1)))]
         sizes = np.concatenate([p[0] for p in parts])
@@ -124,4 +123,4 @@ def dart_sketch(
             [pa.array(sizes, pa.int32()), listed(keys), listed(bits)], ["n", "keys", "bits"]
         )
 
-    return F.arrow_udf(sketch, "n int, keys array<bigint>, bits array<bigint>")(text)
+    return task_udf(lambda: sketch, "n int, keys array<bigint>, bits array<bigint>")(text)

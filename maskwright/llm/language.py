@@ -160,7 +160,7 @@ def train_language(examples: DataFrame, families: Mapping[str, str] = FAMILIES)
 
 def _vectors(text: Column) -> Column:
     def vectors(texts: pa.Array) -> pa.Array:
-        found = [features(text) for text in texts.to_pylist()]
+        found = [features(text.as_py()) for text in texts]
         rows = [None if f is None else {"at": f[0], "values": f[1]} for f in found]
         kind = pa.struct([("at", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
         return pa.array(rows, kind)
@@ -172,7 +172,7 @@ def predict_language(text: Column, model: Model) -> Column:
     """struct<lang: string, score: double> for each text."""
 
     def predict(texts: pa.Array) -> pa.Array:
-        found = [model.predict(text) for text in texts.to_pylist()]
+        found = [model.predict(text.as_py()) for text in texts]
         return pa.StructArray.from_arrays(
             [
                 pa.array([lang for lang, _ in found], pa.string()),

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from maskwright.llm.batches import task_udf
 from maskwright.llm.linear_svm import fit_sigmoid, fit_svm, sigmoid
 from maskwright.llm.tables import column
 
@@ -212,6 +213,6 @@ def quality_score(text: Column, model: Model) -> Column:
     """The likelihood, 0 to 1, that a text is labelled as good."""
 
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(text) for text in texts.to_pylist()], pa.float64())
+        return pa.array([model.score(text.as_py()) for text in texts], pa.float64())
 
-    return F.arrow_udf(score, "double")(text)
+    return task_udf(lambda: score, "double")(text)

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from maskwright.llm.batches import task_udf
 
 WORDS = 5
 _WORD = re.compile(r"\w+")
 #: Hashes of words kept by a Python worker.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 50_000
 #: Words that are worked on at once.
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 100_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,7 +56,7 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return mixed(runs + np.uint64(width))
 
 
-def blocks(texts: Sequence[str | None], words: int) -> Iterator[list[np.ndarray]]:
+def blocks(texts: Iterable[str | None], words: int) -> Iterator[list[np.ndarray]]:
     """The shingles of texts, some texts at a time, so that memory stays bounded."""
     block, size = [], 0
     for text in texts:
@@ -81,4 +82,4 @@ def shingle_set(text: Column, words: int = WORDS) -> Column:
             pa.array(ends, pa.int32()), pa.array(np.concatenate(flat), pa.int64())
         )
 
-    return F.arrow_udf(sets, "array<bigint>")(text)
+    return task_udf(lambda: sets, "array<bigint>")(text)

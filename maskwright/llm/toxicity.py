@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from maskwright.llm.batches import task_udf
 from maskwright.llm.linear_svm import fit_sigmoid, sigmoid
 
 #: What a character may stand for.
@@ -321,7 +322,7 @@ def train_toxicity(examples: DataFrame, counts: np.ndarray) -> Model:
     model = Model(counts, evidence)
 
     def strengths(texts: pa.Array) -> pa.Array:
-        return pa.array([model.strength(text) for text in texts.to_pylist()], pa.float64())
+        return pa.array([model.strength(text.as_py()) for text in texts], pa.float64())
 
     # A number for each row of the bounded sample.
     fitted = sample.select(
@@ -336,6 +337,6 @@ def toxicity_score(text: Column, model: Model) -> Column:
     """The likelihood, 0 to 1, that a text is labelled as toxic."""
 
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(text) for text in texts.to_pylist()], pa.float64())
+        return pa.array([model.score(text.as_py()) for text in texts], pa.float64())
 
-    return F.arrow_udf(score, "double")(text)
+    return task_udf(lambda: score, "double")(text)
