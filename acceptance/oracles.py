@@ -62,11 +62,12 @@ def crc(value: str, polynomial: int) -> str:
 
 
 def adler32(value: str) -> str:
-    b = octets(message(value))
-    low = f"(1 + list_sum({b})) % 65521"
-    weighted = f"list_sum(list_transform({b}, lambda x, i: x * (len({b}) - i + 1)))"
-    high = f"(len({b}) + {weighted}) % 65521"
-    return guarded(value, least_byte_first(f"({high}) * 65536 + ({low})"))
+    low = "((s & 65535) + x) % 65521"
+    step = f"(((s >> 16) + {low}) % 65521) * 65536 + {low}"
+    start = f"list_prepend(1::BIGINT, {octets(message(value))})"
+    digest = least_byte_first(f"list_reduce({start}, lambda s, x: {step})")
+    # The list of a null text is not null.
+    return f"CASE WHEN {value} IS NOT NULL THEN {guarded(value, digest)} END"
 
 
 # Every kind of value: null, empty, blank, a no-break space (not blank), a name.
@@ -105,6 +106,37 @@ def hashed(table: str, id: str, value: str, digest) -> str:
     return f"SELECT {id}, {guarded('v', 'digest')} AS {value} FROM ({source})"
 
 
+HASHED_ORDERS = (
+    f"SELECT o_orderkey, {sha256('o_orderpriority')} AS o_orderpriority, o_orderstatus, "
+    "(SELECT count(*)::INTEGER FROM orders) AS record_count FROM orders"
+)
+SPLIT_SUPPLIERS = (
+    f"SELECT 'success' AS route, s_nationkey::INTEGER AS s_nationkey, s_suppkey, "
+    f"{sha256('s_name')} AS s_name FROM supplier WHERE s_nationkey NOT IN (3, 7) "
+    "UNION ALL SELECT DISTINCT 'failure', s_nationkey::INTEGER, NULL, NULL FROM supplier "
+    "WHERE s_nationkey IN (3, 7)"
+)
+LINEITEM_KEYS = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
+def lineitem(digest) -> str:
+    texts = ", ".join(f"{name}::VARCHAR AS {name}" for name in LINEITEM_KEYS)
+    columns = ", ".join(f"{digest(name)} AS {name}" for name in LINEITEM_KEYS)
+    return f"SELECT l_linenumber, {columns} FROM (SELECT l_linenumber, {texts} FROM lineitem)"
+
+
+def named(name: str, digest) -> str:
+    of_parts = hashed("part", "p_partkey", "p_name", digest)
+    return f"JOIN (SELECT p_partkey, p_name AS {name} FROM ({of_parts})) USING (p_partkey)"
+
+
+LINEITEM = {
+    "lineitem_sha256": lineitem(sha256),
+    "lineitem_crc32": lineitem(lambda v: crc(v, 0xEDB88320)),
+    "lineitem_crc32c": lineitem(lambda v: crc(v, 0x82F63B78)),
+    "lineitem_adler32": lineitem(adler32),
+}
+
 ORACLES = {
     "keyed_sha256": f"SELECT c_custkey, {sha256('c_name')} AS c_name FROM customer",
     "long_text": f"SELECT doc_id, {sha256('text')} AS text FROM documents",
@@ -196,5 +228,28 @@ ORACLES = {
     f"AS phone_number, {drawn_name('parent', 'c_custkey', LAST_NAMES)} AS parent_name "
     "FROM customer)",
     "sql_functions": f"SELECT p_partkey, {sha256('p_name')} AS sha256, "
-    f"{crc('p_name', 0xEDB88320)} AS crc32, {adler32('p_name')} AS adler32 FROM part",
+    f"{crc('p_name', 0xEDB88320)} AS crc32, {adler32('p_name')} AS adler32, "
+    f"{crc('p_name', 0x82F63B78)} AS crc32c, "
+    f"farm, sha384, sha512 FROM part {named('farm', fingerprint64_to_64_bytes)} "
+    f"{named('sha384', sha384)} {named('sha512', sha512)}",
+    "lineitem_dictionary": f"SELECT {sha256('v')} AS hash, v AS plaintext FROM (SELECT "
+    "unnest([l_orderkey::VARCHAR, l_partkey::VARCHAR, l_suppkey::VARCHAR]) AS v FROM lineitem)",
+    "default_algorithm": f"SELECT c_custkey, {sha256('c_name')} AS of_none, "
+    f"{sha256('c_name')} AS of_empty FROM customer",
+    "hash_files_csv": HASHED_ORDERS,
+    "hash_files_json": HASHED_ORDERS,
+    "count_by_unit": "SELECT o_orderpriority AS unit, count(*) AS record_count "
+    "FROM orders GROUP BY 1",
+    "split_files_csv": SPLIT_SUPPLIERS,
+    "split_files_xml": SPLIT_SUPPLIERS,
+    "value_types": f"SELECT o_orderkey, {sha256('d')} AS d, {sha256('b')} AS b, "
+    f"{sha256('n')} AS n, "
+    f"{sha256('day')} AS day, {sha256('t')} AS t FROM (SELECT o_orderkey, "
+    "CASE WHEN o_orderkey >= 40000000 THEN NULL ELSE (o_orderkey / 4)::VARCHAR END AS d, "
+    "(o_orderkey % 2 = 0)::VARCHAR AS b, "
+    "(o_orderkey * 0.125::DECIMAL(4,3))::DECIMAL(20,3)::VARCHAR AS n, "
+    "(DATE '2001-02-03' + (o_orderkey % 9999)::INTEGER)::VARCHAR AS day, "
+    "regexp_replace(regexp_replace(strftime(make_timestamp(o_orderkey * 3600000001), "
+    "'%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '[.]$', '') AS t FROM orders)",
+    **LINEITEM,
 }

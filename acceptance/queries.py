@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from acceptance.settings import ATTRIBUTES, KEY, SEED
 from maskwright import (
+    ALGORITHMS,
     hash_fields,
     hash_lookup,
     hash_lookup_map,
@@ -19,6 +20,7 @@ from maskwright import (
     project_fields,
     register_sql_functions,
 )
+from maskwright.jobs import Sink, Source, hash_files
 from maskwright.sources import (
     MEMBER,
     MEMBER_INPUT,
@@ -29,6 +31,7 @@ from maskwright.sources import (
     read_lines,
     read_records,
     split_by_unit,
+    split_files,
     write_records,
 )
 from maskwright.sources.routing import LINE
@@ -486,6 +489,148 @@ def sql_functions(spark, folder):
     part = table(spark, folder, "part")
     return spark.sql(
         "SELECT p_partkey, keyed_sha256(p_name) AS sha256, keyed_crc32(p_name) AS crc32, "
-        "keyed_adler32(p_name) AS adler32 FROM {part}",
+        "keyed_adler32(p_name) AS adler32, keyed_crc32c(p_name) AS crc32c, "
+        "keyed_farmhashfingerprint64(p_name) AS farm, keyed_sha384(p_name) AS sha384, "
+        "keyed_sha512(p_name) AS sha512 FROM {part}",
         part=part,
     )
+
+
+# The largest table, by every digest.
+
+LINEITEM_KEYS = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
+def of_lineitem(algorithm: str) -> Query:
+    """All of the largest table, three of its columns hashed in place."""
+
+    def run(spark, folder):
+        mapping = {f"/{name}": f"/{name}" for name in LINEITEM_KEYS}
+        columns = ("l_linenumber", *LINEITEM_KEYS)
+        lines = table(spark, folder, "lineitem").select(*columns)
+        return hash_fields(lines, mapping, key=KEY, algorithm=algorithm)
+
+    return run
+
+
+for _algorithm in ALGORITHMS:
+    _short = _algorithm.id.removeprefix("hash-").lower()
+    QUERIES[f"lineitem_{_short}"] = of_lineitem(_algorithm.id)
+
+
+@query
+def lineitem_dictionary(spark, folder):
+    paths = {name: f"/{name}" for name in LINEITEM_KEYS}
+    return key_hash_dictionary(table(spark, folder, "lineitem"), paths, key=KEY)
+
+
+# Types, defaults and short keys.
+
+
+@query
+def value_types(spark, folder):
+    orders = table(spark, folder, "orders")
+    typed = orders.select(
+        "o_orderkey",
+        (F.col("o_orderkey") / 4).alias("d"),
+        (F.col("o_orderkey") % 2 == 0).alias("b"),
+        (F.col("o_orderkey") * F.lit("0.125").cast("decimal(4,3)"))
+        .cast("decimal(20,3)")
+        .alias("n"),
+        F.date_add(F.to_date(F.lit("2001-02-03")), (F.col("o_orderkey") % 9999).cast("int")).alias(
+            "day"
+        ),
+        F.timestamp_micros(F.col("o_orderkey") * 3600000001).alias("t"),
+    )
+    return hash_fields(typed, {f"/{name}": "." for name in ("d", "b", "n", "day", "t")}, key=KEY)
+
+
+@query
+def default_algorithm(spark, folder):
+    customer = table(spark, folder, "customer")
+    return customer.select(
+        "c_custkey",
+        keyed_hash("c_name", KEY, None).alias("of_none"),
+        keyed_hash("c_name", KEY, "").alias("of_empty"),
+    )
+
+
+@query
+def farm_fingerprint64_short(spark, folder):
+    nation = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    hashed = keyed_hash("c_mktsegment", "k", "hash-farmHashFingerprint64")
+    return nation.select("c_custkey", hashed.alias("c_mktsegment"))
+
+
+# Whole jobs.
+
+
+def hashed_orders(spark: SparkSession, folder: str, fmt: str) -> DataFrame:
+    """Orders written in folders by status with a line end of their own, through a job."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = new_folder(spark, "orders")
+    options = {"lineSep": ";"}
+    write_records(orders, path, fmt, options=options, partition_by=["o_orderstatus"])
+    schema = orders.drop("o_orderstatus").schema
+    out = new_folder(spark, "hashed")
+    done = hash_files(
+        spark,
+        Source(path, fmt, schema, options),
+        Sink(out, "parquet"),
+        {"/o_orderpriority": "/o_orderpriority"},
+        key=KEY,
+    )
+    return spark.read.parquet(out).withColumn("record_count", F.lit(done.record_count))
+
+
+@query
+def hash_files_csv(spark, folder):
+    return hashed_orders(spark, folder, "csv")
+
+
+@query
+def hash_files_json(spark, folder):
+    return hashed_orders(spark, folder, "json")
+
+
+@query
+def count_by_unit_(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    path = new_folder(spark, "orders")
+    write_records(orders, path, "json", partition_by=["o_orderpriority"])
+    lines = read_lines(spark, path, folders=True)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType())])
+    counted = count_by_unit(split_by_unit(lines, "json", schema).success)
+    priority = F.url_decode(F.regexp_extract("unit", "o_orderpriority=([^/]*)$", 1))
+    return counted.select(F.url_decode(priority).alias("unit"), "record_count")
+
+
+def split_suppliers(spark: SparkSession, folder: str, fmt: str, options: dict) -> DataFrame:
+    """Suppliers in files by nation; in those of two nations a key that is no number."""
+    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    bad = F.col("s_nationkey").isin(3, 7)
+    number = F.col("s_suppkey").cast("string")
+    key = F.when(bad, F.concat(F.lit("x"), number)).otherwise(number)
+    path = new_folder(spark, "suppliers")
+    files = supplier.withColumn("s_suppkey", key)
+    write_records(files, path, fmt, options=options, partition_by=["s_nationkey"])
+    schema = T.StructType.fromDDL("s_suppkey bigint, s_name string, s_nationkey int")
+    routed = split_files(spark, path, fmt, schema, options=options, folders=True)
+    good = hash_fields(routed.records, {"/s_name": "/s_name"}, key=KEY)
+    nation = F.regexp_extract("unit", "s_nationkey=([0-9]+)$", 1).cast("int")
+    failed = routed.failure.select(nation.alias("s_nationkey")).distinct()
+    nothing = [F.lit(None).cast("bigint"), F.lit(None).cast("string")]
+    columns = ("s_nationkey", "s_suppkey", "s_name")
+    return good.select(F.lit("success").alias("route"), *columns).unionAll(
+        failed.select(F.lit("failure"), "s_nationkey", *nothing)
+    )
+
+
+@query
+def split_files_csv(spark, folder):
+    return split_suppliers(spark, folder, "csv", {"header": "true"})
+
+
+@query
+def split_files_xml(spark, folder):
+    return split_suppliers(spark, folder, "xml", {"rowTag": "supplier"})

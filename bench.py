@@ -16,37 +16,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 
 from acceptance.queries import QUERIES, table
-from acceptance.settings import KEY
-from maskwright import ALGORITHMS, hash_fields, key_hash_dictionary
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 3
-KEYS = ("l_orderkey", "l_partkey", "l_suppkey")
-
-
-def lineitem(algorithm: str):
-    """All of the largest table, three of its columns hashed in place."""
-
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        mapping = {f"/{name}": f"/{name}" for name in KEYS}
-        return hash_fields(
-            table(spark, folder, "lineitem"), mapping, key=KEY, algorithm=algorithm
-        )
-
-    return run
-
-
-def lineitem_dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    paths = {name: f"/{name}" for name in KEYS}
-    return key_hash_dictionary(table(spark, folder, "lineitem"), paths, key=KEY)
-
 
 def workloads() -> dict:
-    of_lineitem = {
-        f"lineitem_{a.id.removeprefix('hash-').lower()}": lineitem(a.id) for a in ALGORITHMS
-    }
-    return {**of_lineitem, "lineitem_dictionary": lineitem_dictionary, **QUERIES}
+    """All registered queries but those of the training-data subpackage, which take minutes."""
+    return QUERIES
 
 
 def seconds(query, spark: SparkSession) -> float:
