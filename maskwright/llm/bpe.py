@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from maskwright.llm.batches import task_udf
 
@@ -188,7 +187,7 @@ def bpe_decode(ids: Column, ranks: dict[bytes, int]) -> Column:
             texts.append(None if numbers is None else b"".join(map(token, _numbers(numbers))))
         return pa.array(texts, pa.binary())
 
-    return F.arrow_udf(decode, "binary")(ids)
+    return task_udf(lambda: decode, "binary")(ids)
 
 
 def _numbers(values: pa.Array) -> list[int]:

@@ -55,7 +55,8 @@ def embedding_links(
     )
     able = F.col("usable") & F.col("id").isNotNull() & F.col("label").isNotNull()
     shown = F.array_join(F.transform("vector", lambda x: x.cast("string")), ",")
-    rows = rows.withColumn("copy", F.when(able, F.md5(F.concat_ws("|", F.col("label").cast("string"), shown))))
+    copy = F.md5(F.concat_ws("|", F.col("label").cast("string"), shown))
+    rows = rows.withColumn("copy", F.when(able, copy))
     ids = rows.select("id", "copy").filter("copy IS NOT NULL").distinct()
     groups = ids.groupBy("copy").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     groups = stored(groups, "copies")
@@ -66,7 +67,6 @@ def embedding_links(
         .dropDuplicates(["copy"])
         .select("copy", "node", "copies", "label", "vector", F.size("vector").alias("length"))
     )
-    # A node is named by its smallest id and its copy: ids may be repeated.
     nodes = stored(nodes, "nodes")
     bases = _bases(nodes)
     placed = _placed(nodes, bases)
@@ -82,7 +82,8 @@ def embedding_links(
         F.coalesce("component", "node").alias("component_id"),
     )
     # Rows without a copy key are spread by their id.
-    key = F.coalesce("copy", F.concat(F.lit("none "), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    own = F.concat_ws(" ", F.lit("none"), F.col("id").cast("string"))
+    key = F.coalesce("copy", own)
     out = rows.select("id", key.alias("copy")).join(found, "copy", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
@@ -107,9 +108,9 @@ def _bases(nodes: DataFrame) -> dict[int, np.ndarray]:
             for length, own in part.groupby("length"):
                 unit = _units(matrix(own["vector"]))
                 sums[length] = sums.get(length, 0) + unit.T @ unit
-        yield pd.DataFrame(
-            {"length": list(sums), "sums": [m.ravel().tolist() for m in sums.values()]}
-        )
+        if sums:
+            flat = [square.ravel().tolist() for square in sums.values()]
+            yield pd.DataFrame({"length": list(sums), "sums": flat})
 
     parts = nodes.select("length", "vector").mapInPandas(moments, "length int, sums array<double>")
     sums: dict[int, np.ndarray] = {}
@@ -130,18 +131,12 @@ def _placed(nodes: DataFrame, bases: dict[int, np.ndarray]) -> DataFrame:
                 out[at] = _units(matrix(part["vector"][at])) @ bases[length][:, 0]
             yield part.assign(first=out)
 
-    placed = stored(
-        nodes.mapInPandas(
-            first,
-            ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", first double",
-        ),
-        "firsts",
-    )
-    counts = placed.groupBy("label", "length").agg(F.count("*").alias("n"))
-    # Cut points of tiles of the wanted size; a label of one tile has none.
-    cuts = placed.join(counts, ["label", "length"]).groupBy("label", "length").agg(
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema]
+    placed = stored(nodes.mapInPandas(first, ", ".join([*kinds, "first double"])), "firsts")
+    # Cut points, and the number of tiles of the wanted size.
+    cuts = placed.groupBy("label", "length").agg(
         F.percentile_approx("first", [i / 256 for i in range(1, 256)], 10_000).alias("cuts"),
-        F.ceil(F.first("n") / TILE).cast("int").alias("tiles"),
+        F.ceil(F.count("*") / TILE).cast("int").alias("tiles"),
     )
     placed = placed.join(cuts, ["label", "length"])
     rank = F.size(F.filter("cuts", lambda c: c < F.col("first")))
@@ -155,14 +150,17 @@ def _placed(nodes: DataFrame, bases: dict[int, np.ndarray]) -> DataFrame:
 
 def _compared(placed: DataFrame, bases: dict[int, np.ndarray], cosine: float) -> DataFrame:
     """(node, links, root) for vectors with links, from each pair of tiles."""
-    placed = stored(placed.select("node", "copies", "label", "length", "tile", "vector", "first"), "tiles")
+    placed = placed.select("node", "copies", "label", "length", "tile", "vector", "first")
+    placed = stored(placed, "tiles")
     tiles = placed.groupBy("label", "length", "tile").agg(
         F.min("first").alias("low"), F.max("first").alias("high")
     )
-    other = tiles.select("label", "length", *(F.col(c).alias(f"{c}_") for c in ("tile", "low", "high")))
+    renamed = (F.col(c).alias(f"{c}_") for c in ("tile", "low", "high"))
+    other = tiles.select("label", "length", *renamed)
     gap = math.sqrt(max(0.0, 2 - 2 * cosine)) + SLACK
     pairs = tiles.join(other, ["label", "length"]).filter(
-        (F.col("tile") <= F.col("tile_")) & (F.col("low_") <= F.col("high") + gap)
+        (F.col("tile") <= F.col("tile_"))
+        & (F.col("low_") <= F.col("high") + gap)
         & (F.col("low") <= F.col("high_") + gap)
     )
     pairs = stored(pairs.select("label", "length", "tile", "tile_"), "tile-pairs")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from maskwright.llm.batches import small_batches, task_udf
 from maskwright.llm.linear_svm import fit_sigmoid, fit_svm, sigmoid
 
 #: Labelled rows of a language that the machines are fitted on, at most.
@@ -127,6 +128,7 @@ def train_language(examples: DataFrame, families: Mapping[str, str] = FAMILIES)
         mine = [i for i, pair in enumerate(pairs) if lang in pair or of[lang] in pair]
         these = F.array(*map(F.lit, mine)).cast("array<int>")
         learns = F.when(F.col("lang") == lang, these).otherwise(learns)
+    small_batches()
     sample = examples.filter(spread < share).select(
         "lang",
         F.xxhash64("text").alias("order"),
@@ -165,7 +167,7 @@ def _vectors(text: Column) -> Column:
         kind = pa.struct([("at", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
         return pa.array(rows, kind)
 
-    return F.arrow_udf(vectors, "at array<int>, values array<double>")(text)
+    return task_udf(lambda: vectors, "at array<int>, values array<double>")(text)
 
 
 def predict_language(text: Column, model: Model) -> Column:
@@ -181,4 +183,4 @@ def predict_language(text: Column, model: Model) -> Column:
             ["lang", "score"],
         )
 
-    return F.arrow_udf(predict, "lang string, score double")(text)
+    return task_udf(lambda: predict, "lang string, score double")(text)

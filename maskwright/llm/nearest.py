@@ -79,11 +79,13 @@ def nearest(
     """
     vector = column(vectors, vector_col)
     rows = vectors.filter(usable(vector)).select(
-        column(vectors, id_col).cast("bigint").alias("id"), vector.cast("array<float>").alias("vector")
+        column(vectors, id_col).cast("bigint").alias("id"),
+        vector.cast("array<float>").alias("vector"),
     )
     rows = rows.filter("id IS NOT NULL").distinct().withColumn("length", F.size("vector"))
     rows = stored(rows, "vectors")
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    squares = F.transform(F.col("vector").cast("array<double>"), lambda x: x * x)
+    norm = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
     shapes = rows.groupBy("length").agg(
         F.count("*").alias("n"), F.max(norm).alias("longest"), F.count_if(is_query).alias("queries")
     )
@@ -92,8 +94,11 @@ def nearest(
     if not shapes:
         none = rows.select(F.col("id").alias("query_id"), "id", F.lit(0.0).alias("score"))
         return _ranked(none, k, id_col)
+    # About a tile of vectors in a bucket, with some four cells on each projection.
     hashes = {
-        length: Hash(length, row["longest"], max(3, round(math.log(row["n"] / TILE_VECTORS, 4) + 1)))
+        length: Hash(
+            length, row["longest"], max(3, round(math.log(row["n"] / TILE_VECTORS, 4) + 1))
+        )
         for length, row in shapes.items()
     }
     index = stored(_indexed(rows, hashes), "index")
@@ -112,10 +117,9 @@ def nearest(
         for length, part in rows.filter(spread < share).toPandas().groupby("length")
     }
     queries = max(row["queries"] for row in shapes.values())
-    probes = stored(
-        _probes(rows.filter(is_query), hashes, found, sample, k, -(-queries // TILE_QUERIES)), "probes"
-    )
-    found_there = _candidates(index, probes, k, -(-queries // TILE_QUERIES))
+    parts = -(-queries // TILE_QUERIES)
+    probes = _probes(rows.filter(is_query), hashes, found, sample, k, parts)
+    found_there = _candidates(index, stored(probes, "probes"), k, parts)
     return _ranked(found_there.unionByName(_sampled(rows.filter(is_query), sample, k)), k, id_col)
 
 
@@ -127,14 +131,15 @@ def _ranked(candidates: DataFrame, k: int, id_col: str) -> DataFrame:
 
 
 def _indexed(rows: DataFrame, hashes: dict[int, Hash]) -> DataFrame:
-    def cells(parts):
+    def index(parts):
         for part in parts:
             for length, own in part.groupby("length"):
                 for table, found in enumerate(hashes[length].vectors(matrix(own["vector"]))):
-                    yield own.assign(table=table, cells=[",".join(map(str, c)) for c in found.tolist()])
+                    cells = [",".join(map(str, c)) for c in found.tolist()]
+                    yield own.assign(table=table, cells=cells)
 
     return rows.mapInPandas(
-        cells, "id bigint, vector array<float>, length int, table int, cells string"
+        index, "id bigint, vector array<float>, length int, table int, cells string"
     )
 
 
@@ -162,9 +167,9 @@ def _probes(queries, hashes, found, sample, k: int, parts_of_queries: int) -> Da
                 scores = values @ others.T
                 scores[ids[:, None] == known[None, :]] = -np.inf
                 enough = scores.shape[1] > k
-                least = (
-                    np.partition(scores, -k, axis=1)[:, -k] if enough else np.full(len(ids), -np.inf)
-                )
+                least = np.full(len(ids), -np.inf)
+                if enough:
+                    least = np.partition(scores, -k, axis=1)[:, -k]
                 norms = np.sqrt((values * values).sum(axis=1)) * hashes[length].longest
                 apart = np.sqrt(np.maximum(1e-6, 2 - 2 * least / norms))
                 apart[~np.isfinite(least)] = np.inf

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.batches import task_udf
+from maskwright.llm.batches import small_batches, task_udf
 from maskwright.llm.linear_svm import fit_sigmoid, fit_svm, sigmoid
 from maskwright.llm.tables import column
 
@@ -168,6 +168,7 @@ def train_quality(examples: DataFrame) -> Model:
         yield pd.DataFrame({"bucket": at, "bad": counts[0, at], "good": counts[1, at]})
         yield pd.DataFrame({"bucket": [-1], "bad": rows[:1], "good": rows[1:]})
 
+    small_batches()
     counted = examples.mapInPandas(count, "bucket bigint, bad bigint, good bigint")
     found = counted.groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     table = found.toPandas()  # one row for each bucket at most

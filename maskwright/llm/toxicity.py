@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.batches import task_udf
+from maskwright.llm.batches import small_batches, task_udf
 from maskwright.llm.linear_svm import fit_sigmoid, sigmoid
 
 #: What a character may stand for.
@@ -90,6 +90,7 @@ def letter_trigrams(texts: DataFrame) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["three", "n"])
 
+    small_batches()
     counted = texts.mapInArrow(count, "three bigint, n bigint")
     found = counted.groupBy("three").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(SYMBOLS**3)
