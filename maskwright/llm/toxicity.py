@@ -49,6 +49,7 @@ SYMBOLS = 64
 LONGEST = 9
 
 _EDGE = re.compile(r"(?:([^\w\s])\1{2,}|[.,;:!?\"')\]])+$")
+_OPEN = "([{<\"'"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
@@ -174,7 +175,7 @@ def hidden_words(text: str) -> tuple[set[str], set[str]]:
             if repeated and _REPEAT.search(token):
                 hidden.add(token)
             continue
-        token = _EDGE.sub("", token)
+        token = _EDGE.sub("", token.lstrip(_OPEN))
         found = _LETTERS.findall(token)
         words.update(found)
         if found and (_HIDING.search(token) or repeated and _REPEAT.search(token)):
@@ -278,9 +279,11 @@ def restore(text: str, decoder: Decoder) -> str:
                 run.append(token)
                 continue
             close()
-            core = _EDGE.sub("", token)
+            inner = token.lstrip(_OPEN)
+            core = _EDGE.sub("", inner)
             best = decoder.readings(core.lower())[:1] if core.lower() in hidden else []
-            out.append(best[0] + token[len(core) :] if best else token)
+            before = token[: len(token) - len(inner)]
+            out.append(before + best[0] + inner[len(core) :] if best else token)
         close()
         return " ".join(out)
 
