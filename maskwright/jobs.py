@@ -9,16 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from maskwright.operators import hash_fields, key_hash_dictionary
-from maskwright.sources.records import conform, read_records, write_records
-from maskwright.sources.routing import read_lines, split_by_unit, split_files
+from maskwright.sources.records import UNIT, conform, read_records, write_records
+from maskwright.sources.routing import (
+    read_lines,
+    split_by_unit,
+    split_files,
+    split_readable,
+)
 
 _LINE_FORMATS = ("json", "csv")
 _ROUTED_FORMATS = ("json", "csv", "xml")
+_WHOLE_FORMATS = ("parquet", "orc", "avro")
 
 
 @dataclass(frozen=True)
 class Source:
-    """Files to read. JSON, CSV and XML need a schema to tell bad records by."""
+    """Files to read. JSON, CSV and XML need a schema to tell bad records by; Parquet, ORC
+    and Avro need one to set bad files aside, and without one a bad file ends the job."""
 
     path: str
     fmt: str
@@ -28,7 +35,8 @@ class Source:
 
 @dataclass(frozen=True)
 class Sink:
-    """Where records go, and the unchanged lines of failed files, as Parquet."""
+    """Where records go, and the unchanged lines of failed files, as Parquet. Of columnar
+    files that failed only the names go there."""
 
     path: str
     fmt: str
@@ -88,6 +96,16 @@ def dictionary_of_files(
 def _run(
     spark: SparkSession, source: Source, sink: Sink, operator: Callable[[DataFrame], DataFrame]
 ) -> Done:
+    if source.fmt in _WHOLE_FORMATS and source.schema is not None:
+        records, failed = split_readable(
+            spark, source.path, source.fmt, source.schema, options=source.options
+        )
+        _may_fail(len(failed), sink)
+        count = _written(operator(records), sink)
+        if failed:
+            names = spark.createDataFrame([(name,) for name in failed], f"{UNIT} string")
+            write_records(names, sink.failure_path, "parquet", mode=sink.mode)
+        return Done(count, len(failed))
     if source.fmt not in _ROUTED_FORMATS:
         records = read_records(
             spark, source.path, source.fmt, schema=source.schema, options=source.options
@@ -105,14 +123,18 @@ def _run(
         routed = split_files(
             spark, source.path, source.fmt, source.schema, options=source.options
         )
-    if routed.failed_units and sink.failure_path is None:
-        raise ValueError(f"{routed.failed_units} files failed and there is no failure_path")
+    _may_fail(routed.failed_units, sink)
     count = _written(operator(routed.records), sink)
     if routed.failed_units:
         write_records(routed.failure, sink.failure_path, "parquet", mode=sink.mode)
     return Done(count, routed.failed_units)
 
 
+def _may_fail(failed: int, sink: Sink) -> None:
+    if failed and sink.failure_path is None:
+        raise ValueError(f"{failed} files failed and there is no failure_path")
+
+
 def _needs_files(options: Mapping[str, str]) -> bool:
     """Whether records are more or other than lines that Spark can split by itself."""
     settings = {name.lower(): str(value).lower() for name, value in options.items()}

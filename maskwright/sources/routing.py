@@ -7,9 +7,13 @@ unchanged lines it came in as.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,6 +163,52 @@ def split_files(
     return _route(parsed, all_read, schema, lines, [], extra)
 
 
+# Files that may fail one after the other before a job gives up: each costs a reading of all.
+FAILED_FILES = 50
+_UNREADABLE = re.compile(r"(?:reading file|footer for file:?|file) '?([a-z0-9]+:/\S+?)'?[.,;]?(?:\s|$)")
+
+
+def split_readable(
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str,
+    schema: T.StructType,
+    *,
+    options: Mapping[str, str] | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """The records of files that can be read to their end, and the paths of the others.
+
+    For Parquet, ORC and Avro, whose files are bad as a whole if they are. All values of
+    all files are read once to find out, and once more for each file that fails.
+    """
+    if not isinstance(schema, T.StructType) or not schema.fields:
+        raise ValueError("a schema is needed to tell good files from bad ones")
+    reader = spark.read.format(fmt).schema(schema).options(**(options or {}))
+    records, failed = reader.load(path), []
+    based = {"basePath": path} if isinstance(path, str) and not set("*?[{") & set(path) else {}
+    files = records.inputFiles()
+    while True:
+        values = F.xxhash64(*(F.col(quoted(name)).cast("string") for name in records.columns))
+        try:
+            records.agg(F.max(values)).first()
+            return records, failed
+        except (PySparkException, Py4JJavaError) as error:
+            named = [unquote(found) for found in _UNREADABLE.findall(str(error))]
+            bad = {f for f in files if any(_same_file(unquote(f), name) for name in named)}
+            if not bad or len(failed) >= FAILED_FILES:
+                raise
+        failed += sorted(bad)
+        files = [file for file in files if file not in bad]
+        if not files:
+            return records.where(F.lit(False)), failed
+        records = reader.options(**based).load(files)
+
+
+def _same_file(one: str, other: str) -> bool:
+    """Whether two forms of a path, file:/x and file:///x, are one file."""
+    return re.sub(":/+", ":/", one) == re.sub(":/+", ":/", other)
+
+
 def _route(
     parsed: DataFrame,
     all_read: Column,

@@ -126,3 +126,45 @@ def test_dictionary_honours_options(spark, tmp_path):
         key=KEY,
     )
     assert done == Done(2, 0)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_bad_columnar_files_are_set_aside(spark, tmp_path, fmt):
+    folder = tmp_path / "in"
+    for number in range(3):
+        rows = [(number * 100 + i, VALUE) for i in range(50)]
+        part = spark.createDataFrame(rows, "id int, v string").coalesce(1)
+        part.write.mode("append").format(fmt).save(str(folder))
+    files = sorted(folder.glob("part-*"))
+    # One is no such file at all, one is damaged inside.
+    (folder / f"junk.{fmt}").write_bytes(b"no such file" * 50)
+    octets = bytearray(files[0].read_bytes())
+    octets[4 : len(octets) // 2] = bytes(len(octets) // 2 - 4)
+    files[0].write_bytes(bytes(octets))
+    (folder / f".{files[0].name}.crc").unlink(missing_ok=True)
+    lost = {r.id for r in spark.read.format(fmt).load(list(map(str, files[1:]))).collect()}
+    schema = T.StructType().add("id", "integer").add("v", "string")
+    source = Source(str(folder), fmt, schema)
+    sink = Sink(f"{tmp_path}/out", "parquet", failure_path=f"{tmp_path}/bad")
+    assert hash_files(spark, source, sink, {"/v": "/v"}, key=KEY) == Done(100, 2)
+    written = spark.read.parquet(sink.path).collect()
+    assert {r.id for r in written} == lost and {r.v for r in written} == {DIGESTS["hash-sha256"]}
+    bad = {r.unit.rsplit("/", 1)[1] for r in spark.read.parquet(sink.failure_path).collect()}
+    assert bad == {f"junk.{fmt}", files[0].name}
+    with pytest.raises(ValueError, match="2 files failed"):
+        hash_files(spark, source, Sink(f"{tmp_path}/no", "parquet"), {"/v": "/v"}, key=KEY)
+
+
+def test_columnar_files_that_are_all_good_or_all_bad(spark, tmp_path):
+    spark.createDataFrame([(1, VALUE, "x")], "id int, v string, k string").write.partitionBy(
+        "k"
+    ).parquet(f"{tmp_path}/in")
+    schema = T.StructType().add("id", "integer").add("v", "string")
+    source = Source(f"{tmp_path}/in", "parquet", schema)
+    assert hash_files(spark, source, Sink(f"{tmp_path}/out", "json"), {"/v": "/v"}, key=KEY) == Done(1, 0)
+    assert spark.read.json(f"{tmp_path}/out").first()["k"] == "x"
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "a.parquet").write_bytes(b"PAR1 not really PAR1")
+    sink = Sink(f"{tmp_path}/none", "json", failure_path=f"{tmp_path}/names")
+    source = Source(f"{tmp_path}/bad", "parquet", schema)
+    assert hash_files(spark, source, sink, {"/v": "/v"}, key=KEY) == Done(0, 1)
