@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskwright.operators import hash_fields, key_hash_dictionary
+from maskwright.operators.dictionary import count_of_pairs
 from maskwright.sources.records import UNIT, conform, read_records, write_records
 from maskwright.sources.routing import (
     read_lines,
     split_by_unit,
     split_files,
     split_readable,
+    unit_column,
 )
 
 _LINE_FORMATS = ("json", "csv")
@@ -36,11 +39,13 @@ class Source:
 @dataclass(frozen=True)
 class Sink:
     """Where records go, and the unchanged lines of failed files, as Parquet. Of columnar
-    files that failed only the names go there."""
+    files that failed only the names go there. ``counts_path`` gets the number of records
+    written for each good file, as Parquet (unit, record_count)."""
 
     path: str
     fmt: str
     failure_path: str | None = None
+    counts_path: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
     mode: str = "errorifexists"
 
@@ -75,7 +80,7 @@ def hash_files(
         wide = conform(records, target, keep_extra=True)
         return conform(hash_fields(wide, mapping, key=key, **settings), target)
 
-    return _run(spark, source, sink, hashed)
+    return _run(spark, source, sink, hashed, lambda schema: F.lit(1).cast("bigint"))
 
 
 def dictionary_of_files(
@@ -89,19 +94,39 @@ def dictionary_of_files(
 ) -> Done:
     """Files in, their token dictionary out; ``settings`` as in ``key_hash_dictionary``."""
     return _run(
-        spark, source, sink, lambda df: key_hash_dictionary(df, paths, key=key, **settings)
+        spark,
+        source,
+        sink,
+        lambda df: key_hash_dictionary(df, paths, key=key, **settings),
+        lambda schema: count_of_pairs(schema, paths, settings.get("attributes")),
     )
 
 
 def _run(
-    spark: SparkSession, source: Source, sink: Sink, operator: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    source: Source,
+    sink: Sink,
+    operator: Callable[[DataFrame], DataFrame],
+    made_of: Callable[[T.StructType], Column],
 ) -> Done:
+    """``made_of`` is the number of records that one record gives, by the schema of it."""
+
+    def counted(by_unit: DataFrame, schema: T.StructType) -> None:
+        if sink.counts_path is not None:
+            made = by_unit.select(UNIT, made_of(schema).alias("made"))
+            counts = made.groupBy(UNIT).agg(F.sum("made").alias("record_count"))
+            write_records(counts, sink.counts_path, "parquet", mode=sink.mode)
+
+    def with_unit(records: DataFrame) -> DataFrame:
+        return records.select("*", unit_column().alias(UNIT))
+
     if source.fmt in _WHOLE_FORMATS and source.schema is not None:
         records, failed = split_readable(
             spark, source.path, source.fmt, source.schema, options=source.options
         )
         _may_fail(len(failed), sink)
         count = _written(operator(records), sink)
+        counted(with_unit(records), records.schema)
         if failed:
             names = spark.createDataFrame([(name,) for name in failed], f"{UNIT} string")
             write_records(names, sink.failure_path, "parquet", mode=sink.mode)
@@ -110,7 +135,9 @@ def _run(
         records = read_records(
             spark, source.path, source.fmt, schema=source.schema, options=source.options
         )
-        return Done(_written(operator(records), sink), 0)
+        count = _written(operator(records), sink)
+        counted(with_unit(records), records.schema)
+        return Done(count, 0)
 
     if source.fmt in _LINE_FORMATS and not _needs_files(source.options):
         routed = split_by_unit(
@@ -125,6 +152,7 @@ def _run(
         )
     _may_fail(routed.failed_units, sink)
     count = _written(operator(routed.records), sink)
+    counted(routed.success, routed.records.schema)
     if routed.failed_units:
         write_records(routed.failure, sink.failure_path, "parquet", mode=sink.mode)
     return Done(count, routed.failed_units)

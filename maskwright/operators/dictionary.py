@@ -50,16 +50,30 @@ def key_hash_dictionary(
         raise ValueError("hash_name and plaintext_name must differ")
     chosen = algorithm_named(algorithm, reference_crc32=reference_crc32)
 
+    texts = _texts(_places(df.schema, paths, attributes))
+    plaintext = F.col(quoted(plaintext_name))
+    pairs = df.select(F.explode(texts).alias(plaintext_name))
+    pairs = pairs.where(plaintext.isNotNull() & (plaintext != ""))
+    return pairs.select(token(plaintext, key, chosen).alias(hash_name), plaintext)
+
+
+def count_of_pairs(
+    schema: T.StructType, paths: Mapping[str, str], attributes: Mapping[str, str] | None = None
+) -> Column:
+    """How many pairs a record of this schema gives, as a column."""
+    texts = _texts(_places(schema, paths, attributes))
+    return F.size(F.filter(texts, lambda text: text.isNotNull() & (text != ""))).cast("bigint")
+
+
+def _places(
+    schema: T.StructType, paths: Mapping[str, str], attributes: Mapping[str, str] | None
+) -> list[Place]:
     places = []
     for label in sorted(paths):
         path = parse(with_attributes(paths[label], attributes))
-        found = [place for place in path.places(df.schema) if place.exists]
+        found = [place for place in path.places(schema) if place.exists]
         places += [require_text_form(place, path) for place in found]
-
-    plaintext = F.col(quoted(plaintext_name))
-    pairs = df.select(F.explode(_texts(places)).alias(plaintext_name))
-    pairs = pairs.where(plaintext.isNotNull() & (plaintext != ""))
-    return pairs.select(token(plaintext, key, chosen).alias(hash_name), plaintext)
+    return places
 
 
 def _texts(places: list[Place]) -> Column:

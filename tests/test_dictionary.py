@@ -73,7 +73,7 @@ def test_numbers_and_attributes(person):
 
 
 def test_settings_are_checked(person):
-    with pytest.raises(ValueError, match="At least one RecordPath"):
+    with pytest.raises(ValueError, match="no path to hash"):
         key_hash_dictionary(person, {}, key=KEY)
     with pytest.raises(ValueError, match="key"):
         key_hash_dictionary(person, {"a": "/name"}, key=None)

@@ -76,6 +76,27 @@ def test_columnar_files(spark, tmp_path):
     assert spark.read.csv(sink.path).first()[0] == DIGESTS["hash-sha256"]
 
 
+def test_counts_by_unit(spark, tmp_path):
+    def counts(path):
+        rows = spark.read.parquet(path).collect()
+        return {r.unit.rsplit("/", 1)[1]: r.record_count for r in rows}
+
+    files = {**JSON, "two.json": '{"id":8,"name":"x"}\n{"id":9,"name":""}\n{"id":10}\n'}
+    source = Source(put(tmp_path / "in", files), "json", SCHEMA)
+    paths = {name: f"{tmp_path}/{name}" for name in ("a", "fa", "ca", "b", "fb", "cb", "c", "cc")}
+    sink = Sink(paths["a"], "json", paths["fa"], paths["ca"])
+    assert hash_files(spark, source, sink, {"/name": "/name"}, key=KEY) == Done(5, 2)
+    assert counts(paths["ca"]) == {"good.json": 2, "two.json": 3}
+    sink = Sink(paths["b"], "json", paths["fb"], paths["cb"])
+    done = dictionary_of_files(spark, source, sink, {"i": "/id", "n": "/name"}, key=KEY)
+    # Pairs, without those of null and empty values.
+    assert done == Done(7, 2) and counts(paths["cb"]) == {"good.json": 3, "two.json": 4}
+    spark.read.json(paths["a"]).coalesce(1).write.parquet(f"{tmp_path}/p")
+    sink = Sink(paths["c"], "orc", counts_path=paths["cc"])
+    assert hash_files(spark, Source(f"{tmp_path}/p", "parquet"), sink, {"/name": "."}, key=KEY).record_count == 5
+    assert list(counts(paths["cc"]).values()) == [5]
+
+
 def test_a_schema_is_needed(spark, tmp_path):
     source = Source(put(tmp_path / "in", JSON), "json")
     with pytest.raises(ValueError, match="schema"):
