@@ -28,10 +28,11 @@ _RECORD = "__record"
 _CORRUPT = "__corrupt"
 _SALT = "__salt"
 _PARTITION = "__partition"
+_ID = "__id"
 
-# Paths of failed units are broadcast up to this many bytes, and joined by a
-# shuffle beyond it, where each unit is spread over this many groups.
-BROADCAST_BYTES = 32 << 20
+# Failed units are broadcast up to this number, as hashes of 8 bytes each, and joined by
+# a shuffle beyond it, where each unit is spread over this many groups.
+BROADCAST_UNITS = 2_000_000
 SALTS = 256
 
 
@@ -219,24 +220,24 @@ def _route(
 ) -> Routed:
     """A first job finds the failed units. Each task reduces its lines to one flag
     for each unit before anything is shuffled, so one huge file is no hot spot.
-    What it finds is written to the checkpoint folder and decides the plan: no
-    join without failed units, a broadcast of few, a salted, shuffled join of many.
+    What it finds is written to the checkpoint folder and decides the plan: no join
+    without failed units, a broadcast of hashes, or a salted, shuffled join of very many.
     """
     shared_folder(lines.sparkSession)
     failed = F.col(_RECORD)[_CORRUPT].isNotNull() & all_read
-    bad = (
-        parsed.groupBy(UNIT)
-        .agg(F.max(failed).alias("failed"))
-        .where("failed")
-        .select(UNIT)
-        .checkpoint()
-    )
-    count, size = bad.agg(F.count(UNIT), F.sum(F.octet_length(UNIT))).first()
+    units = parsed.groupBy(UNIT).agg(F.max(failed).alias("failed")).checkpoint()
+    named = F.xxhash64(UNIT)
+    every, names, count = units.agg(
+        F.count(UNIT), F.count_distinct(named), F.coalesce(F.count_if("failed"), F.lit(0))
+    ).first()
+    bad = units.where("failed").select(UNIT)
     if not count:
         good, failure = parsed, lines.where(F.lit(False))
-    elif size <= BROADCAST_BYTES:
-        bad = F.broadcast(bad)
-        good, failure = parsed.join(bad, UNIT, "left_anti"), lines.join(bad, UNIT, "left_semi")
+    elif count <= BROADCAST_UNITS and names == every:
+        # No two units share a hash, so hashes stand for units.
+        ids = F.broadcast(bad.select(named.alias(_ID)))
+        good = parsed.join(ids, named == F.col(_ID), "left_anti")
+        failure = lines.join(ids, named == F.col(_ID), "left_semi")
     else:
         # Every group gets the whole list, so which group a row is in does not matter.
         on = [UNIT, _SALT]
@@ -252,8 +253,11 @@ def _route(
 
 def _salted(df: DataFrame) -> DataFrame:
     """A group for each row, the same whenever it is computed: by its place in the
-    unit, so that copies of one line spread too, and by the line."""
-    spread = [name for name in (BLOCK, LINE) if name in df.columns]
+    unit, so that copies of one line spread too, and by the line or record."""
+    spread = [F.col(name) for name in (BLOCK, LINE) if name in df.columns]
+    if LINE not in df.columns:
+        # A file that can't be split has one block only.
+        spread.append(F.to_json(_RECORD))
     return df.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
 
 

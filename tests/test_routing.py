@@ -47,9 +47,9 @@ def lines_of(files, *names):
     return sorted((n, line) for n in names for line in files[n].rstrip("\n").split("\n"))
 
 
-@pytest.mark.parametrize("limit", [routing.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("limit", [routing.BROADCAST_UNITS, 0])
 def test_json(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(routing, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(routing, "BROADCAST_UNITS", limit)
     routed = split_by_unit(read_lines(spark, put(tmp_path / "j", JSON)), "json", SCHEMA)
     assert routed.failed_units == 2
     assert outcome(routed) == ([1, 2], lines_of(JSON, "cut.json", "type.json"))
@@ -71,9 +71,9 @@ def test_copies_of_a_line_spread_over_groups(spark, tmp_path):
     assert len(groups) > 30 and max(g["count"] for g in groups) < 15_000
 
 
-@pytest.mark.parametrize("limit", [routing.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("limit", [routing.BROADCAST_UNITS, 0])
 def test_maps_and_lists(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(routing, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(routing, "BROADCAST_UNITS", limit)
     schema = T.StructType.fromDDL("m map<string,int>, l array<int>, s struct<a: int>")
     files = {"a.json": '{"m":{"k":1},"l":[1],"s":{"a":2}}\n', "b.json": '{"m":{"k":"x"}}\n'}
     folder = put(tmp_path / "m", files)
@@ -85,8 +85,17 @@ def test_maps_and_lists(spark, tmp_path, monkeypatch, limit):
         assert routed.failure.columns == ["unit", "line"] and routed.failure.count() == 1
 
 
+def test_records_of_one_block_spread_over_groups(spark, tmp_path):
+    text = "id,name,size\n" + "".join(f"{i},n{i},1\n" for i in range(5000))
+    folder = put(tmp_path / "one", {"a.csv": text, "b.csv": "id,name,size\nx,y,z\n"})
+    reader = spark.read.schema(SCHEMA).option("header", "true").csv(f"{folder}/a.csv")
+    parsed = reader.selectExpr("'u' AS unit", "0L AS block", "struct(*) AS __record")
+    groups = routing._salted(parsed).groupBy("__salt").count().collect()
+    assert len(groups) == routing.SALTS and max(g["count"] for g in groups) < 60
+
+
 def test_lines_without_blocks(spark, monkeypatch):
-    monkeypatch.setattr(routing, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(routing, "BROADCAST_UNITS", 0)
     rows = [("a", '{"id":1}'), ("b", "{"), ("b", "{}")]
     lines = spark.createDataFrame(rows, "unit string, line string")
     routed = split_by_unit(lines, "json", SCHEMA)
@@ -123,7 +132,9 @@ def test_folders_as_units(spark, tmp_path):
     assert outcome(routed) == ([1, 2], [("two", '{"id":'), ("two", '{"id":3}')])
 
 
-def test_files_with_a_header(spark, tmp_path):
+@pytest.mark.parametrize("limit", [routing.BROADCAST_UNITS, 0])
+def test_files_with_a_header(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(routing, "BROADCAST_UNITS", limit)
     files = {name: "id,name,size\n" + text for name, text in CSV.items()}
     path = put(tmp_path / "h", files)
     routed = split_files(spark, path, "csv", SCHEMA, options={"header": "true"})
