@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from acceptance.digests_sql import (
+    fingerprint64_to_32_bytes,
     fingerprint64_to_64_bytes,
     fingerprint64_to_128_bytes,
     sha384,
@@ -34,10 +35,9 @@ def number(hexadecimal: str) -> str:
 
 
 def octets(text: str) -> str:
-    """The bytes of a text as a list of integers; for short texts."""
-    digits = f"hex(encode({text}))"
-    byte = number(f"substr({digits}, 2 * i - 1, 2)")
-    return f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {byte})"
+    """The bytes of a text as a list of integers."""
+    pairs = f"regexp_extract_all(hex(encode({text})), '..')"
+    return f"list_transform({pairs}, lambda i: {number('i')})"
 
 
 def least_byte_first(value: str) -> str:
@@ -236,6 +236,13 @@ ORACLES = {
     "unnest([l_orderkey::VARCHAR, l_partkey::VARCHAR, l_suppkey::VARCHAR]) AS v FROM lineitem)",
     "default_algorithm": f"SELECT c_custkey, {sha256('c_name')} AS of_none, "
     f"{sha256('c_name')} AS of_empty FROM customer",
+    "farm_fingerprint64_short": "SELECT c_custkey, digest AS c_mktsegment FROM ("
+    + fingerprint64_to_32_bytes(
+        "SELECT c_custkey, encode('k' || c_mktsegment || base64(encode(c_mktsegment))) AS m "
+        "FROM customer"
+    )
+    + ")",
+    "crc32c_long_text": f"SELECT doc_id, {crc('text', 0x82F63B78)} AS text FROM documents",
     "hash_files_csv": HASHED_ORDERS,
     "hash_files_json": HASHED_ORDERS,
     "count_by_unit": "SELECT o_orderpriority AS unit, count(*) AS record_count "
