@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from maskwright.llm.bpe import bpe_round_trip, read_ranks
 from maskwright.llm.mixing import mix_sources, training_order
 from maskwright.llm.near_duplicates import drop_near_duplicates
 from maskwright.llm.quality import labelled, quality_score, train_quality
@@ -50,14 +50,13 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document, with their number and whether they decode to the text."""
     ranks = read_ranks(public_tokenizers.path(VOCABULARY))
     text = F.coalesce("text", F.lit(""))
-    ids = bpe_encode(text, ranks, public_tokenizers.PATTERN)
-    encoded = docs.select("doc_id", text.alias("text"), ids.alias("ids"))
-    decoded = bpe_decode(F.col("ids"), ranks)
+    both = bpe_round_trip(text, ranks, public_tokenizers.PATTERN)
+    encoded = docs.select("doc_id", text.alias("text"), both.alias("both"))
     return encoded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (decoded == F.encode("text", "UTF-8")).alias("round_trip"),
+        F.size("both.ids").cast("long").alias("n_tokens"),
+        "both.ids",
+        (F.col("both.decoded") == F.encode("text", "UTF-8")).alias("round_trip"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm import mixing, oracles, secrets
-from maskwright.llm.bpe import bpe_decode, bpe_encode, read_ranks
+from maskwright.llm.bpe import bpe_round_trip, read_ranks
 from maskwright.llm.embedding_links import embedding_links
 from maskwright.llm.language import predict_language, train_language
 from maskwright.llm.mixing import mix_sources
@@ -69,9 +69,9 @@ def op5_language_svm(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path(VOCABULARY))
-    ids = bpe_encode(F.col("text"), ranks, public_tokenizers.PATTERN)
-    encoded = table(spark, folder, "documents").select("doc_id", ids.alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe_decode(F.col("ids"), ranks))
+    both = bpe_round_trip(F.col("text"), ranks, public_tokenizers.PATTERN)
+    decoded = table(spark, folder, "documents").select("doc_id", both.alias("both"))
+    decoded = decoded.select("doc_id", "both.*")
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return decoded.select(
         "doc_id",
