@@ -79,8 +79,9 @@ def _in_batches(digests: Digests, word: str, depth: int):
 
 
 _ADLER_PRIME = np.uint64(65521)
-# Bytes whose running sums are held at once; a longer message is summed by itself.
-_ADLER_PORTION = 1 << 18
+# Bytes whose running sums are held at once, and the mean size of messages from which on
+# a call for each costs less than running sums.
+_ADLER_PORTION, _ADLER_LONG = 1 << 18, 400
 
 
 def _adler32(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -89,10 +90,11 @@ def _adler32(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     first, ends = 0, start + size
     while first < len(start):
         last = int(np.searchsorted(ends, start[first] + _ADLER_PORTION, side="right"))
-        if last <= first:
-            message = memoryview(data)[start[first] : ends[first]]
-            out[first] = zlib.adler32(message)
-            first += 1
+        last = max(last, first + 1)
+        if ends[last - 1] - start[first] > _ADLER_LONG * (last - first):
+            for i in range(first, last):
+                out[i] = zlib.adler32(memoryview(data)[start[i] : ends[i]])
+            first = last
             continue
         part = data[start[first] : ends[last - 1]].astype(np.uint64)
         plain = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part)])
