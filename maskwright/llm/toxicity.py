@@ -2,8 +2,12 @@
 
 A noisy channel hides words: letters become look-alikes, are spaced out or repeated. What
 looks hidden becomes a lattice of the letters that may have been meant; Viterbi decoding
-under a character language model gives the likeliest readings. The words of the text and of
-these readings are then scored by the log-odds of words and word beginnings.
+under a character language model gives the likeliest readings. Where symbols are spaced out, a
+word may end at each gap, and does at a wider one. The words of the text and of these readings
+are then scored by the log-odds of words and word beginnings.
+
+Marks alone, such as ``@$$``, hide a word if two of them are different look-alikes and one is no
+digit; numbers and prices hide none.
 
 The language model counts letter trigrams over all documents. The log-odds are fitted on at
 most ``SAMPLE`` labelled rows of each class, chosen by a hash of the id.
@@ -20,6 +24,8 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import product
+from statistics import multimode
 
 import numpy as np
 import pandas as pd
@@ -43,6 +49,8 @@ BUCKETS = 1 << 20
 #: Standard errors by which log-odds are lowered, so that rare words prove little.
 CAUTION = 2.0
 READINGS, BEAM = 3, 24
+#: Of a spaced run, where the places of the breaks multiply the readings.
+SPACED_READINGS = 24
 KEPT_WORDS = 150_000
 SYMBOLS = 64
 #: Letters of a word's beginning that are scored.
@@ -54,6 +62,12 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
 _HIDING = re.compile("[" + re.escape("".join(LOOKALIKES) + SEPARATORS) + "]")
+_MARKS = re.compile("[" + re.escape("".join(LOOKALIKES) + SEPARATORS) + "]{3,}")
+_NUMBER = re.compile(r"[$€£+|-]?\d[\d.-]*[$€£+|]?")
+_PAIR = re.compile(r"\s\S\s+\S\s")
+_TOKEN = re.compile(r"(\s*)(\S+)")
+#: A run of one character, spaced out or not, or a gap between two.
+_RUN = re.compile(r"(\S)(?: ?\1)*| ")
 
 
 def _symbols() -> np.ndarray:
@@ -118,6 +132,7 @@ class Decoder:
     def readings(self, hidden: str) -> list[str]:
         """The likeliest restored forms of a token, best first."""
         logs = self.logs
+        most = SPACED_READINGS if " " in hidden else READINGS
         paths = {(0, 0): [(0.0, "")]}
         for meant in _lattice(hidden):
             grown: dict[tuple[int, int], list[tuple[float, str]]] = {}
@@ -134,35 +149,55 @@ class Decoder:
                 ((max(paths)[0], state, paths) for state, paths in grown.items()), reverse=True
             )[:BEAM]
             paths = {
-                state: sorted(set(found), reverse=True)[:READINGS] for _, state, found in ranked
+                state: sorted(set(found), reverse=True)[:most] for _, state, found in ranked
             }
         ends = [
             (score + logs[a][b][0], text) for (a, b), found in paths.items() for score, text in found
         ]
-        return [text for _, text in sorted(ends, reverse=True)[:READINGS] if text]
+        return [text for _, text in sorted(ends, reverse=True)[:most] if text]
 
 
 def _lattice(hidden: str) -> Iterator[list[tuple[str, float]]]:
-    """For each run of one character, what it may stand for and at what cost."""
-    i = 0
-    while i < len(hidden):
-        c, start = hidden[i], i
-        while i < len(hidden) and hidden[i] == c:
-            i += 1
-        run = i - start
-        if _LETTER.match(c):
-            yield [(c, -0.7), (c + c, -0.7)] if run > 2 else [(c * run, 0.0)]
+    """For each run of one character, what it may stand for and at what cost.
+
+    A word may end at each space.
+    """
+    for part in _RUN.finditer(hidden):
+        c, run = part[0][0], part[0].count(part[0][0])
+        if c == " ":
+            yield [("", 0.0), (" ", 0.0)]
+        elif _LETTER.match(c):
+            cost = -0.7 if run > 2 else 0.0
+            options = [(c, cost), (c + c, cost)] if run > 2 else [(c * run, cost)]
+            yield [*options, *((ended, cost) for ended in _ended(c, part[0]))]
         elif c in LOOKALIKES:
             meant = LOOKALIKES[c]
             cost = -0.2 - math.log(len(meant))
             options = [(letter * min(run, 2), cost) for letter in meant]
             options += [(letter, cost - 0.7) for letter in meant if run > 1]
+            options += [(ended, cost) for letter in meant for ended in _ended(letter, part[0])]
             # A stray mark is likely at the end only.
-            yield [*options, ("", -9.0 if i < len(hidden) else -3.0)]
+            yield [*options, ("", -9.0 if part.end() < len(hidden) else -3.0)]
         else:
             yield [("", -0.5)]
 
 
+def _ended(letter: str, run: str) -> list[str]:
+    """What a spaced run of one letter may stand for if a word ends within it."""
+    if " " not in run:
+        return []
+    most = run.count(run[0])
+    return [f"{letter * i} {letter * j}" for i, j in product((1, 2), (1, 2)) if i + j <= most]
+
+
+def _masked(token: str) -> bool:
+    """Whether marks without a letter look like a word."""
+    if not _MARKS.fullmatch(token) or _NUMBER.fullmatch(token):
+        return False
+    marks = set(token) & set(LOOKALIKES)
+    return len(marks) > 1 and not all(map(str.isdigit, marks))
+
+
 def hidden_words(text: str) -> tuple[set[str], set[str]]:
     """The words of a text in lower case, and what in it looks like hidden words."""
     lower = text.lower()
@@ -175,23 +210,64 @@ def hidden_words(text: str) -> tuple[set[str], set[str]]:
             if repeated and _REPEAT.search(token):
                 hidden.add(token)
             continue
+        whole = token
         token = _EDGE.sub("", token.lstrip(_OPEN))
         found = _LETTERS.findall(token)
         words.update(found)
         if found and (_HIDING.search(token) or repeated and _REPEAT.search(token)):
             hidden.add(token)
+        elif not found and not _NUMBER.fullmatch(token):
+            # Repeated marks at the end may be its letters.
+            hidden.update([form for form in (token, whole) if _masked(form)][:1])
     single = [i for i, token in enumerate(tokens) if len(token) == 1]
     start = 0
     for end in range(1, len(single) + 1):
         if end == len(single) or single[end] != single[end - 1] + 1:
             if end - start >= 3:
                 run = "".join(tokens[single[start] : single[end - 1] + 1])
-                if _LETTER.search(run):
+                if _LETTER.search(run) or _masked(run):
                     hidden.add(run)
             start = end
     return words, hidden
 
 
+def spaced_runs(text: str) -> list[str]:
+    """The runs of spaced-out symbols, between wider gaps: each with a space at every gap."""
+    found: list[str] = []
+    if not _PAIR.search(f" {text} "):
+        return found
+    run: list[tuple[str, tuple[bool, int], bool]] = []
+
+    def close():
+        if len(run) > 2:
+            usual = min(multimode(width for _, width, _ in run[1:]))
+            parts: list[list[str]] = [[]]
+            for symbol, width, ended in run:
+                if ended or width > usual:
+                    parts.append([])
+                if _LETTER.match(symbol) or symbol in LOOKALIKES:
+                    parts[-1].append(symbol)
+                elif symbol not in SEPARATORS:
+                    parts.append([])
+            for part in parts:
+                joined = "".join(part)
+                if len(part) > 1 and (_LETTER.search(joined) or _masked(joined)):
+                    found.append(" ".join(part))
+        run.clear()
+
+    ended = True
+    for gap, token in _TOKEN.findall(text.lower()):
+        inner = token.lstrip(_OPEN) or token
+        core = _EDGE.sub("", inner) or inner
+        if len(core) == 1:
+            run.append((core, ("\n" in gap, len(gap)), ended or inner != token))
+        else:
+            close()
+        ended = core != inner
+    close()
+    return found
+
+
 class _Kept(dict):
     """Values by token, bounded."""
 
@@ -249,7 +325,7 @@ class Model:
     def keys(self, text: str | None) -> set[str]:
         """The keys of a text's words and of the readings of what is hidden in it."""
         words, hidden = hidden_words(text or "")
-        for token in hidden:
+        for token in hidden.union(spaced_runs(text or "")):
             words.update(self.restored[token])
         return set(map(_key, words))
 
@@ -266,12 +342,12 @@ def restore(text: str, decoder: Decoder) -> str:
     """A text in which the hidden words of each line are replaced by their likeliest reading."""
 
     def line(value: str) -> str:
-        _, hidden = hidden_words(value)
+        hidden = hidden_words(value)[1].union(spaced_runs(value))
         out, run = [], []
 
         def close():
-            joined = "".join(run).lower()
-            out.extend(decoder.readings(joined)[:1] if joined in hidden else run)
+            spaced = " ".join(run).lower()
+            out.extend(decoder.readings(spaced)[:1] if spaced in hidden else run)
             run.clear()
 
         for token in value.split(" "):

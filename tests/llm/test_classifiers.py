@@ -182,3 +182,35 @@ def test_clean_text_hides_nothing():
     words, hidden = toxicity.hidden_words("The house, of (this) a I person.\nNo 12 or 3.5 more")
     assert not hidden and {"the", "house", "this", "person"} <= words
     assert toxicity.hidden_words("s t u p i d and more")[1] == {"stupid"}
+
+
+def decoder_of(corpus: str) -> toxicity.Decoder:
+    s = toxicity._TABLE[np.frombuffer(corpus.encode("utf-32-le"), np.uint32)]
+    three = (s[:-2] << 12) | (s[1:-1] << 6) | s[2:]
+    return toxicity.Decoder(np.bincount(three, minlength=64**3).reshape(64, 64, 64).astype(float))
+
+
+@pytest.mark.parametrize(
+    "text, word",
+    [
+        ("y o u i d i o t", "idiot"), ("you are a s t u p i d", "stupid"), ("(y o u s t u p i d!)", "stupid"),
+        ("y o u   i d i o t", "idiot"), ("y o u i d 1 o o o o t", "idiot"), ("s t u p i d  y o u", "stupid"),
+        ("so @$$!", "ass"), ("so @$$$", "ass"), ("a house @ $ $", "ass"), ("y . o . u . i . d . i . o . t", "idiot"),
+    ],
+)
+def test_words_in_spaced_runs_and_marks_speak(text, word):
+    decoder = decoder_of(" you are a stupid idiot ass this is the house of a person " * 20)
+    blank = toxicity.Model(decoder.counts, {})
+    toxic = dict.fromkeys(toxicity._buckets(toxicity._key(word)), 5.0)
+    assert toxicity._key(word) in blank.keys(text)
+    assert toxicity.Model(decoder.counts, toxic).strength(text) >= 5.0
+
+
+def test_spaced_runs():
+    assert toxicity.spaced_runs("y o u i d i o t") == ["y o u i d i o t"]
+    assert toxicity.spaced_runs("y o u   i d i o t, a b c") == ["y o u", "i d i o t", "a b c"]
+    assert toxicity.spaced_runs("s  t  u  p  i  d") == ["s t u p i d"]
+    assert toxicity.spaced_runs("I am a person. 1 2 3 | + |") == ["| + |"]
+    assert not toxicity.hidden_words("100 3.5 $100 +10 10.55 ... --- !!! $$$")[1]
+    decoder = decoder_of(" you are a stupid idiot " * 20)
+    assert toxicity.restore("Hey y o u i d i o t now", decoder) == "Hey you idiot now"
