@@ -63,9 +63,14 @@ KINDS = (
 )
 
 
-def scan_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE, nested: bool = False
+) -> DataFrame:
     """``docs`` with the spans of its secrets as the last column, ``secrets`` or the next
-    free name: array<struct<start, place, kind, end, value>>, by start and then kind."""
+    free name: array<struct<start, place, kind, end, value>>, by start and then kind.
+
+    With ``nested`` an endpoint and the parts of other roles that overlap it count too.
+    """
     into = free_name(docs, "secrets")
     parts = with_spans(docs, column(docs, text_col), KINDS, into)
     spans = F.col(into)
@@ -73,16 +78,22 @@ def scan_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE)
     weak = F.filter(spans, lambda s: ~s["kind"].isin(*BASE))
     linked = free_name(parts, f"{into}_linked")
     parts = parts.withColumn(
-        linked, F.when(F.size(weak) > 0, _linked(spans, scope)).otherwise(F.array().cast(SPAN))
+        linked, F.when(F.size(weak) > 0, _linked(spans, scope, nested)).otherwise(F.array().cast(SPAN))
     )
     whole = F.array_sort(F.concat(base, F.col(linked)))
     kept = [F.col(quoted(name)) for name in docs.columns]
     return parts.select(*kept, whole.alias(into))
 
 
-def _linked(spans: Column, scope: int) -> Column:
+def _linked(spans: Column, scope: int, nested: bool) -> Column:
     """The weak spans that overlap no strong one and have a part of another role in scope."""
     near = F.array_union(_sweep(spans, scope, True), _sweep(spans, scope, False))
+    if nested:
+        # A user name and an opaque string may be one value, so these two do not link.
+        others = [kind for kind in ROLES if kind != "endpoint"]
+        for kinds in (["endpoint"], others):
+            weak = F.filter(covered(spans, kinds), lambda s: ~s["kind"].isin(*BASE))
+            near = F.array_union(near, weak)
     return F.array_except(near, covered(spans, BASE))
 
 
@@ -131,8 +142,9 @@ def _role(kind: Column) -> Column:
 
 
 def redact_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """``docs`` with each secret in its texts replaced by its kind in angle brackets."""
-    scanned = scan_secrets(docs, text_col=text_col, scope=scope)
+    """``docs`` with each secret in its texts replaced by its kind in angle brackets, also
+    where an endpoint contains it."""
+    scanned = scan_secrets(docs, text_col=text_col, scope=scope, nested=True)
     found = column(scanned, scanned.columns[-1])
     text = redacted(column(scanned, text_col), found)
     return scanned.withColumn(text_col, text).select(*(F.col(quoted(c)) for c in docs.columns))

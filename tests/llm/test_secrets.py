@@ -131,3 +131,13 @@ def test_empty_table(spark):
 def test_native_plan(spark, folder):
     plan = op1_secrets(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def test_parts_within_endpoints_are_redacted(spark):
+    token = "Abc123Abc123Abc123Abc123Xy"
+    texts = [f"a postgres://svc:{token}@db/x b", f"https://hooks.example/T/{token}", f"user_name={token} c"]
+    docs = spark.createDataFrame([(text,) for text in [*texts, "https://x.example/y z"]], "text string")
+    clean = [r[0] for r in redact_secrets(docs).collect()]
+    assert clean == ["a <ENDPOINT> b", "<ENDPOINT>", texts[2], "https://x.example/y z"]
+    kinds = [[s["kind"] for s in r[-1]] for r in scan_secrets(docs, nested=True).collect()]
+    assert kinds == [["endpoint", "opaque"]] * 2 + [[], []]
