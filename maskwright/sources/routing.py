@@ -7,8 +7,8 @@ unchanged lines it came in as.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -164,9 +164,8 @@ def split_files(
     return _route(parsed, all_read, schema, lines, [], extra)
 
 
-# Files that may fail one after the other before a job gives up: each costs a reading of all.
-FAILED_FILES = 50
-_UNREADABLE = re.compile(r"(?:reading file|footer for file:?|file) '?([a-z0-9]+:/\S+?)'?[.,;]?(?:\s|$)")
+# Files that can't all be read are checked again in so many groups, at the same time.
+CHECK_GROUPS = 16
 
 
 def split_readable(
@@ -180,34 +179,61 @@ def split_readable(
     """The records of files that can be read to their end, and the paths of the others.
 
     For Parquet, ORC and Avro, whose files are bad as a whole if they are. All values of
-    all files are read once to find out, and once more for each file that fails.
+    all files are read once to find out. A group of files that fails is parted into
+    ``CHECK_GROUPS``, down to single files: all is read again about once for each level, and
+    any number of files may fail.
     """
     if not isinstance(schema, T.StructType) or not schema.fields:
         raise ValueError("a schema is needed to tell good files from bad ones")
     reader = spark.read.format(fmt).schema(schema).options(**(options or {}))
-    records, failed = reader.load(path), []
+    records = reader.load(path)
+    if _error_of(records) is None:
+        return records, []
     based = {"basePath": path} if isinstance(path, str) and not set("*?[{") & set(path) else {}
-    files = records.inputFiles()
-    while True:
-        values = F.xxhash64(*(F.col(quoted(name)).cast("string") for name in records.columns))
-        try:
-            records.agg(F.max(values)).first()
-            return records, failed
-        except (PySparkException, Py4JJavaError) as error:
-            named = [unquote(found) for found in _UNREADABLE.findall(str(error))]
-            bad = {f for f in files if any(_same_file(unquote(f), name) for name in named)}
-            if not bad or len(failed) >= FAILED_FILES:
-                raise
-        failed += sorted(bad)
-        files = [file for file in files if file not in bad]
-        if not files:
-            return records.where(F.lit(False)), failed
-        records = reader.options(**based).load(files)
-
-
-def _same_file(one: str, other: str) -> bool:
-    """Whether two forms of a path, file:/x and file:///x, are one file."""
-    return re.sub(":/+", ":/", one) == re.sub(":/+", ":/", other)
+    files = sorted(set(records.inputFiles()))
+    groups, failed = [files], []
+
+    def load(some: list[str]) -> DataFrame:
+        # Names come with escapes, which paths to read don't have.
+        return reader.options(**based).load([unquote(file) for file in some])
+
+    def error_of(group: list[str]) -> Exception | None:
+        return _error_of(load(group))
+
+    with ThreadPoolExecutor(CHECK_GROUPS) as pool:
+        while groups:
+            parts = [
+                group[i::CHECK_GROUPS] for group in groups for i in range(min(len(group), CHECK_GROUPS))
+            ]
+            groups = []
+            for part, error in zip(parts, pool.map(error_of, parts)):
+                if error is None:
+                    continue
+                if len(part) > 1:
+                    groups.append(part)
+                elif any(name in str(error) for name in _UNREADABLE):
+                    failed += part
+                else:
+                    raise error
+    bad = set(failed)
+    good = [file for file in files if file not in bad]
+    if not good:
+        return records.where(F.lit(False)), sorted(failed)
+    return load(good), sorted(failed)
+
+
+# Conditions of errors that are a file's; others, such as lost executors, end the job.
+_UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
+
+
+def _error_of(records: DataFrame) -> Exception | None:
+    """The error, if any, of reading all values."""
+    values = F.xxhash64(*(F.col(quoted(name)).cast("string") for name in records.columns))
+    try:
+        records.agg(F.max(values)).first()
+    except (PySparkException, Py4JJavaError) as error:
+        return error
+    return None
 
 
 def _route(

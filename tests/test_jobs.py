@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from maskwright.jobs import Done, Sink, Source, dictionary_of_files, hash_files
 from maskwright.sources import MEMBER, MEMBER_INPUT, members, write_records
+from maskwright.sources.routing import split_readable
 from tests.fixtures import DIGESTS, KEY, VALUE
 from tests.test_routing import CSV, JSON, SCHEMA, put
 
@@ -189,3 +190,14 @@ def test_columnar_files_that_are_all_good_or_all_bad(spark, tmp_path):
     sink = Sink(f"{tmp_path}/none", "json", failure_path=f"{tmp_path}/names")
     source = Source(f"{tmp_path}/bad", "parquet", schema)
     assert hash_files(spark, source, sink, {"/v": "/v"}, key=KEY) == Done(0, 1)
+
+
+def test_any_number_of_bad_columnar_files(spark, tmp_path):
+    folder = tmp_path / "many files"
+    spark.range(80).repartition(4).write.parquet(str(folder))
+    for i in range(60):
+        (folder / f"bad {i}.parquet").write_bytes(b"PAR1 not really PAR1")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    records, failed = split_readable(spark, str(folder), "parquet", schema)
+    assert len(failed) == 60 and all("bad" in name for name in failed)
+    assert sorted(r.id for r in records.collect()) == list(range(80))
