@@ -112,3 +112,58 @@ found AS (
 SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in base)},
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN found USING (row)"""
+
+
+def filter_audit() -> str:
+    """Five filters of documents in all 120 orders, by the failures that documents have in
+    common."""
+    letters = "ABCDE"
+    bits = {letter: 1 << i for i, letter in enumerate(letters)}
+    bit = "CASE letter " + " ".join(f"WHEN '{c}' THEN {b}" for c, b in bits.items()) + " END"
+    return rf"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM words GROUP BY text),
+flagged AS (
+  SELECT part, doc_id,
+    CASE WHEN len(words) < 100 THEN {bits["A"]} ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN {bits["B"]} ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text)
+      THEN {bits["C"]} ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN {bits["D"]} ELSE 0 END
+    + CASE WHEN doc_id > first THEN {bits["E"]} ELSE 0 END AS fails
+  FROM words JOIN firsts USING (text)),
+marked AS (
+  SELECT part, fails,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+  FROM flagged),
+groups AS MATERIALIZED (
+  SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+  FROM marked GROUP BY ALL),
+orders AS (
+  SELECT '' AS filter_order UNION ALL
+  SELECT filter_order || letter FROM orders, (SELECT unnest(string_split('{letters}', '')) AS letter)
+  WHERE NOT contains(filter_order, letter)),
+steps AS MATERIALIZED (
+  SELECT filter_order, step, {bit} AS own,
+    list_sum([{bit.replace("letter", "x")} FOR x IN string_split(filter_order, '')][1:step - 1])
+      AS before
+  FROM (SELECT filter_order, step, filter_order[step] AS letter
+    FROM orders, range(1, 6) AS r(step) WHERE length(filter_order) = 5)),
+counted AS (
+  SELECT part, filter_order, step, own,
+    sum(n) FILTER (fails & (own | coalesce(before, 0)) = 0) AS kept,
+    sum(n) FILTER (fails & own > 0 AND fails & coalesce(before, 0) = 0) AS removed,
+    sum(n) FILTER (fails & own > 0 AND fails & coalesce(before, 0) > 0) AS redundant,
+    sum(n) FILTER (fails = own) AS unique_fails,
+    sum(good) FILTER (fails & own > 0 AND fails & coalesce(before, 0) = 0) AS good_lost,
+    sum(toxic) FILTER (fails & own > 0 AND fails & coalesce(before, 0) = 0) AS toxic_lost
+  FROM groups, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, {", ".join(
+    f"coalesce({c}, 0)::BIGINT AS {c}"
+    for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")
+)},
+  coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM counted"""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from maskwright.llm import mixing, oracles, secrets
 from maskwright.llm.bpe import bpe_round_trip, read_ranks
 from maskwright.llm.embedding_links import embedding_links
+from maskwright.llm.filter_audit import filter_audit, word_filters
 from maskwright.llm.language import predict_language, train_language
 from maskwright.llm.mixing import mix_sources
 from maskwright.llm.near_duplicates import near_duplicates
@@ -22,6 +23,7 @@ from maskwright.llm.quality import labelled, quality_score, train_quality
 from maskwright.llm.secrets import scan_secrets
 from maskwright.llm.spans import count_of, listed
 from maskwright.llm.tables import held_out, table
+from maskwright.llm.token_counts import read_merges, token_count
 from maskwright.llm.toxicity import letter_trigrams, toxicity_score, train_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+COUNTED_VOCABULARY = "word_bpe_49k.json"
+#: Tokens that a model takes at once.
+TOKEN_LIMIT = 2048
 QUERIES["pipeline"] = corpus_pipeline.run
 
 
@@ -176,3 +181,32 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(spans).alias("spans"),
     )
+
+
+@query
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    merges = read_merges(public_tokenizers.path(COUNTED_VOCABULARY))
+    counted = table(spark, folder, "documents").select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        token_count(F.col("text"), merges).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    return filter_audit(
+        table(spark, folder, "documents").select("doc_id", "text", "lang"),
+        word_filters(F.col("text")),
+        part=F.col("lang"),
+        marks={
+            "good_lost": labels.filter("quality = 1").select("doc_id"),
+            "toxic_lost": labels.filter("toxic = 1").select("doc_id"),
+        },
+        repeated="E",
+    )
+
+
+ORACLES["op12_filter_audit"] = oracles.filter_audit()
