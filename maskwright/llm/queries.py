@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from maskwright.llm import mixing, oracles, secrets
 from maskwright.llm.bpe import bpe_round_trip, read_ranks
+from maskwright.llm.conversation_repair import digests, repair
 from maskwright.llm.embedding_links import embedding_links
 from maskwright.llm.filter_audit import filter_audit, word_filters
 from maskwright.llm.language import predict_language, train_language
@@ -210,3 +211,49 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_filter_audit"] = oracles.filter_audit()
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows of conversations with faults by a hash of their conversation and turn: dropped,
+    emptied, without their full stops, repeated, or of the role ``user``."""
+
+    def or_space(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    place = F.concat(or_space("conv_id"), F.lit(":"), or_space("turn"))
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        or_space("role").alias("role"),
+        or_space("text").alias("text"),
+        (F.crc32(place) % 20).alias("damage"),
+    )
+    damage, text = F.col("damage"), F.col("text")
+    emptied = F.when(damage == 1, "").when(damage == 2, F.regexp_replace(text, "[.!?]", ""))
+    return rows.filter(damage != 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(F.col("role")).alias("role"),
+        emptied.otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(damage == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    repaired = repair(damaged(conversations))
+    found = repaired.audits.join(
+        digests(repaired.rows).withColumnRenamed("conversation", "digested"),
+        F.col("conversation").eqNullSafe(F.col("digested")),
+        "left",
+    )
+    every = conversations.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("conversation")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
