@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from maskwright.llm.queries import COUNTED_VOCABULARY, op11_token_counts
+from maskwright.llm.token_counts import Counter, read_merges, token_count
+
+PATH = public_tokenizers.path(COUNTED_VOCABULARY)
+MERGES = read_merges(PATH)
+THEIRS = Tokenizer.from_file(PATH)
+
+
+def theirs(text: str) -> int:
+    return len(THEIRS.encode(text, add_special_tokens=False).ids)
+
+
+def texts() -> list[str]:
+    rng = random.Random(1)
+    signs = "aab é漢字\x1c\x85   \n\t '’sS1٣-_😀́​﻿ΣσςİIıßẞ½²"
+    made = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    special = [
+        "a<|endoftext|>b<|startoftext|>", "<|endoftext|", "<|ENDOFTEXT|>", "<|endoftext|><|endoftext|>",
+        "e<|endoftext|>́", " <|startoftext|> ",
+    ]
+    long = ["a" * 20_000, "ab" * 9_000, "é" * 7_001, "lorem" * 5_000, "-" * 3_000, "\n" * 900 + "x"]
+    return ["", *made, *special, *long, "I'll we've DON'T", "ΟΔΟΣ Σ", "Å ﬁ"]
+
+
+def test_counts_of_the_library():
+    ours = Counter(MERGES)
+    for text in texts():
+        assert ours.count(text) == theirs(text), text[:100]
+
+
+def test_small_caches_change_nothing(monkeypatch):
+    monkeypatch.setattr("maskwright.llm.token_counts.KEPT_WORDS", 3)
+    monkeypatch.setattr("maskwright.llm.token_counts.KEPT_LENGTH", 2)
+    monkeypatch.setattr("maskwright.llm.token_counts.LISTED_TEXT", 10)
+    ours = Counter(MERGES)
+    for text in texts()[:400]:
+        assert ours.count(text) == theirs(text)
+
+
+def test_merges_are_the_difference():
+    """The count is the number of bytes less the merges, down to a word that is one token."""
+    ours = Counter(MERGES)
+    assert ours.merged(b"the") == 1 and ours.merged(b"") == 0
+    assert ours.merged(bytes(range(0x80, 0xC0))) <= 64
+
+
+def test_long_word_in_steps_of_its_length():
+    """A word of 400,000 letters is counted like a short one, and does not stay in the cache."""
+    ours = Counter(MERGES)
+    assert ours.count("xy" * 200_000) == theirs("xy" * 200_000)
+    assert not ours.kept
+
+
+def test_special_strings_with_conditions_are_refused(tmp_path):
+    path = tmp_path / "own.json"
+    path.write_text(
+        '{"added_tokens": [{"content": "<x>", "lstrip": true}],'
+        ' "model": {"merges": ["a b"], "end_of_word_suffix": "</w>"}}'
+    )
+    with pytest.raises(ValueError, match="special"):
+        read_merges(str(path))
+
+
+def test_query(spark, tmp_path):
+    rows = [(i, text) for i, text in enumerate([None, *texts()[:200], "word " * 2048, "word " * 2049])]
+    rows += [rows[3], (None, "x y")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    found = op11_token_counts(spark, str(tmp_path))
+    assert found.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    expected = [
+        (i, len((text or "").encode()), theirs(text or ""), theirs(text or "") > 2048)
+        for i, text in rows
+    ]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+    assert sum(row[3] for row in expected) == 1
+
+
+def test_empty_table_and_clashing_names(spark):
+    docs = spark.createDataFrame([], "text string, n_tokens string, kept string")
+    counted = docs.withColumn("count", token_count(F.col("text"), MERGES))
+    assert counted.collect() == [] and counted.columns == ["text", "n_tokens", "kept", "count"]
+    docs = spark.createDataFrame([("the the", "own")], "text string, n_tokens string")
+    counted = docs.select("*", token_count(F.col("text"), MERGES).alias("n"))
+    assert list(map(tuple, counted.collect())) == [("the the", "own", 2)]
