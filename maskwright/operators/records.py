@@ -148,7 +148,7 @@ def _apply(
             # A UDF cannot run inside a lambda. So it runs in a column of its own:
             # on the one source value of the row, or on whole arrays of messages,
             # from which the lambda picks by position.
-            name = f"__digests_{len(helpers)}"
+            name = _free_name(df, f"__digests_{len(helpers)}")
             if source.shared:
                 helpers[name] = _digests(place, source, algorithm, key)
                 replacements.append(Replacement(place, _pick(source), F.col(name)))
@@ -160,6 +160,14 @@ def _apply(
     return df.withColumns(replaced(replacements)).drop(*helpers)
 
 
+def _free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, with as many underscores behind it as it takes to be no column's name."""
+    taken = {name.lower() for name in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def _text(source: Place, *line) -> Column:
     return text_form(value_of(source, *line), source.type)
 

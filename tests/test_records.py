@@ -275,3 +275,19 @@ def test_project_fields(nested):
     assert result.orderBy("name").collect()[-1].asDict() == {"name": "Ann", "lat": 1.5, "tags": "a"}
     assert project_fields(nested, "/absent") is nested
     assert project_fields(nested, "/*").columns == nested.columns
+
+
+@pytest.mark.parametrize("algorithm", ["sha256", "crc32c"])
+def test_columns_named_like_helpers_stay(spark, algorithm):
+    df = spark.createDataFrame(
+        [(["a", "b"], "mine", "own", "x")],
+        "tags array<string>, __digests_0 string, __DIGESTS_0_ string, __digests_1 string",
+    )
+    out = hash_fields(df, {"/tags[*]": ".", "/__digests_1": "."}, key=KEY, algorithm=algorithm)
+    assert out.columns == df.columns
+    row = out.first()
+    assert (row["__digests_0"], row["__DIGESTS_0_"]) == ("mine", "own")
+    plain = df.select(
+        *(keyed_hash(F.lit(v), KEY, algorithm).alias(v) for v in ("a", "b", "x"))
+    ).first()
+    assert (row["tags"], row["__digests_1"]) == ([plain["a"], plain["b"]], plain["x"])
