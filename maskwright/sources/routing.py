@@ -27,7 +27,7 @@ BLOCK = "block"
 _RECORD = "__record"
 _CORRUPT = "__corrupt"
 _SALT = "__salt"
-_PARTITION = "__partition"
+PARTITION = "__partition"
 _ID = "__id"
 
 # Failed units are broadcast up to this number, as hashes of 8 bytes each, and joined by
@@ -86,7 +86,7 @@ def with_places(
     if not _encoding(options).startswith("UTF"):
         line = F.decode(line.cast("binary"), _encoding(options))
     parts = [F.col(quoted(name)) for name in lines.columns if name != "value"]
-    partition = [F.struct(*parts).alias(_PARTITION)] if parts else []
+    partition = [F.struct(*parts).alias(PARTITION)] if parts else []
     return lines.select(*place_columns(folders), line.alias(LINE), *partition)
 
 
@@ -124,7 +124,7 @@ def split_by_unit(
 
 
 def _partition(lines: DataFrame) -> list[str]:
-    return lines.schema[_PARTITION].dataType.names if _PARTITION in lines.columns else []
+    return lines.schema[PARTITION].dataType.names if PARTITION in lines.columns else []
 
 
 def _is_record(fmt: str, options: Mapping[str, str] | None) -> Column:
@@ -293,9 +293,9 @@ def _fields(schema: T.StructType, partition: list[str]) -> list[Column]:
     columns = []
     for field in schema.fields:
         name = folders.pop(folded(field.name), None)
-        value = F.col(_RECORD)[field.name] if name is None else F.col(_PARTITION)[name]
+        value = F.col(_RECORD)[field.name] if name is None else F.col(PARTITION)[name]
         columns.append((value if name is None else value.cast(field.dataType)).alias(field.name))
-    return columns + [F.col(_PARTITION)[name].alias(name) for name in folders.values()]
+    return columns + [F.col(PARTITION)[name].alias(name) for name in folders.values()]
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:

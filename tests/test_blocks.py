@@ -1,0 +1,183 @@
+from __future__ import annotations
+
+import gzip
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from maskwright.sources import blocks
+from maskwright.sources.blocks import joined_by_head
+from maskwright.sources.logs import compiled, read_logs
+from maskwright.sources.quoted import quote_step, read_quoted_lines
+from maskwright.sources.routing import read_lines, split_by_unit
+
+PATTERN = r"%{TIMESTAMP:at} (?:\[%{WORD:thread}\] )?%{LEVEL:level} %{CLASS:place}: %{REST:message}"
+
+
+@pytest.fixture
+def sized(spark):
+    """Sets the size of the blocks that files are read in."""
+
+    def size(value: str) -> None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", value)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield size
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+# Logs.
+
+
+def log_files(folder) -> list[tuple]:
+    """Three files with traces of many lengths; their records as a plain loop makes them."""
+    rng = random.Random(5)
+    expected = []
+    for name in ("a", "b", "c"):
+        lines = ["left over from before", "\tand more"] if name == "b" else []
+        if lines:
+            expected.append((None, None, None, None, None, "\n".join(lines)))
+        for i in range({"a": 300, "b": 120, "c": 1}[name]):
+            thread = rng.choice([None, "main"])
+            message = rng.choice(["é started", "", "a: b: c", "x " * 40])
+            head = f"2024-05-06 07:08:{i % 60:02}.{i:03} "
+            head += f"[{thread}] " if thread else ""
+            more = [rng.choice(["\tat x.Y", "", "Caused by: z", "2024-05-06 no level"])] * rng.choice([0, 0, 1, 9, 60])
+            lines += [f"{head}WARN org.x.Place${i}: {message}", *more]
+            expected.append(
+                (head[:23], thread, "WARN", f"org.x.Place${i}", message or None, "\n".join(more) if more else None)
+            )
+        (folder / f"{name}.log").write_text("\n".join(lines) + "\n")
+    (folder / "empty.log").write_text("")
+    return expected
+
+
+@pytest.mark.parametrize("size", ["64", "500", "4k", "128m"])
+def test_traces_stay_with_their_record_whatever_the_split(spark, sized, tmp_path, size):
+    expected = log_files(tmp_path)
+    sized(size)
+    found = read_logs(spark, str(tmp_path), PATTERN)
+    assert found.columns == ["at", "thread", "level", "place", "message", "continued"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_no_record_at_all_and_files_that_cannot_be_split(spark, sized, tmp_path):
+    sized("100")
+    text = "no head\n" * 40
+    (tmp_path / "a.log").write_text(text)
+    with gzip.open(tmp_path / "b.log.gz", "wt") as file:
+        file.write("2024-05-06 07:08 INFO x.Y: m\n" + "\tat\n" * 90)
+    rows = read_logs(spark, str(tmp_path), PATTERN, unit=True).collect()
+    assert sorted((r["level"] or "", r["continued"]) for r in rows) == [
+        ("", text.rstrip("\n")), ("INFO", "\n".join(["\tat"] * 90)),
+    ]
+    assert sorted(r["unit"].rsplit("/", 1)[1] for r in rows) == ["a.log", "b.log.gz"]
+
+
+def test_empty_folder_partition_columns_and_options(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    assert read_logs(spark, str(tmp_path / "none"), PATTERN).collect() == []
+    folder = tmp_path / "logs" / "host=web 1"
+    folder.mkdir(parents=True)
+    (folder / "a.log").write_text("level=WARN|more;level=info|x")
+    found = read_logs(
+        spark, str(tmp_path / "logs"), r"level=%{LEVEL:level}\|%{OURS:rest}", pieces={"OURS": "%{REST}"},
+        options={"lineSep": ";"}, continued="trace",
+    )
+    assert found.columns == ["level", "rest", "trace", "host"]
+    assert sorted(map(tuple, found.collect())) == [
+        ("WARN", "more", None, "web 1"), ("info", "x", None, "web 1"),
+    ]
+    with pytest.raises(ValueError, match="one name"):
+        read_logs(spark, str(tmp_path / "logs"), "%{WORD:Host}")
+
+
+def test_patterns_that_do_not_compile():
+    assert compiled(r"a%{INT:n}(?:x|[(])\(%{WORD}")[1] == ["n"]
+    for wrong in ("%{NONE:x}", "%{INT}", "(a)%{INT:x}", "(?<a>b)%{INT:x}", "%{INT:x}%{INT:X}"):
+        with pytest.raises(ValueError):
+            compiled(wrong)
+    for pieces in ({"A": "%{B}", "B": "%{A}"}, {"A": "(x)"}, {"A": "%{INT:x}"}):
+        with pytest.raises(ValueError):
+            compiled("%{A:a}", pieces)
+
+
+def test_all_but_the_edges_stays_where_it_was_read(spark, tmp_path):
+    """The texts of whole records meet no shuffle."""
+    log_files(tmp_path)
+    lines = read_lines(spark, str(tmp_path))
+    joined = joined_by_head(lines, F.col("line").rlike("^2024"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    inner = plan[: plan.index("Union")] + plan[plan.index("Union") :].split(":- ")[1].split("+- MapInArrow")[0]
+    assert "Exchange" not in inner
+
+
+# Records in quotes.
+
+
+def value(rng: random.Random, escape: str) -> str:
+    parts = ["a", "b", "é", " ", ",", "\n", '"', "x\n\n", "word ", "\r\n"]
+    text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 6)))
+    if rng.random() < 0.7:
+        return '"' + text.replace('"', escape + '"') + '"'
+    return re.sub(r'[",\s]', "", text)
+
+
+SCHEMA = T.StructType().add("i", "integer").add("a", "string").add("b", "string")
+
+
+def quoted_files(folder, escape: str) -> None:
+    rng = random.Random(escape)
+    for name, rows in (("a", 0), ("b", 1), ("c", 250)):
+        folder.mkdir(exist_ok=True, parents=True)
+        text = "".join(f"{i},{value(rng, escape)},{value(rng, escape)}\n" for i in range(rows))
+        (folder / f"{name}.csv").write_bytes(("i,a,b\n" + text).encode())
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+@pytest.mark.parametrize("escape", ['"', "\\"])
+def test_rows_of_sparks_reader(spark, sized, tmp_path, monkeypatch, escape, limit):
+    monkeypatch.setattr(blocks, "BROADCAST_BLOCKS", limit)
+    quoted_files(tmp_path / "day=1", escape)
+    quoted_files(tmp_path / "day=2", escape)
+    options = {"escape": escape, "header": "true"}
+    reader = spark.read.schema(SCHEMA).options(**options, multiLine="true", lineSep="\n")
+    theirs = sorted(map(repr, reader.csv(str(tmp_path)).select("i", "a", "b", "day").collect()))
+    for size in ("60", "700", "128m"):
+        sized(size)
+        lines = read_quoted_lines(spark, str(tmp_path), options=options)
+        routed = split_by_unit(lines, "csv", SCHEMA, options=options)
+        ours = routed.records.select("i", "a", "b", "day").collect()
+        assert sorted(map(repr, ours)) == theirs and not routed.failed_units
+    assert len(theirs) == 2 * 251
+
+
+def test_one_large_file_goes_to_many_tasks(spark, sized, tmp_path):
+    quoted_files(tmp_path, '"')
+    sized("700")
+    multi = spark.read.schema(SCHEMA).option("multiLine", "true").csv(f"{tmp_path}/c.csv")
+    assert multi.rdd.getNumPartitions() == 1
+    lines = read_quoted_lines(spark, f"{tmp_path}/c.csv", options={"escape": '"'})
+    assert lines.rdd.getNumPartitions() > 8
+
+
+@pytest.mark.parametrize(
+    ("line", "state", "after"),
+    [
+        ("a,b", 0, 0), ("a,b", 1, 1), ('a,"b', 0, 1), ('"a"', 0, 0), ('a"b', 0, 0), ('"a""', 0, 1),
+        ('b",c', 1, 0), ('b","c', 1, 1), ('"a"x,"', 0, 1), ('"a" ,"b', 0, 1), ('"', 1, 0), ('""', 1, 1),
+        ('"a\r', 0, 1), ('b"\r', 1, 0),
+    ],
+)
+def test_states_at_the_ends_of_lines(line, state, after):
+    assert quote_step('"', '"', ",")(line, state) == (state == 0, after)
+
+
+def test_options_that_are_refused(spark, tmp_path):
+    for options in ({"lineSep": ";"}, {"quote": ""}, {"quote": "''"}):
+        with pytest.raises(ValueError):
+            read_quoted_lines(spark, str(tmp_path), options=options)
