@@ -35,12 +35,13 @@ def test_ids_of_the_library(name):
     for text in texts():
         assert list(ours.ids(text)) == theirs.encode_ordinary(text)
     # Nothing is left in the queue.
-    assert not any(ours.words) and not any(ours.buckets)
+    assert not any(ours.words) and not any(ours.buckets) and not any(ours.masks)
 
 
 def test_small_caches_change_nothing(monkeypatch):
     monkeypatch.setattr("maskwright.llm.bpe.KEPT_PIECES", 3)
     monkeypatch.setattr("maskwright.llm.bpe.LISTED_TEXT", 10)
+    monkeypatch.setattr("maskwright.llm.bpe.SHORT", 4)
     ours = Encoder(RANKS, public_tokenizers.PATTERN)
     for text in texts()[:300]:
         assert list(ours.ids(text)) == THEIRS.encode_ordinary(text)
