@@ -258,5 +258,19 @@ ORACLES = {
     "(DATE '2001-02-03' + (o_orderkey % 9999)::INTEGER)::VARCHAR AS day, "
     "regexp_replace(regexp_replace(strftime(make_timestamp(o_orderkey * 3600000001), "
     "'%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '[.]$', '') AS t FROM orders)",
+    "hash_files_parquet": "SELECT 'success' AS route, o_orderpriority, o_orderkey, "
+    f"{sha256('o_orderstatus')} AS o_orderstatus FROM orders WHERE o_orderpriority <> '3-MEDIUM' "
+    "UNION ALL SELECT DISTINCT 'failure', o_orderpriority, NULL, NULL FROM orders "
+    "WHERE o_orderpriority = '3-MEDIUM'",
+    "quoted_csv_files": f"SELECT doc_id, {sha256('text')} AS text FROM documents",
+    "schema_of_each_file": "SELECT c_custkey, c_nationkey, "
+    f"CASE WHEN c_nationkey < 12 THEN {sha256('c_name')} END AS c_name, "
+    f"CASE WHEN c_nationkey >= 12 THEN {sha256('c_mktsegment')} END AS c_mktsegment, "
+    "CASE WHEN c_nationkey >= 12 THEN c_acctbal END AS c_acctbal FROM customer",
+    "log_records": "SELECT event_id, level, 'app.' || event_type AS source, "
+    f"{sha256('m')} AS message, CASE WHEN event_id % 5 = 0 THEN chr(9) || 'at line ' || user_id || "
+    "chr(10) || chr(10) || 'Caused by: ' || props END AS continued FROM (SELECT *, "
+    "CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'Info' END AS level, "
+    "'user ' || user_id AS m FROM events)",
     **LINEITEM,
 }

@@ -20,7 +20,7 @@ from maskwright import (
     project_fields,
     register_sql_functions,
 )
-from maskwright.jobs import Sink, Source, hash_files
+from maskwright.jobs import Sink, Source, hash_files, read_published
 from maskwright.sources import (
     MEMBER,
     MEMBER_INPUT,
@@ -34,6 +34,7 @@ from maskwright.sources import (
     split_files,
     write_records,
 )
+from maskwright.sources.logs import read_logs
 from maskwright.sources.routing import LINE
 from maskwright.sources.scratch import new_folder
 from maskwright.streaming import start_routing, start_writing, stream_lines, stream_records
@@ -600,7 +601,7 @@ def count_by_unit_(spark, folder):
     write_records(orders, path, "json", partition_by=["o_orderpriority"])
     lines = read_lines(spark, path, folders=True)
     schema = T.StructType([T.StructField("o_orderkey", T.LongType())])
-    counted = count_by_unit(split_by_unit(lines, "json", schema).success)
+    counted = split_by_unit(lines, "json", schema).counts
     priority = F.url_decode(F.regexp_extract("unit", "o_orderpriority=([^/]*)$", 1))
     return counted.select(F.url_decode(priority).alias("unit"), "record_count")
 
@@ -634,3 +635,86 @@ def split_files_csv(spark, folder):
 @query
 def split_files_xml(spark, folder):
     return split_suppliers(spark, folder, "xml", {"rowTag": "supplier"})
+
+
+@query
+def hash_files_parquet(spark, folder):
+    """Orders in columnar files by priority; those of one priority are no such files."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = new_folder(spark, "orders")
+    bad = F.col("o_orderpriority") == "3-MEDIUM"
+    write_records(orders.where(~bad), path, "parquet", partition_by=["o_orderpriority"])
+    lines = orders.where(bad).select(F.to_json(F.struct("*")).alias("line"), "o_orderpriority")
+    write_records(lines, path, "text", mode="append", partition_by=["o_orderpriority"])
+    out = new_folder(spark, "hashed")
+    hash_files(
+        spark,
+        Source(path, "parquet", orders.drop("o_orderpriority").schema),
+        Sink(f"{out}/good", "parquet", f"{out}/bad", manifest_path=f"{out}/jobs"),
+        {"/o_orderstatus": "/o_orderstatus"},
+        key=KEY,
+    )
+    done = read_published(spark, f"{out}/jobs")
+    priority = F.url_decode(F.regexp_extract("unit", "o_orderpriority=([^/]*)/", 1))
+    failed = done.failure.select(F.url_decode(priority).alias("o_orderpriority")).distinct()
+    nothing = [F.lit(None).cast("bigint"), F.lit(None).cast("string")]
+    columns = ("o_orderpriority", "o_orderkey", "o_orderstatus")
+    return done.records.select(F.lit("success").alias("route"), *columns).unionAll(
+        failed.select(F.lit("failure"), "o_orderpriority", *nothing)
+    )
+
+
+@query
+def quoted_csv_files(spark, folder):
+    """Texts with line ends in quotes, in files with a header, that any number of tasks read."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    path, out = new_folder(spark, "texts"), new_folder(spark, "hashed")
+    options = {"header": "true", "escape": '"'}
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    write_records(documents, path, "csv", options={**options, **spaces})
+    source = Source(path, "csv", documents.schema, options)
+    hash_files(spark, source, Sink(out, "parquet"), {"/text": "/text"}, key=KEY)
+    return spark.read.schema(documents.schema).parquet(out)
+
+
+@query
+def schema_of_each_file(spark, folder):
+    """Customers in files of differing fields, each hashed by its own schema, in one job."""
+    customer = table(spark, folder, "customer")
+    path, out = new_folder(spark, "customers"), new_folder(spark, "hashed")
+    low = F.col("c_nationkey") < 12
+    for rows, names in (
+        (customer.where(low), ("c_custkey", "c_name")),
+        (customer.where(~low), ("c_mktsegment", "c_custkey", "c_acctbal")),
+    ):
+        files = rows.select("c_nationkey", *names)
+        write_records(files, path, "json", mode="append", partition_by=["c_nationkey"])
+    hash_files(
+        spark,
+        Source(path, "json", discover=True),
+        Sink(f"{out}/good", "parquet", manifest_path=f"{out}/jobs"),
+        {"/c_name": "/c_name", "/c_mktsegment": "."},
+        key=KEY,
+    )
+    columns = ("c_custkey", "c_nationkey", "c_name", "c_mktsegment", "c_acctbal")
+    nothing = spark.createDataFrame([], customer.schema)
+    for records in read_published(spark, f"{out}/jobs").tables:
+        nothing = nothing.unionByName(records, allowMissingColumns=True)
+    return nothing.select(*columns)
+
+
+@query
+def log_records(spark, folder):
+    """Events as log files in which some records go on over several lines."""
+    level = F.when(F.col("event_type") == "error", "ERROR").otherwise("Info")
+    head = F.concat_ws(
+        " ", "event_id", level, F.concat(F.lit("app."), "event_type", F.lit(": user")), "user_id"
+    )
+    trace = F.concat(F.lit("\n\tat line "), "user_id", F.lit("\n\nCaused by: "), "props")
+    line = F.when(F.col("event_id") % 5 == 0, F.concat(head, trace)).otherwise(head)
+    path = new_folder(spark, "logs")
+    write_records(table(spark, folder, "events").select(line.alias("line")), path, "text")
+    pattern = "%{INT:event_id} %{LEVEL:level} %{CLASS:source}: %{REST:message}"
+    records = read_logs(spark, path, pattern)
+    hashed = hash_fields(records, {"/message": "."}, key=KEY)
+    return hashed.withColumn("event_id", F.col("event_id").cast("bigint"))

@@ -8,9 +8,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.sources.blocks import PLACE, Step, first_of_file, joined_by_state
+from maskwright.sources.blocks import Step, first_of_file, joined_by_state
 from maskwright.sources.records import UNIT
-from maskwright.sources.routing import BLOCK, LINE, PARTITION, read_lines
+from maskwright.sources.routing import BLOCK, HEADER, LINE, PARTITION, read_lines
 
 #: Between records, and within a quoted value.
 OUTSIDE, INSIDE = 0, 1
@@ -24,7 +24,7 @@ def read_quoted_lines(
 
     Spark's own reader needs ``multiLine`` for such files and one task for each. Lines end at
     ``\\n`` or ``lineSep``. ``quote``, ``escape`` and ``sep`` are those of Spark's reader; with
-    ``header`` the first record of each file is left out.
+    ``header`` the first record of each file is marked in ``header_line`` and not parsed.
     """
     given = {k.lower(): v for k, v in (options or {}).items()}
     separator = given.get("linesep", "\n")
@@ -41,9 +41,8 @@ def read_quoted_lines(
     # What ends a line before \n is no part of the record, as in Spark's reader.
     records = records.withColumn(LINE, F.regexp_replace(LINE, r"\r\z", ""))
     if str(given.get("header", "false")).lower() == "true":
-        records = records.where(~first_of_file())
-    kept = [UNIT, BLOCK, LINE] + ([PARTITION] if PARTITION in records.columns else [])
-    return records.select(kept)
+        records = records.withColumn(HEADER, first_of_file())
+    return records.select([n for n in (UNIT, BLOCK, LINE, PARTITION, HEADER) if n in records.columns])
 
 
 def quote_step(quote: str, escape: str, separator: str) -> Step:
@@ -92,6 +91,3 @@ def quote_step(quote: str, escape: str, separator: str) -> Step:
             state, at = INSIDE, found.end() + 1
 
     return step
-
-
-__all__ = ["PLACE", "quote_step", "read_quoted_lines"]

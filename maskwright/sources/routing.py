@@ -7,13 +7,11 @@ unchanged lines it came in as.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
-from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+import pyarrow as pa
+from pyarrow import orc, parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +22,14 @@ from maskwright.sources.scratch import shared_folder
 
 LINE = "line"
 BLOCK = "block"
+#: Whether a line is a file's header and no record.
+HEADER = "header_line"
 _RECORD = "__record"
 _CORRUPT = "__corrupt"
 _SALT = "__salt"
 PARTITION = "__partition"
 _ID = "__id"
+_FILE = "__file"
 
 # Failed units are broadcast up to this number, as hashes of 8 bytes each, and joined by
 # a shuffle beyond it, where each unit is spread over this many groups.
@@ -40,12 +41,14 @@ SALTS = 256
 class Routed:
     """``success``: the records of good units, with their unit; ``records``: the
     same without it. ``failure``: the raw lines of failed units, with their unit.
-    ``failed_units``: how many of those there are."""
+    ``failed_units``: how many of those there are. ``counts``: the number of records of each
+    good unit, or of what ``made`` says each record gives; known when the units are."""
 
     success: DataFrame
     records: DataFrame
     failure: DataFrame
     failed_units: int
+    counts: DataFrame
 
 
 def read_lines(
@@ -107,9 +110,11 @@ def split_by_unit(
     schema: T.StructType,
     *,
     options: Mapping[str, str] | None = None,
+    made: Column | None = None,
 ) -> Routed:
     """Split lines of JSON or CSV records into those of good and of failed units.
 
+    ``made``, over the fields of a record, says how many it counts for in ``counts``.
     Fields that are columns of partition folders are taken from these; folder columns
     that are not in the schema come after its fields.
     """
@@ -119,15 +124,18 @@ def split_by_unit(
     own = {folded(name) for name in partition}
     in_lines = T.StructType([f for f in checked.fields if folded(f.name) not in own])
     record = _parse(fmt, in_lines, _permissive(parser_options(options)))
-    parsed = lines.where(_is_record(fmt, options)).withColumn(_RECORD, record)
-    return _route(parsed, F.lit(True), schema, lines, partition)
+    kept = lines.where(is_record(fmt, options))
+    if HEADER in lines.columns:
+        kept = kept.where(~F.col(HEADER))
+    parsed = kept.withColumn(_RECORD, record)
+    return _route(parsed, F.lit(True), schema, lines, partition, made=made)
 
 
 def _partition(lines: DataFrame) -> list[str]:
     return lines.schema[PARTITION].dataType.names if PARTITION in lines.columns else []
 
 
-def _is_record(fmt: str, options: Mapping[str, str] | None) -> Column:
+def is_record(fmt: str, options: Mapping[str, str] | None) -> Column:
     """Whether a line is more than what the format's own reader passes over."""
     if fmt != "csv":
         return F.rtrim(F.col(LINE), F.lit(" \t\r\n")) != ""
@@ -146,6 +154,7 @@ def split_files(
     *,
     options: Mapping[str, str] | None = None,
     folders: bool = False,
+    made: Column | None = None,
 ) -> Routed:
     """The same for files whose records are not their lines: CSV with a header,
     JSON over several lines, XML."""
@@ -161,11 +170,11 @@ def split_files(
     extra = [name for name in loaded if name_folding()(name) not in named]
     found = {k: v for k, v in reader_options(options).items() if k.lower() != "linesep"}
     lines = read_lines(spark, path, options=found, folders=folders)
-    return _route(parsed, all_read, schema, lines, [], extra)
+    return _route(parsed, all_read, schema, lines, [], extra, made)
 
 
-# Files that can't all be read are checked again in so many groups, at the same time.
-CHECK_GROUPS = 16
+#: Files without any record that are at most so large are opened to see whether that is so.
+NO_RECORDS = 16 << 20
 
 
 def split_readable(
@@ -175,65 +184,93 @@ def split_readable(
     schema: T.StructType,
     *,
     options: Mapping[str, str] | None = None,
-) -> tuple[DataFrame, list[str]]:
-    """The records of files that can be read to their end, and the paths of the others.
+    made: Column | None = None,
+) -> Routed:
+    """The records of files that can be read to their end, and the names of the others.
+
+    For Parquet, ORC and Avro, whose files are bad as a whole if they are; ``failure`` has no
+    lines. Each task reads the values of its files as far as they go. A file is good if that
+    gives as many records as the file says it has; a file without records is opened to
+    see that it has none. So one pass finds any number of bad files.
 
-    For Parquet, ORC and Avro, whose files are bad as a whole if they are. All values of
-    all files are read once to find out. A group of files that fails is parted into
-    ``CHECK_GROUPS``, down to single files: all is read again about once for each level, and
-    any number of files may fail.
+    Files are read past their faults here and later on, so ``counts`` must be compared with what
+    is written: a fault of the storage itself would leave records out.
     """
     if not isinstance(schema, T.StructType) or not schema.fields:
         raise ValueError("a schema is needed to tell good files from bad ones")
+    shared_folder(spark)
     reader = spark.read.format(fmt).schema(schema).options(**(options or {}))
-    records = reader.load(path)
-    if _error_of(records) is None:
-        return records, []
-    based = {"basePath": path} if isinstance(path, str) and not set("*?[{") & set(path) else {}
-    files = sorted(set(records.inputFiles()))
-    groups, failed = [files], []
-
-    def load(some: list[str]) -> DataFrame:
-        # Names come with escapes, which paths to read don't have.
-        return reader.options(**based).load([unquote(file) for file in some])
-
-    def error_of(group: list[str]) -> Exception | None:
-        return _error_of(load(group))
-
-    with ThreadPoolExecutor(CHECK_GROUPS) as pool:
-        while groups:
-            parts = [
-                group[i::CHECK_GROUPS] for group in groups for i in range(min(len(group), CHECK_GROUPS))
+    records = reader.option("ignoreCorruptFiles", "true").load(path)
+    own = F.col("_metadata.file_path")
+    # A file's own number of records needs no values, only what stands at its end.
+    told = records.groupBy(own.alias(_FILE)).agg(F.count(F.lit(1)).alias("told"))
+    values = F.xxhash64(*(F.col(quoted(name)).cast("string") for name in schema.names))
+    found = records.select(
+        own.alias(_FILE), values.alias("values"), (F.lit(1) if made is None else made).alias("made")
+    )
+    found = found.groupBy(_FILE).agg(
+        F.count(F.lit(1)).alias("found"),
+        F.sum("made").cast("bigint").alias("record_count"),
+        # Makes the tasks read all values.
+        F.max("values").alias("values"),
+    )
+    listed = _files(spark, path, options)
+    units = (
+        listed.select(own.alias(_FILE), F.col("_metadata.file_size").alias("size"))
+        .join(told, _FILE, "left")
+        .join(found, _FILE, "left")
+        .withColumn("failed", ~F.coalesce(F.col("told") == F.col("found"), F.lit(False)))
+        .checkpoint()
+    )
+    silent = units.where("told IS NULL AND found IS NULL")
+    if silent.take(1):
+        units = _opened(listed, fmt, silent, units).checkpoint()
+    made = F.coalesce("record_count", F.lit(0)).alias("record_count")
+    units = units.select(F.col(_FILE).alias(UNIT), "failed", made)
+    placed = records.select(own.alias(UNIT), F.struct("*").alias(_RECORD))
+    names = units.select(UNIT, F.lit(None).cast("string").alias(LINE))
+    fields = [F.col(_RECORD)[name].alias(name) for name in records.columns]
+    return _routed(units, placed, names, fields)
+
+
+def _files(
+    spark: SparkSession, path: str | list[str], options: Mapping[str, str] | None
+) -> DataFrame:
+    """The files themselves. Their content is read only where it is selected."""
+    return spark.read.format("binaryFile").options(**reader_options(options)).load(path)
+
+
+def _opened(listed: DataFrame, fmt: str, silent: DataFrame, units: DataFrame) -> DataFrame:
+    """Units whose silent files have failed only if they hold something else than no records."""
+
+    def empty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [
+                name
+                for name, content in zip(*(c.to_pylist() for c in batch.columns))
+                if _has_no_records(fmt, content)
             ]
-            groups = []
-            for part, error in zip(parts, pool.map(error_of, parts)):
-                if error is None:
-                    continue
-                if len(part) > 1:
-                    groups.append(part)
-                elif any(name in str(error) for name in _UNREADABLE):
-                    failed += part
-                else:
-                    raise error
-    bad = set(failed)
-    good = [file for file in files if file not in bad]
-    if not good:
-        return records.where(F.lit(False)), sorted(failed)
-    return load(good), sorted(failed)
-
-
-# Conditions of errors that are a file's; others, such as lost executors, end the job.
-_UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER")
-
-
-def _error_of(records: DataFrame) -> Exception | None:
-    """The error, if any, of reading all values."""
-    values = F.xxhash64(*(F.col(quoted(name)).cast("string") for name in records.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], [_ID])
+
+    small = listed.where(F.col("length") <= NO_RECORDS)
+    small = small.select(F.col("_metadata.file_path").alias(_FILE), "content")
+    contents = small.join(silent.select(_FILE), _FILE, "left_semi")
+    none = contents.mapInArrow(empty, f"{_ID} string")
+    return units.join(none, F.col(_FILE) == F.col(_ID), "left").withColumn(
+        "failed", F.col("failed") & F.col(_ID).isNull()
+    )
+
+
+def _has_no_records(fmt: str, content: bytes) -> bool:
+    source = pa.BufferReader(content)
     try:
-        records.agg(F.max(values)).first()
-    except (PySparkException, Py4JJavaError) as error:
-        return error
-    return None
+        if fmt == "parquet":
+            return parquet.read_metadata(source).num_rows == 0
+        if fmt == "orc":
+            return orc.ORCFile(source).nrows == 0
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+    return content.startswith(b"Obj\x01")
 
 
 def _route(
@@ -243,15 +280,31 @@ def _route(
     lines: DataFrame,
     partition: list[str],
     extra: list[str] | None = None,
+    made: Column | None = None,
 ) -> Routed:
-    """A first job finds the failed units. Each task reduces its lines to one flag
-    for each unit before anything is shuffled, so one huge file is no hot spot.
-    What it finds is written to the checkpoint folder and decides the plan: no join
-    without failed units, a broadcast of hashes, or a salted, shuffled join of very many.
+    """A first job finds the failed units. Each task reduces its lines to one flag and one count
+    for each unit before anything is shuffled, so one huge file is no hot spot. What it
+    finds is written to the checkpoint folder.
     """
     shared_folder(lines.sparkSession)
+    fields = _fields(schema, partition)
+    fields += [F.col(_RECORD)[name].alias(name) for name in extra or []]
     failed = F.col(_RECORD)[_CORRUPT].isNotNull() & all_read
-    units = parsed.groupBy(UNIT).agg(F.max(failed).alias("failed")).checkpoint()
+    flagged = parsed.select(F.col(UNIT).alias(_FILE), failed.alias(_CORRUPT), *fields)
+    counted = F.sum(F.lit(1) if made is None else made).cast("bigint")
+    units = flagged.groupBy(F.col(_FILE).alias(UNIT)).agg(
+        F.max(_CORRUPT).alias("failed"), counted.alias("record_count")
+    )
+    return _routed(units.checkpoint(), parsed, lines, fields)
+
+
+def _routed(
+    units: DataFrame, parsed: DataFrame, lines: DataFrame, fields: list[Column]
+) -> Routed:
+    """Records and lines parted by what is known of all units (unit, failed, record_count). Their
+    number decides the plan: no join without failed units, a broadcast of hashes, or a
+    salted, shuffled join of very many.
+    """
     named = F.xxhash64(UNIT)
     every, names, count = units.agg(
         F.count(UNIT), F.count_distinct(named), F.coalesce(F.count_if("failed"), F.lit(0))
@@ -268,16 +321,18 @@ def _route(
         # Every group gets the whole list, so which group a row is in does not matter.
         on = [UNIT, _SALT]
         bad = bad.select(UNIT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(_SALT))
-        good = _salted(parsed).join(bad, on, "left_anti")
-        failure = _salted(lines).join(bad, on, "left_semi")
-    fields = _fields(schema, partition)
-    fields += [F.col(_RECORD)[name].alias(name) for name in extra or []]
+        good = salted(parsed).join(bad, on, "left_anti")
+        failure = salted(lines).join(bad, on, "left_semi")
     return Routed(
-        good.select(UNIT, *fields), good.select(*fields), failure.select(UNIT, LINE), count
+        good.select(UNIT, *fields),
+        good.select(*fields),
+        failure.select(UNIT, LINE),
+        count,
+        units.where("NOT failed").select(UNIT, "record_count"),
     )
 
 
-def _salted(df: DataFrame) -> DataFrame:
+def salted(df: DataFrame) -> DataFrame:
     """A group for each row, the same whenever it is computed: by its place in the
     unit, so that copies of one line spread too, and by the line or record."""
     spread = [F.col(name) for name in (BLOCK, LINE) if name in df.columns]

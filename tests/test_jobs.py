@@ -3,9 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import types as T
 
-from maskwright.jobs import Done, Sink, Source, dictionary_of_files, hash_files
+from maskwright.jobs import Done, Sink, Source, dictionary_of_files, hash_files, read_published
 from maskwright.sources import MEMBER, MEMBER_INPUT, members, write_records
-from maskwright.sources.routing import split_readable
+from maskwright.sources.routing import read_lines, split_by_unit, split_readable
 from tests.fixtures import DIGESTS, KEY, VALUE
 from tests.test_routing import CSV, JSON, SCHEMA, put
 
@@ -198,6 +198,132 @@ def test_any_number_of_bad_columnar_files(spark, tmp_path):
     for i in range(60):
         (folder / f"bad {i}.parquet").write_bytes(b"PAR1 not really PAR1")
     schema = T.StructType([T.StructField("id", T.LongType())])
-    records, failed = split_readable(spark, str(folder), "parquet", schema)
-    assert len(failed) == 60 and all("bad" in name for name in failed)
-    assert sorted(r.id for r in records.collect()) == list(range(80))
+    routed = split_readable(spark, str(folder), "parquet", schema)
+    failed = [r.unit for r in routed.failure.collect()]
+    assert routed.failed_units == len(failed) == 60 and all("bad" in name for name in failed)
+    assert sorted(r.id for r in routed.records.collect()) == list(range(80))
+    assert sum(r.record_count for r in routed.counts.collect()) == 80
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_good_files_without_records(spark, tmp_path, fmt):
+    """No records are no fault, but what is no such file is one, however small."""
+    folder = tmp_path / "in"
+    empty = spark.createDataFrame([], "id int, v string").coalesce(1)
+    empty.write.format(fmt).save(str(folder))
+    spark.createDataFrame([(1, "x")], "id int, v string").write.mode("append").format(fmt).save(str(folder))
+    (folder / f"junk.{fmt}").write_bytes(b"PAR1 ORC")
+    schema = T.StructType().add("id", "integer").add("v", "string")
+    routed = split_readable(spark, str(folder), fmt, schema)
+    assert [r.unit.rsplit("/", 1)[1] for r in routed.failure.collect()] == [f"junk.{fmt}"]
+    assert [tuple(r) for r in routed.success.select("id", "v").collect()] == [(1, "x")]
+
+
+def test_columns_of_other_types_are_a_files_own_fault(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.createDataFrame([(1, "x")], "id int, v string").write.parquet(folder)
+    spark.createDataFrame([("no number", "y")], "id string, v string").write.mode("append").parquet(folder)
+    schema = T.StructType().add("id", "integer").add("v", "string")
+    routed = split_readable(spark, folder, "parquet", schema)
+    assert routed.failed_units == 1 and routed.records.collect() == [(1, "x")]
+
+
+def test_checking_columnar_files_holds_no_names_in_the_driver(spark, tmp_path):
+    """What is told apart stays a table: the plan of the records has a join, no list of files."""
+    folder = tmp_path / "in"
+    spark.range(10).write.parquet(str(folder))
+    (folder / "bad file.parquet").write_bytes(b"nothing")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    routed = split_readable(spark, str(folder), "parquet", schema)
+    plan = routed.records._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "bad file" not in plan
+
+
+def test_records_that_vanish_after_the_check_are_an_error(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    spark.range(100).repartition(2).write.parquet(str(folder))
+    schema = T.StructType([T.StructField("id", T.LongType())])
+
+    def spoiled(*args, **settings):
+        routed = split_readable(*args, **settings)
+        file = sorted(folder.glob("part-*"))[0]
+        (folder / f".{file.name}.crc").unlink()
+        file.write_bytes(b"gone" * 100)
+        return routed
+
+    monkeypatch.setattr("maskwright.jobs.split_readable", spoiled)
+    sink = Sink(f"{tmp_path}/out", "parquet", f"{tmp_path}/bad", manifest_path=f"{tmp_path}/jobs")
+    with pytest.raises(RuntimeError, match="not whole"):
+        hash_files(spark, Source(str(folder), "parquet", schema), sink, {"/id": "/id"}, key=KEY)
+    assert not (tmp_path / "jobs").exists()
+
+
+# One publication.
+
+
+def published(spark, sink):
+    found = read_published(spark, sink.manifest_path)
+    rows = sorted(r.id for r in found.records.collect())
+    lines = found.failure.count() if found.failure is not None else 0
+    return rows, lines, sorted(r.record_count for r in found.counts.collect())
+
+
+def test_a_job_publishes_all_or_nothing(spark, tmp_path, monkeypatch):
+    source = Source(put(tmp_path / "in", JSON), "json", SCHEMA)
+    sink = Sink(
+        f"{tmp_path}/out", "orc", f"{tmp_path}/bad", f"{tmp_path}/counts", manifest_path=f"{tmp_path}/jobs"
+    )
+    calls = []
+
+    def ends(df, path, fmt, **settings):
+        # The job ends between two of its writes: after none, one, two or three.
+        if len(calls) == stop:
+            raise KeyboardInterrupt
+        calls.append(path)
+        return write_records(df, path, fmt, **settings)
+
+    monkeypatch.setattr("maskwright.jobs.write_records", ends)
+    for stop in range(4):
+        calls.clear()
+        with pytest.raises(KeyboardInterrupt):
+            hash_files(spark, source, sink, {"/name": "/name"}, key=KEY)
+        assert len(calls) == stop and not (tmp_path / "jobs").exists()
+        # Nor do readers of the paths themselves see anything.
+        if (tmp_path / "out").exists():
+            assert spark.read.schema(SCHEMA).orc(sink.path).collect() == []
+    stop = 99
+    assert hash_files(spark, source, sink, {"/name": "/name"}, key=KEY) == Done(2, 2)
+    assert published(spark, sink) == ([1, 2], 6, [2])
+    # A second job adds to the first one.
+    again = Source(put(tmp_path / "more", {"a.json": '{"id":7,"name":"x"}\n'}), "json", SCHEMA)
+    assert hash_files(spark, again, sink, {"/name": "/name"}, key=KEY) == Done(1, 0)
+    assert published(spark, sink) == ([1, 2, 7], 6, [1, 2])
+    other = Sink(f"{tmp_path}/out", "json", manifest_path=sink.manifest_path)
+    hash_files(spark, again, other, {"/name": "/name"}, key=KEY)
+    with pytest.raises(ValueError, match="several kinds"):
+        read_published(spark, sink.manifest_path).records
+
+
+def test_counts_come_with_routing(spark, tmp_path):
+    """The plan of the counts reads what routing has found, not the input."""
+    routed = split_by_unit(read_lines(spark, put(tmp_path / "in", JSON)), "json", SCHEMA)
+    plan = routed.counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan.lower() and "from_json" not in plan
+    assert [r.record_count for r in routed.counts.collect()] == [2]
+
+
+def test_quoted_records_with_a_header_in_jobs(spark, tmp_path):
+    files = {
+        "a.csv": 'id,name,size\n1,"a\nb",1\n2,"c,""d""",2\n',
+        "cut.csv": 'id,name,size\n3,"x\ny",z\n',
+        "open.csv": 'id,name,size\n5,"never\nclosed',
+    }
+    source = Source(put(tmp_path / "in", files), "csv", SCHEMA, {"header": "true", "escape": '"'})
+    sink = Sink(f"{tmp_path}/out", "parquet", f"{tmp_path}/bad", f"{tmp_path}/counts")
+    done = hash_files(spark, source, sink, {"/size": "/size"}, key=KEY)
+    written = sorted((r.id, r["name"]) for r in spark.read.parquet(sink.path).collect())
+    assert done.failed_units >= 1 and written[:2] == [(1, "a\nb"), (2, 'c,"d"')]
+    bad = spark.read.parquet(sink.failure_path).collect()
+    lines = sorted(r["line"] for r in bad if r["unit"].endswith("cut.csv"))
+    # Unchanged, with the header.
+    assert lines == ['3,"x\ny",z', "id,name,size"]

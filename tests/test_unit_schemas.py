@@ -1,0 +1,153 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from maskwright import keyed_hash
+from maskwright.jobs import Done, Sink, Source, dictionary_of_files, hash_files, read_published
+from maskwright.sources import unit_schemas
+from maskwright.sources.quoted import read_quoted_lines
+from maskwright.sources.routing import read_lines
+from maskwright.sources.unit_schemas import groups_by_schema, kinds_of_units, schema_of_kind
+from tests.fixtures import KEY
+from tests.test_routing import put
+
+JSON = {
+    "a.json": '{"id":1,"name":"x"}\n{"id":2}\n',
+    "b.json": '{"name":"y","id":3}\n\n',
+    "c.json": '{"id":1.50,"tags":["p","q"],"home":{"street":"s","OBJECT":null}}\n',
+    "d.json": '{"id":4,"name":5}\n{"id":6,"name":"z"}\n',
+    "e.json": '{"id":7,"name":"cut"\n{"id":8,"name":"w"}\n',
+    "none.json": "[1]\n2\n",
+    "blank.json": "\n \n",
+}
+
+
+def by_unit(rows) -> dict:
+    return {row["unit"].rsplit("/", 1)[1]: row["kind"] for row in rows}
+
+
+def test_one_schema_for_each_file_by_one_aggregation(spark, tmp_path):
+    lines = read_lines(spark, put(tmp_path / "in", JSON))
+    kinds = kinds_of_units(lines, "json")
+    assert kinds._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    found = {name: schema_of_kind(kind, "json") for name, kind in by_unit(kinds.collect()).items()}
+    two = T.StructType.fromDDL("id bigint, name string")
+    # Numbers beside texts are texts.
+    assert found["a.json"] == found["b.json"] == found["d.json"] == found["e.json"] == two
+    home = "home struct<OBJECT: string, street: string>, id double, tags array<string>"
+    assert found["c.json"] == T.StructType.fromDDL(home)
+    assert found["none.json"] is None and "blank.json" not in found
+
+
+@pytest.mark.parametrize(
+    ("kind", "ddl"),
+    [
+        ("OBJECT<a: DECIMAL(20,0), `b:, VOID`: BIGINT>", "a decimal(38,0), `b:, VOID` bigint"),
+        ("OBJECT<VOID: VOID, VARIANT: VARIANT>", "VOID string, VARIANT string"),
+        ("OBJECT<a: ARRAY<OBJECT<b: DECIMAL(3,2)>>, c: BOOLEAN>", "a array<struct<b: double>>, c boolean"),
+        ("OBJECT<a: BIGINT, A: STRING>", None), ("OBJECT<>", None), ("VOID", None), ("ARRAY<BIGINT>", None),
+    ],
+)
+def test_types(spark, kind, ddl):
+    assert schema_of_kind(kind, "json") == (ddl and T.StructType.fromDDL(ddl))
+
+
+def test_headers(spark):
+    def names(header, **options):
+        found = schema_of_kind(header, "csv", options=options)
+        return found and found.names
+
+    assert names('id,"a ""b""\nc",x', escape='"') == ["id", 'a "b"\nc', "x"]
+    assert names('id;"a \\" b"', sep=";") == ["id", 'a " b']
+    assert names("id,ID") is None and names("a,,b") is None
+
+
+@pytest.mark.parametrize("limit", [0, 2_000_000])
+def test_files_of_differing_columns_in_one_job(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(unit_schemas, "BROADCAST_UNITS", limit)
+    source = Source(put(tmp_path / "in", JSON), "json", discover=True)
+    sink = Sink(
+        f"{tmp_path}/out", "json", f"{tmp_path}/bad", f"{tmp_path}/counts", manifest_path=f"{tmp_path}/jobs"
+    )
+    done = hash_files(spark, source, sink, {"/name": "/name", "/tags[*]": "."}, key=KEY)
+    assert done == Done(6, 2)
+    found = read_published(spark, sink.manifest_path)
+    tables = {",".join(table.columns): table for table in found.tables}
+    assert set(tables) == {"id,name", "home,id,tags"}
+    texts = ("x", "y", "5", "z", "p", "q")
+    tokens = spark.range(1).select(*(keyed_hash(F.lit(v), KEY).alias(v) for v in texts)).first()
+    assert sorted((r["id"], r["name"]) for r in tables["id,name"].collect()) == [
+        (1, tokens["x"]), (2, None), (3, tokens["y"]), (4, tokens["5"]), (6, tokens["z"]),
+    ]
+    row = tables["home,id,tags"].first()
+    assert (row["id"], row["home"]["street"], row["tags"]) == (1.5, "s", [tokens["p"], tokens["q"]])
+    with pytest.raises(ValueError, match="several kinds"):
+        found.records
+    bad = sorted((r["unit"].rsplit("/", 1)[1], r["line"]) for r in found.failure.collect())
+    assert bad == sorted(
+        (name, line) for name in ("e.json", "none.json") for line in JSON[name].splitlines()
+    )
+    counts = {r["unit"].rsplit("/", 1)[1]: r["record_count"] for r in found.counts.collect()}
+    assert counts == {"a.json": 2, "b.json": 1, "c.json": 1, "d.json": 2}
+
+
+def test_csv_by_header(spark, tmp_path):
+    files = {
+        "a.csv": 'id,name\n1,"x\ny"\n2,z\n', "b.csv": "name,id\nw,3\n", "c.csv": "id,name\n007,v\n",
+        "short.csv": "id,name\n4,u\n5\n", "only.csv": "id,name\n", "empty.csv": "", "twice.csv": "id,ID\n1,2\n",
+    }
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, part in zip(files, ("k=1", "k=2", "k=1", "k=2", "k=1", "k=2", "k=1")):
+        put(folder / part, {name: files[name]}) if not (folder / part).exists() else (
+            folder / part / name
+        ).write_text(files[name])
+    source = Source(str(folder), "csv", options={"header": "true"}, discover=True)
+    sink = Sink(f"{tmp_path}/out", "parquet", f"{tmp_path}/bad", f"{tmp_path}/counts", manifest_path=f"{tmp_path}/jobs")
+    assert hash_files(spark, source, sink, {"/token": "/id"}, key=KEY).record_count == 4
+    found = read_published(spark, sink.manifest_path)
+    tables = {",".join(table.columns): table for table in found.tables}
+    assert set(tables) == {"id,name,k,token", "name,id,k,token"}
+    rows = sorted((r["id"], r["name"], r["k"]) for r in tables["id,name,k,token"].collect())
+    assert rows == [("007", "v", 1), ("1", "x\ny", 1), ("2", "z", 1)]
+    bad = {r["unit"].rsplit("/", 1)[1] for r in found.failure.collect()}
+    assert bad == {"short.csv", "twice.csv"}
+
+
+def test_dictionary_of_files_with_their_own_schemas(spark, tmp_path):
+    source = Source(put(tmp_path / "in", {n: JSON[n] for n in ("a.json", "c.json")}), "json", discover=True)
+    sink = Sink(f"{tmp_path}/out", "parquet", counts_path=f"{tmp_path}/counts")
+    done = dictionary_of_files(spark, source, sink, {"n": "/name", "t": "/tags[*]"}, key=KEY)
+    pairs = spark.read.parquet(f"{tmp_path}/out").select("plaintext").collect()
+    assert done == Done(3, 0) and sorted(r["plaintext"] for r in pairs) == ["p", "q", "x"]
+    assert sorted(r["record_count"] for r in spark.read.parquet(sink.counts_path).collect()) == [1, 2]
+
+
+def test_limits_and_refusals(spark, tmp_path):
+    lines = read_lines(spark, put(tmp_path / "in", JSON))
+    with pytest.raises(ValueError, match="more than 1 schemas"):
+        groups_by_schema(lines, "json", most=1)
+    assert groups_by_schema(lines.limit(0), "json") == []
+    one = groups_by_schema(lines.where(F.col("unit").endswith("a.json")), "json")
+    assert [group.schema.names for group in one] == [["id", "name"]]
+    for source in (
+        Source(f"{tmp_path}/in", "csv", discover=True),
+        Source(f"{tmp_path}/in", "xml", discover=True),
+        Source(f"{tmp_path}/in", "json", one[0].schema, discover=True),
+    ):
+        with pytest.raises(ValueError):
+            hash_files(spark, source, Sink(f"{tmp_path}/out", "json"), {"/a": "/a"}, key=KEY)
+
+
+def test_headers_come_from_the_first_block_only(spark, tmp_path):
+    folder = put(tmp_path / "in", {"a.csv": "id,name\n" + "1,x\n" * 50 + "id,name\n"})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = read_quoted_lines(spark, folder, options={"header": "true"})
+        assert lines.where("header_line").count() == 1 and lines.count() == 52
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
