@@ -104,7 +104,9 @@ reported AS (
       AND b.start < c.stop AND c.start < b.stop)
     AND EXISTS (SELECT 1 FROM parts p WHERE p.row = c.row AND p.role <> c.role
       AND ((p.stop <= c.start AND p.stop > c.start - {scope})
-        OR (p.start >= c.stop AND p.start < c.stop + {scope})))),
+        OR (p.start >= c.stop AND p.start < c.stop + {scope})
+        OR ((p.role = 'endpoint' OR c.role = 'endpoint')
+          AND p.start < c.stop AND c.start < p.stop)))),
 found AS (
   SELECT row, {counts},
     string_agg({one}) FILTER (strong) AS base, string_agg({one}) AS spans
@@ -167,3 +169,101 @@ SELECT part, filter_order, step::INTEGER AS step, {", ".join(
 )},
   coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
 FROM counted"""
+
+
+def _crc32(text: str) -> str:
+    entries = []
+    for entry in range(256):
+        for _ in range(8):
+            entry = (entry >> 1) ^ (0xEDB88320 if entry & 1 else 0)
+        entries.append(f"{entry}::BIGINT")
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    step = f"xor(a >> 8, ([{', '.join(entries)}])[(xor(a, b) & 255) + 1])"
+    start = f"list_prepend(4294967295::BIGINT, {octets})"
+    return f"xor(list_reduce({start}, lambda a, b: {step}), 4294967295::BIGINT)"
+
+
+def conversation_repair() -> str:
+    """The cheapest edits by going through the rows once with the best edits so far for each
+    role before: (cost, edits, repaired text), compared in this order."""
+    far = "{'c': 1000000000, 'a': '', 'o': ''}"
+
+    def added(state: str, cost: str, edit: str, out: str | None) -> str:
+        text = f"{state}.o" + (f" || chr(10) || {out}" if out else "")
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'o': {text}}}"
+
+    def new(state: str, role: str) -> str:
+        return added(state, "3", "I", f"'{role}:'")
+
+    def best(*states: str) -> str:
+        return f"list_min([{', '.join(states)}])"
+
+    def only(condition: str, state: str) -> str:
+        return f"CASE WHEN {condition} THEN {state} ELSE {far} END"
+
+    start, system, user, assistant = (f"s[{i}]" for i in range(1, 5))
+    user_now = best(user, *(new(s, "user") for s in (start, system, assistant)))
+    opened = (
+        f"list_transform([{user_now}], lambda u: "
+        f"[{start}, {system}, u, {best(assistant, new('u', 'assistant'))}])[1]"
+    )
+
+    def moved(state: str, initial: str, role: str) -> list[str]:
+        kept = added(state, "x.more", "K", "x.line")
+        turned = added(state, "x.more + 3", "R", f"'{role}:' || x.text")
+        return [only(f"NOT x.gone AND x.initial = '{initial}'", kept), only("NOT x.gone", turned)]
+
+    t = [f"t[{i}]" for i in range(1, 5)]
+    gone = [added(state, "4", "D", None) for state in t]
+    to_user = [move for i in (0, 1, 3) for move in moved(t[i], "u", "user")]
+    to_system = only("NOT x.gone AND x.initial = 's'", added(t[0], "x.more", "K", "x.line"))
+    row = (
+        f"[{gone[0]}, {best(gone[1], to_system)}, {best(gone[2], *to_user)}, "
+        f"{best(gone[3], *moved(t[2], 'a', 'assistant'))}]"
+    )
+    after = f"list_transform([{opened}], lambda t: {row})[1]"
+    begun = f"[{{'c': 0, 'a': '', 'o': ''}}, {far}, {far}, {far}]"
+    final = best("t[1]", "t[4]")
+    place = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal")
+    return rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32(place)} % 20 AS damage FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN damage = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM given WHERE damage <> 0),
+seen AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut
+  FROM damaged),
+faults AS (
+  SELECT *, again AND NOT blank AS duplicate, cut AND NOT blank AND NOT again AS truncated,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, role, sha256(text), again) AS place
+  FROM seen),
+met AS (
+  SELECT *, coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial
+    NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM faults),
+listed AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count_if(blank) AS blank, count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+    count_if(illegal) AS illegal,
+    list({{'initial': initial, 'gone': blank OR duplicate, 'more': CASE WHEN truncated THEN 3 ELSE 0 END,
+      'line': role || ':' || text, 'text': text}} ORDER BY place) AS rows
+  FROM met GROUP BY conv_id),
+searched AS (
+  SELECT *, list_reduce(rows, lambda s, x: {after}, {begun}) AS s FROM listed),
+closed AS (
+  SELECT *, {opened} AS t FROM searched),
+ended AS (SELECT *, {final} AS best FROM closed)
+SELECT c.conv_id, {", ".join(f"coalesce({name}, 0)::BIGINT AS {name}" for name in counts)},
+  coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(substr(best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN ended e ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""

@@ -1,7 +1,8 @@
 """Personal data in texts: fixed forms, and what stands where they stand.
 
 The fixed forms are seeds. Every seed, and every other token that looks like an identifier,
-has lexical patterns: the words around it. Patterns and values make a graph, in which a
+has lexical patterns: the words before it, behind it, and around it, or that a text starts or
+ends there. Patterns and values make a graph, in which a
 pattern is as good as the share of its values that are known, and a value that is not a
 seed is as likely as its good patterns make it. A few rounds of two joins score the graph;
 values of high confidence in good patterns are then reported too, as ``context``.
@@ -9,8 +10,10 @@ values of high confidence in good patterns are then reported too, as ``context``
 All texts are read once; what goes on from there are identifiers and the words next to
 them, written below the checkpoint folder.
 
-Defined cases: a null text counts as empty and has no spans. Repeated rows are treated alike
-and keep their number. A null id is an id like others.
+Defined cases: a null text counts as empty and has no spans. Texts are read whole, however long.
+Repeated rows are treated alike and keep their number; they are one witness for a pattern, as a
+value is. A null id is an id like others. An empty table gives an empty one. Only id and
+text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.spans import SPAN, Kind, covered, with_spans
+from maskwright.llm.spans import SPAN, Kind, bound, chunks_of, cut, uncovered, with_spans
 from maskwright.llm.tables import column, stored
 
 #: Like the plain forms of these patterns, but without trying again within a run.
@@ -32,8 +35,14 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<![A-Za-z0-9@_%+/.-])(?=[A-Za-z@_%+/.-]*[0-9])[A-Za-z0-9@_%+/-][A-Za-z0-9@_%+/.-]{5,}+"
 BASE = ("email", "ip", "card", "phone")
 FOUND = "context"
-#: Code points before and after a value that its patterns may take words from.
+MENTIONS = (
+    "array<struct<start: int, end: int, value: string, seed: boolean, patterns: array<string>>>"
+)
+#: Code points before and after a value that are looked at first for its neighbours. Where two
+#: whole words do not lie in them, all of the text on that side is.
 NEAR = 60
+#: In patterns, the start and the end of a text.
+START, END = "^", "$"
 #: Known values that a pattern needs, and the share of known values.
 SUPPORT, SHARE = 3.0, 0.8
 #: How far a good pattern is trusted, the confidence that reports a value, and rounds.
@@ -81,9 +90,15 @@ def personal_data(
     found = with_spans(known, F.col("text"), KINDS, "all")
     base = F.filter("all", lambda s: s["kind"] != "token")
     tokens = F.filter("all", lambda s: s["kind"] == "token")
-    free = F.when(F.size(base) > 0, F.array_except(tokens, covered(F.col("all"), BASE)))
+    free = F.when(F.size(base) > 0, uncovered(F.col("all"), BASE))
     found = found.withColumns({"base": base, "free": free.otherwise(tokens)})
-    mentions = F.transform(F.concat("base", "free"), lambda s: _mention(F.col("text"), s))
+    each = F.concat("base", "free")
+    described = bound(
+        chunks_of(F.col("text")),
+        lambda chunks: F.transform(each, lambda s: _mention(chunks, F.length("text"), s)),
+    )
+    nothing = F.array().cast(MENTIONS)
+    mentions = F.when(F.size(each) > 0, described).otherwise(nothing)
     scanned = stored(
         found.select(
             "id",
@@ -116,23 +131,33 @@ def personal_data(
     )
 
 
-def _mention(text: Column, span: Column) -> Column:
-    """A value, its place, whether it is a seed, and its patterns."""
+def _mention(chunks: Column, length: Column, span: Column) -> Column:
+    """A value, its place, whether it is a seed, and its patterns: one or two words on the left or
+    on the right, and one on each side."""
 
     def words(value: Column) -> Column:
         # Digits near a value are mostly values themselves.
         return F.regexp_replace(F.lower(value), "[0-9]+", "0")
 
-    begin = F.greatest(F.lit(0), span["start"] - NEAR)
-    before = words(F.substring(text, begin + 1, span["start"] - begin))
-    after = words(F.substring(text, span["end"] + 1, F.lit(NEAR)))
+    def either(value: Column, other: str) -> Column:
+        return F.when(value != "", value).otherwise(other)
+
+    begin, end = F.greatest(F.lit(0), span["start"] - NEAR), F.least(length, span["end"] + NEAR)
+    before, after = cut(chunks, begin, span["start"]), cut(chunks, span["end"], end)
+    whole = (begin == 0) | before.rlike(r"\s\S+\s+\S+\s*$")
+    before = words(F.when(whole, before).otherwise(cut(chunks, F.lit(0), span["start"])))
+    whole = (end == length) | after.rlike(r"^\s*\S+\s+\S+\s")
+    after = words(F.when(whole, after).otherwise(cut(chunks, span["end"], length)))
     one = F.regexp_extract(before, r"(\S+)\s*$", 1)
-    two = F.regexp_extract(before, r"(\S+)\s+\S+\s*$", 1)
+    two = either(F.regexp_extract(before, r"(\S+)\s+\S+\s*$", 1), START)
     behind = F.regexp_extract(after, r"^\s*(\S+)", 1)
+    next_ = either(F.regexp_extract(after, r"^\s*\S+\s+(\S+)", 1), END)
     patterns = F.array(
         F.when(one != "", F.concat(F.lit("1 "), one)),
-        F.when(two != "", F.concat(F.lit("2 "), two, F.lit(" "), one)),
-        F.when((one != "") & (behind != ""), F.concat(F.lit("3 "), one, F.lit(" "), behind)),
+        F.when(one != "", F.concat(F.lit("2 "), two, F.lit(" "), one)),
+        F.when(behind != "", F.concat(F.lit("3 "), either(one, START), F.lit(" "), behind)),
+        F.when(behind != "", F.concat(F.lit("4 "), behind)),
+        F.when(behind != "", F.concat(F.lit("5 "), behind, F.lit(" "), next_)),
     )
     return F.struct(
         span["start"].alias("start"),

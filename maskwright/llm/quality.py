@@ -125,7 +125,8 @@ def labelled(
     text_col: str = "text",
     labels_id: str = "doc_id",
 ) -> DataFrame:
-    """(text, label) of all labelled documents that are not held out."""
+    """(text, label, draw) of all labelled documents that are not held out; the last is a hash of id
+    and text to choose rows by."""
     named = labels.select(
         column(labels, labels_id).alias("id"), column(labels, label_col).cast("int").alias("label")
     ).filter("id IS NOT NULL AND label IS NOT NULL")
@@ -135,7 +136,7 @@ def labelled(
     texts = docs.filter(~held_out).select(
         column(docs, id_col).alias("id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text")
     )
-    return texts.join(named, "id").select("text", "label")
+    return texts.join(named, "id").select("text", "label", F.xxhash64("id", "text").alias("draw"))
 
 
 @dataclass(frozen=True)
@@ -157,6 +158,7 @@ class Model:
 
 def train_quality(examples: DataFrame) -> Model:
     """A model from (text, label) rows."""
+    examples = examples.select("text", "label")
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, rows = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)

@@ -257,3 +257,6 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+ORACLES["op13_conversation_repair"] = oracles.conversation_repair()

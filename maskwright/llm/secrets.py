@@ -2,13 +2,16 @@
 
 A strong span is a secret by its form. A weak one, such as a user name, an opaque string or
 the address of a service, is only reported if a part of another role (access identifier,
-secret, endpoint) lies within its scope, the code points around it. The parts of a text are
+secret, endpoint) lies within its scope, the code points around it, or if it is an endpoint that
+overlaps a part of another role, such as ``postgres://user:secret@host``. The parts of a text are
 joined as intervals by one sweep to the right and one to the left that remember, for each
-role, the last part passed. All is a matter of one row: no shuffle, and the work grows with
-the number of parts, not with their pairs.
+role, the last part passed, and one over starts and ends for overlaps. All is a matter of one
+row: no shuffle, and the work grows with the number of parts (and their sorting), not with
+their pairs.
 
-Defined cases: a null text counts as empty and has no spans. Repeated rows are treated
-alike and keep their number. Other columns stay as they are.
+Defined cases: a null text counts as empty and has no spans. Texts are read whole, however long;
+spans of one start are in the order of their kinds. Repeated rows are treated alike and keep
+their number, an empty table gives an empty one. Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.spans import SPAN, Kind, covered, redacted, with_spans
+from maskwright.llm.spans import Kind, answered, only, overlaps, redacted, with_spans
 from maskwright.llm.tables import column, free_name, quoted
 
 ASSIGN = (
@@ -64,41 +67,39 @@ KINDS = (
 
 
 def scan_secrets(
-    docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE, nested: bool = False
+    docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE
 ) -> DataFrame:
     """``docs`` with the spans of its secrets as the last column, ``secrets`` or the next
-    free name: array<struct<start, place, kind, end, value>>, by start and then kind.
-
-    With ``nested`` an endpoint and the parts of other roles that overlap it count too.
-    """
+    free name: array<struct<start, place, kind, end, value>>, by start and then kind."""
     into = free_name(docs, "secrets")
     parts = with_spans(docs, column(docs, text_col), KINDS, into)
     spans = F.col(into)
-    base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
-    weak = F.filter(spans, lambda s: ~s["kind"].isin(*BASE))
-    linked = free_name(parts, f"{into}_linked")
-    parts = parts.withColumn(
-        linked, F.when(F.size(weak) > 0, _linked(spans, scope, nested)).otherwise(F.array().cast(SPAN))
-    )
-    whole = F.array_sort(F.concat(base, F.col(linked)))
+    weak = F.exists(spans, lambda s: ~s["kind"].isin(*BASE))
     kept = [F.col(quoted(name)) for name in docs.columns]
-    return parts.select(*kept, whole.alias(into))
+    return parts.select(*kept, F.when(weak, _linked(spans, scope)).otherwise(spans).alias(into))
+
+
+def _linked(spans: Column, scope: int) -> Column:
+    """The strong spans, and the weak ones that overlap no strong one and have a part of another
+    role in scope, or, for an endpoint and another weak part, overlap it."""
+    # A user name and an opaque string may be one value, so these two do not link by overlap.
+    inner = [kind for kind in ROLES if kind != "endpoint"]
+    over = overlaps(spans, {"strong": BASE, "endpoint": ["endpoint"], "inner": inner})
+    sides = F.zip_with(_sweep(spans, scope, True), _sweep(spans, scope, False), lambda a, b: a | b)
+    flags = F.zip_with(over, sides, lambda o, near: F.struct(o.alias("over"), near.alias("near")))
 
+    def reported(span: Column, flag: Column) -> Column:
+        over = flag["over"]
+        is_endpoint = span["kind"] == "endpoint"
+        nested = F.when(is_endpoint, over["inner"]).otherwise(over["endpoint"])
+        return span["kind"].isin(*BASE) | (~over["strong"] & (flag["near"] | nested))
 
-def _linked(spans: Column, scope: int, nested: bool) -> Column:
-    """The weak spans that overlap no strong one and have a part of another role in scope."""
-    near = F.array_union(_sweep(spans, scope, True), _sweep(spans, scope, False))
-    if nested:
-        # A user name and an opaque string may be one value, so these two do not link.
-        others = [kind for kind in ROLES if kind != "endpoint"]
-        for kinds in (["endpoint"], others):
-            weak = F.filter(covered(spans, kinds), lambda s: ~s["kind"].isin(*BASE))
-            near = F.array_union(near, weak)
-    return F.array_except(near, covered(spans, BASE))
+    return only(spans, flags, reported)
 
 
 def _sweep(spans: Column, scope: int, rightward: bool) -> Column:
-    """Weak spans with a part of another role in scope on the side that the sweep comes from.
+    """For each span whether a part of another role is in scope on the side that the sweep comes
+    from.
 
     Every span is met twice: where the sweep enters it, it asks for what was passed; where
     the sweep leaves it, it is passed itself.
@@ -106,32 +107,40 @@ def _sweep(spans: Column, scope: int, rightward: bool) -> Column:
     sign = 1 if rightward else -1
     near, far = ("start", "end") if rightward else ("end", "start")
 
-    def event(leaves: int, place: str) -> Callable[[Column], Column]:
-        return lambda s: F.struct(
-            (sign * s[place]).alias("at"), F.lit(1 - leaves).alias("asks"), s.alias("span")
+    def event(turn: int, place: str) -> Callable[[Column, Column], Column]:
+        return lambda s, i: F.struct(
+            (sign * s[place]).alias("at"),
+            F.lit(turn).alias("turn"),
+            i.alias("number"),
+            _role(s["kind"]).alias("role"),
         )
 
-    events = F.array_sort(
-        F.concat(F.transform(spans, event(0, near)), F.transform(spans, event(1, far)))
-    )
-
     def step(state: Column, e: Column) -> Column:
-        role = _role(e["span"]["kind"])
-        asks = (e["asks"] == 1) & ~e["span"]["kind"].isin(*BASE)
-        met = F.lit(False)
+        return F.struct(
+            *(
+                F.when((e["turn"] == 0) & (e["role"] == name), e["at"])
+                .otherwise(state[name])
+                .alias(name)
+                for name in NAMES
+            )
+        )
+
+    def met(state: Column, e: Column) -> Column:
+        found = F.lit(False)
         for name in NAMES:
-            met = met | ((role != name) & (state[name] > e["at"] - scope))
-        passed = [
-            F.when((e["asks"] == 0) & (role == name), e["at"]).otherwise(state[name]).alias(name)
-            for name in NAMES
-        ]
-        out = F.when(asks & met, F.array_append(state["out"], e["span"]))
-        return F.struct(*passed, out.otherwise(state["out"]).alias("out"))
-
-    nothing = F.struct(
-        *(F.lit(-(1 << 31)).alias(name) for name in NAMES), F.array().cast(SPAN).alias("out")
+            found = found | ((e["role"] != name) & (state[name] > e["at"] - scope))
+        return found
+
+    return answered(
+        F.transform(spans, event(1, near)),
+        F.transform(spans, event(0, far)),
+        1,
+        F.struct(*(F.lit(-(1 << 31)).alias(name) for name in NAMES)),
+        step,
+        met,
+        f"struct<{', '.join(f'{name}: int' for name in NAMES)}>",
+        "boolean",
     )
-    return F.aggregate(events, nothing, step, lambda state: state["out"])
 
 
 def _role(kind: Column) -> Column:
@@ -142,9 +151,8 @@ def _role(kind: Column) -> Column:
 
 
 def redact_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """``docs`` with each secret in its texts replaced by its kind in angle brackets, also
-    where an endpoint contains it."""
-    scanned = scan_secrets(docs, text_col=text_col, scope=scope, nested=True)
+    """``docs`` with each secret in its texts replaced by its kind in angle brackets."""
+    scanned = scan_secrets(docs, text_col=text_col, scope=scope)
     found = column(scanned, scanned.columns[-1])
     text = redacted(column(scanned, text_col), found)
     return scanned.withColumn(text_col, text).select(*(F.col(quoted(c)) for c in docs.columns))

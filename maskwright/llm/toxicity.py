@@ -4,24 +4,33 @@ A noisy channel hides words: letters become look-alikes, are spaced out or repea
 looks hidden becomes a lattice of the letters that may have been meant; Viterbi decoding
 under a character language model gives the likeliest readings. Where symbols are spaced out, a
 word may end at each gap, and does at a wider one. The words of the text and of these readings
-are then scored by the log-odds of words and word beginnings.
+are then scored by the log-odds of words, their beginnings, their endings and the letters
+within them; words are never cut.
+
+Decoding is exact. Paths are linked back, so a token of n symbols takes n steps. A path is
+only left out if as many better ones as are asked for would stay better whatever follows: two
+paths that go on alike differ by at most what the next two letters depend on, since the
+model looks back at two.
 
 Marks alone, such as ``@$$``, hide a word if two of them are different look-alikes and one is no
 digit; numbers and prices hide none.
 
 The language model counts letter trigrams over all documents. The log-odds are fitted on at
-most ``SAMPLE`` labelled rows of each class, chosen by a hash of the id.
-
-Defined cases: a null text counts as empty and still has a score. Labels that are null are
-none; of several labels of one id the largest counts. Without labels of both classes every
-score is 0.
+most ``SAMPLE`` labelled rows of each class, chosen by a hash of id and text, so that copies of a
+text are chosen each by itself.
+
+Defined cases: a null text counts as empty and still has a score. Texts and words are read
+whole, however long. Labels that are null are none; of several labels of one id the largest
+counts. Without labels of both classes every score is 0. Repeated rows count, and are scored,
+each by itself; an empty table gives an empty one. Scores are column expressions, so other
+columns cannot clash.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import product
@@ -48,15 +57,17 @@ SAMPLE = 20_000
 BUCKETS = 1 << 20
 #: Standard errors by which log-odds are lowered, so that rare words prove little.
 CAUTION = 2.0
-READINGS, BEAM = 3, 24
+READINGS = 3
 #: Of a spaced run, where the places of the breaks multiply the readings.
 SPACED_READINGS = 24
-KEPT_WORDS = 150_000
+#: Tokens kept with their evidence by a task, and the longest that is kept.
+KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 SYMBOLS = 64
-#: Letters of a word's beginning that are scored.
-LONGEST = 9
+#: Letters of beginnings and endings that are scored, and of pieces within a word.
+EDGES, PIECES = range(4, 10), (5, 7)
 
-_EDGE = re.compile(r"(?:([^\w\s])\1{2,}|[.,;:!?\"')\]])+$")
+_EDGE = frozenset(".,;:!?\"')]")
+_WORD = re.compile(r"\w")
 _OPEN = "([{<\"'"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -64,7 +75,7 @@ _REPEAT = re.compile(r"([^\W\d_])\1\1")
 _HIDING = re.compile("[" + re.escape("".join(LOOKALIKES) + SEPARATORS) + "]")
 _MARKS = re.compile("[" + re.escape("".join(LOOKALIKES) + SEPARATORS) + "]{3,}")
 _NUMBER = re.compile(r"[$€£+|-]?\d[\d.-]*[$€£+|]?")
-_PAIR = re.compile(r"\s\S\s+\S\s")
+_PAIR = re.compile(r"(?<!\S)\S\s+\S(?!\S)")
 _TOKEN = re.compile(r"(\s*)(\S+)")
 #: A run of one character, spaced out or not, or a gap between two.
 _RUN = re.compile(r"(\S)(?: ?\1)*| ")
@@ -129,13 +140,21 @@ class Decoder:
         p3 = (three + 20 * p2[None]) / (three + 20 * p2[None]).sum(axis=2, keepdims=True)
         return np.log(p3).tolist()
 
+    @cached_property
+    def slack(self) -> float:
+        """How far one path can fall behind another one by what both go on with."""
+        logs = np.array(self.logs)
+        return 2 * float((logs.max(axis=(0, 1)) - logs.min(axis=(0, 1))).max())
+
     def readings(self, hidden: str) -> list[str]:
         """The likeliest restored forms of a token, best first."""
         logs = self.logs
         most = SPACED_READINGS if " " in hidden else READINGS
-        paths = {(0, 0): [(0.0, "")]}
+        # For each state, the last two symbols, its best paths: (score, hash of the text, the path
+        # as its last letters and the path before them). No two have the same text.
+        paths: dict[tuple[int, int], list[tuple]] = {(0, 0): [(0.0, 0, None)]}
         for meant in _lattice(hidden):
-            grown: dict[tuple[int, int], list[tuple[float, str]]] = {}
+            grown: dict[tuple[int, int], dict[int, tuple]] = {}
             for (a, b), best in paths.items():
                 for letters, cost in meant:
                     x, y, gain = a, b, cost
@@ -143,18 +162,39 @@ class Decoder:
                         c = int(_TABLE[ord(letter)])
                         gain += logs[x][y][c]
                         x, y = y, c
-                    here = grown.setdefault((x, y), [])
-                    here.extend((score + gain, text + letters) for score, text in best)
-            ranked = sorted(
-                ((max(paths)[0], state, paths) for state, paths in grown.items()), reverse=True
-            )[:BEAM]
-            paths = {
-                state: sorted(set(found), reverse=True)[:most] for _, state, found in ranked
-            }
+                    here = grown.setdefault((x, y), {})
+                    for score, digest, path in best:
+                        for letter in letters:
+                            digest = (digest * 1_000_003 + ord(letter)) & _DIGEST
+                        known = here.get(digest)
+                        if known is None or known[0] < score + gain:
+                            here[digest] = (score + gain, digest, (letters, path) if letters else path)
+            paths = {state: _best(found.values(), most) for state, found in grown.items()}
+            if len(paths) > 4:
+                scores = sorted((p[0] for found in paths.values() for p in found), reverse=True)
+                least = scores[min(most, len(scores)) - 1] - self.slack
+                paths = {state: found for state, found in paths.items() if found[0][0] >= least}
         ends = [
-            (score + logs[a][b][0], text) for (a, b), found in paths.items() for score, text in found
+            (score + logs[a][b][0], digest, path)
+            for (a, b), found in paths.items()
+            for score, digest, path in found
         ]
-        return [text for _, text in sorted(ends, reverse=True)[:most] if text]
+        return [text for text in map(_text_of, _best(ends, most)) if text]
+
+
+_DIGEST = (1 << 64) - 1
+
+
+def _best(paths: Iterable[tuple], most: int) -> list[tuple]:
+    return sorted(paths, key=lambda path: (-path[0], path[1]))[:most]
+
+
+def _text_of(path: tuple) -> str:
+    parts, link = [], path[2]
+    while link:
+        parts.append(link[0])
+        link = link[1]
+    return "".join(reversed(parts))
 
 
 def _lattice(hidden: str) -> Iterator[list[tuple[str, float]]]:
@@ -198,43 +238,69 @@ def _masked(token: str) -> bool:
     return len(marks) > 1 and not all(map(str.isdigit, marks))
 
 
+def _core(token: str) -> str:
+    """A token without marks at its end that are no part of it: punctuation, and any other mark
+    three times or more."""
+    end = len(token)
+    while end:
+        mark = token[end - 1]
+        if mark in _EDGE:
+            end -= 1
+            continue
+        run = end
+        while run and token[run - 1] == mark:
+            run -= 1
+        if end - run < 3 or _WORD.match(mark):
+            break
+        end = run
+    return token[:end]
+
+
+def _parts(token: str) -> tuple[list[str], list[str]]:
+    """The words of a token in lower case, and what in it looks like a hidden word."""
+    if token.isalpha():
+        return [token], [token] if _REPEAT.search(token) else []
+    whole, token = token, _core(token.lstrip(_OPEN))
+    found = _LETTERS.findall(token)
+    if found:
+        return found, [token] if _HIDING.search(token) or _REPEAT.search(token) else []
+    if _NUMBER.fullmatch(token):
+        return [], []
+    # Repeated marks at the end may be its letters.
+    return [], [form for form in (token, whole) if _masked(form)][:1]
+
+
+def _single_runs(tokens: list[str]) -> list[str]:
+    """What runs of three or more tokens of one character spell, if it may be a word."""
+    found, run = [], []
+    for token in (*tokens, ""):
+        if len(token) == 1:
+            run.append(token)
+            continue
+        if len(run) > 2:
+            joined = "".join(run)
+            if _LETTER.search(joined) or _masked(joined):
+                found.append(joined)
+        run.clear()
+    return found
+
+
 def hidden_words(text: str) -> tuple[set[str], set[str]]:
     """The words of a text in lower case, and what in it looks like hidden words."""
-    lower = text.lower()
-    tokens = lower.split()
-    words, hidden = set(), set()
-    repeated = bool(_REPEAT.search(lower))
+    tokens = text.lower().split()
+    words: set[str] = set()
+    hidden = set(_single_runs(tokens))
     for token in set(tokens):
-        if token.isalpha():
-            words.add(token)
-            if repeated and _REPEAT.search(token):
-                hidden.add(token)
-            continue
-        whole = token
-        token = _EDGE.sub("", token.lstrip(_OPEN))
-        found = _LETTERS.findall(token)
-        words.update(found)
-        if found and (_HIDING.search(token) or repeated and _REPEAT.search(token)):
-            hidden.add(token)
-        elif not found and not _NUMBER.fullmatch(token):
-            # Repeated marks at the end may be its letters.
-            hidden.update([form for form in (token, whole) if _masked(form)][:1])
-    single = [i for i, token in enumerate(tokens) if len(token) == 1]
-    start = 0
-    for end in range(1, len(single) + 1):
-        if end == len(single) or single[end] != single[end - 1] + 1:
-            if end - start >= 3:
-                run = "".join(tokens[single[start] : single[end - 1] + 1])
-                if _LETTER.search(run) or _masked(run):
-                    hidden.add(run)
-            start = end
+        own, looking = _parts(token)
+        words.update(own)
+        hidden.update(looking)
     return words, hidden
 
 
 def spaced_runs(text: str) -> list[str]:
     """The runs of spaced-out symbols, between wider gaps: each with a space at every gap."""
     found: list[str] = []
-    if not _PAIR.search(f" {text} "):
+    if not _PAIR.search(text):
         return found
     run: list[tuple[str, tuple[bool, int], bool]] = []
 
@@ -258,7 +324,7 @@ def spaced_runs(text: str) -> list[str]:
     ended = True
     for gap, token in _TOKEN.findall(text.lower()):
         inner = token.lstrip(_OPEN) or token
-        core = _EDGE.sub("", inner) or inner
+        core = _core(inner) or inner
         if len(core) == 1:
             run.append((core, ("\n" in gap, len(gap)), ended or inner != token))
         else:
@@ -277,20 +343,23 @@ class _Kept(dict):
 
     def __missing__(self, key):
         value = self.make(key)
+        if len(key) > KEPT_LENGTH:
+            return value
         if len(self) >= KEPT_WORDS:
             self.clear()
         self[key] = value
         return value
 
 
-def _key(word: str) -> str:
-    """What of a word is scored: short words whole, with their end; long ones' beginnings."""
-    return word + "$" if len(word) <= LONGEST else word[:LONGEST]
-
-
-def _buckets(key: str) -> list[int]:
-    """The buckets of a key's beginnings and of itself."""
-    forms = {key, *(key[:n] for n in range(4, len(key.rstrip("$")) + 1))}
+def _buckets(word: str) -> list[int]:
+    """The buckets of what is scored of a word: the whole, beginnings, endings, pieces."""
+    forms = {f"^{word}$"}
+    for n in EDGES:
+        if n <= len(word):
+            forms.add(f"^{word[:n]}")
+            forms.add(f"{word[-n:]}$")
+    for n in PIECES:
+        forms.update(word[i : i + n] for i in range(len(word) - n + 1))
     return [xxhash.xxh3_64_intdigest(form) % BUCKETS for form in sorted(forms)]
 
 
@@ -306,7 +375,7 @@ class Model:
 
     def __post_init__(self):
         self.decoder = Decoder(self.counts)
-        self.kept = _Kept(self.word)
+        self.kept = _Kept(self.speaking)
         self.restored = _Kept(self.readings)
 
     def __getstate__(self):
@@ -319,19 +388,48 @@ class Model:
     def readings(self, token: str) -> list[str]:
         return [word for text in self.decoder.readings(token) for word in _LETTERS.findall(text)]
 
-    def word(self, key: str) -> float:
-        return max(self.evidence.get(bucket, 0.0) for bucket in _buckets(key))
-
-    def keys(self, text: str | None) -> set[str]:
-        """The keys of a text's words and of the readings of what is hidden in it."""
-        words, hidden = hidden_words(text or "")
-        for token in hidden.union(spaced_runs(text or "")):
-            words.update(self.restored[token])
-        return set(map(_key, words))
+    def word(self, word: str) -> float:
+        """The strongest evidence of a word."""
+        evidence = self.evidence
+        return max(evidence.get(bucket, 0.0) for bucket in _buckets(word))
+
+    def words_of(self, token: str) -> list[str]:
+        """The words of a token and of the readings of what is hidden in it."""
+        words, hidden = _parts(token)
+        return [*words, *(word for form in hidden for word in self.restored[form])]
+
+    def speaking(self, token: str) -> tuple[tuple[str, float], ...]:
+        """Those of its words that speak for toxicity, and how strongly."""
+        found = ((word, self.word(word)) for word in self.words_of(token))
+        return tuple((word, strength) for word, strength in found if strength > 0)
+
+    def words_of_runs(self, text: str, tokens: list[str]) -> list[str]:
+        """The words that runs of spaced-out symbols spell."""
+        if not _PAIR.search(text):
+            return []
+        runs = {*_single_runs(tokens), *spaced_runs(text)}
+        return [word for run in runs for word in self.restored[run]]
+
+    def words(self, text: str | None) -> set[str]:
+        """The words of a text and of the readings of what is hidden in it."""
+        lower = (text or "").lower()
+        tokens = lower.split()
+        found = set(self.words_of_runs(lower, tokens))
+        for token in set(tokens):
+            found.update(self.words_of(token))
+        return found
 
     def strength(self, text: str | None) -> float:
         """The evidence of the strongest word, and a little of the next two."""
-        best = sorted(map(self.kept.__getitem__, self.keys(text)))[-3:]
+        lower = (text or "").lower()
+        tokens = lower.split()
+        found: dict[str, float] = {}
+        for speaking in map(self.kept.__getitem__, set(tokens)):
+            if speaking:
+                found.update(speaking)
+        for word in self.words_of_runs(lower, tokens):
+            found[word] = self.word(word)
+        best = sorted(found.values())[-3:]
         return sum(best[-1:]) + 0.25 * sum(best[:-1])
 
     def score(self, text: str | None) -> float:
@@ -356,7 +454,7 @@ def restore(text: str, decoder: Decoder) -> str:
                 continue
             close()
             inner = token.lstrip(_OPEN)
-            core = _EDGE.sub("", inner)
+            core = _core(inner)
             best = decoder.readings(core.lower())[:1] if core.lower() in hidden else []
             before = token[: len(token) - len(inner)]
             out.append(before + best[0] + inner[len(core) :] if best else token)
@@ -367,12 +465,12 @@ def restore(text: str, decoder: Decoder) -> str:
 
 
 def train_toxicity(examples: DataFrame, counts: np.ndarray) -> Model:
-    """A model from labelled rows (text, label) and the trigram counts of a corpus."""
+    """A model from labelled rows (text, label, draw) and the trigram counts of a corpus."""
     blank = Model(counts, {})
     totals = {r["label"] > 0: r["count"] for r in examples.groupBy("label").count().collect()}
     if len(totals) < 2:
         return blank
-    spread = F.pmod(F.xxhash64("text", F.lit(21)), F.lit(1 << 30)) / float(1 << 30)
+    spread = F.pmod(F.xxhash64("draw", F.lit(21)), F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(min(1.0, 0.9 * SAMPLE / totals[False]))
     share = F.when(F.col("label") > 0, min(1.0, 0.9 * SAMPLE / totals[True])).otherwise(share)
     sample = examples.filter(spread < share).repartition(4)
@@ -381,7 +479,7 @@ def train_toxicity(examples: DataFrame, counts: np.ndarray) -> Model:
         found, rows = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
         for part in parts:
             for text, label in zip(part["text"], part["label"]):
-                at = [bucket for key in blank.keys(text) for bucket in _buckets(key)]
+                at = [bucket for word in blank.words(text) for bucket in _buckets(word)]
                 found[int(label > 0), np.unique(at).astype(int)] += 1
                 rows[int(label > 0)] += 1
         at = np.flatnonzero(found.any(axis=0))

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
+from itertools import product
 
 import numpy as np
 import pytest
@@ -201,8 +203,8 @@ def decoder_of(corpus: str) -> toxicity.Decoder:
 def test_words_in_spaced_runs_and_marks_speak(text, word):
     decoder = decoder_of(" you are a stupid idiot ass this is the house of a person " * 20)
     blank = toxicity.Model(decoder.counts, {})
-    toxic = dict.fromkeys(toxicity._buckets(toxicity._key(word)), 5.0)
-    assert toxicity._key(word) in blank.keys(text)
+    toxic = dict.fromkeys(toxicity._buckets(word), 5.0)
+    assert word in blank.words(text)
     assert toxicity.Model(decoder.counts, toxic).strength(text) >= 5.0
 
 
@@ -214,3 +216,90 @@ def test_spaced_runs():
     assert not toxicity.hidden_words("100 3.5 $100 +10 10.55 ... --- !!! $$$")[1]
     decoder = decoder_of(" you are a stupid idiot " * 20)
     assert toxicity.restore("Hey y o u i d i o t now", decoder) == "Hey you idiot now"
+
+
+def every_reading(hidden: str, decoder: toxicity.Decoder) -> tuple[list[float], dict]:
+    """The best readings by listing all paths."""
+    best: dict[str, float] = {}
+    for choice in product(*toxicity._lattice(hidden)):
+        text, score, x, y = "".join(letters for letters, _ in choice), 0.0, 0, 0
+        score = sum(cost for _, cost in choice)
+        for c in (*(int(toxicity._TABLE[ord(letter)]) for letter in text), 0):
+            score += decoder.logs[x][y][c]
+            x, y = y, c
+        best[text] = max(score, best.get(text, -1e9))
+    most = toxicity.SPACED_READINGS if " " in hidden else toxicity.READINGS
+    ranked = sorted(best.items(), key=lambda item: -item[1])
+    return [round(score, 6) for _, score in ranked[:most]], dict(ranked)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_decoding_loses_no_best_path(seed):
+    rng = random.Random(seed)
+    decoder = decoder_of(" idiot stupid moron the and of this house stone person trident less all " * 9)
+    signs = "abst10!|$@.(+i"
+    for _ in range(40):
+        hidden = "".join(rng.choice(signs) for _ in range(rng.randint(2, 8)))
+        if seed == 3:
+            hidden = " ".join(hidden[:5])
+        scores, known = every_reading(hidden, decoder)
+        ours = decoder.readings(hidden)
+        kept = [score for score in scores]
+        # An empty reading is left out of the result.
+        if "" in known and round(known[""], 6) in kept:
+            kept.remove(round(known[""], 6))
+        assert [round(known[text], 6) for text in ours] == kept, hidden
+
+
+def test_long_tokens_take_steps_of_their_length():
+    """A token of letters, digits and marks as long as a large file in base64."""
+    decoder = decoder_of(" idiot stupid moron the and of this house " * 9)
+    rng = random.Random(4)
+
+    def seconds(size: int) -> float:
+        token = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(size))
+        start = time.perf_counter()
+        assert len(decoder.readings(token)[0]) > size / 2
+        return time.perf_counter() - start
+
+    decoder.slack, seconds(500)
+    short, long = seconds(30_000), seconds(120_000)
+    assert long < 8 * short + 1, (short, long)
+
+
+def test_marks_at_the_end_take_no_time():
+    assert toxicity._core("idiot" + "!" * 50_000) == "idiot"
+    assert toxicity._core("." * 40_000 + "x") == "." * 40_000 + "x"
+    assert toxicity._core("ab---?)") == "ab" and toxicity._core("ab--") == "ab--" and toxicity._core("!!") == ""
+
+
+def test_second_halves_and_whole_words_speak(spark):
+    """Words longer than nine letters are told apart by their ends, and by what is within."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(600):
+        text = prose(rng, SOUNDS["de"], 30)
+        # Half of the toxic rows have the word at the end of another one, the others within one.
+        if i % 3 == 0:
+            text += rng.choice([" Donaudampfschiffidiot.", " Donaudampfidiotenhaus."])
+        elif i % 3 == 1:
+            text += rng.choice([" Donaudampfschifffahrt.", " Donaudampferhaus."])
+        rows.append((text, int(i % 3 == 0), i))
+    examples = spark.createDataFrame(rows, "text string, label int, draw bigint")
+    model = toxicity.train_toxicity(examples, toxicity.letter_trigrams(examples.select("text")))
+    assert min(model.strength(f"the {w}") for w in ("Vollidiot", "Superidioten", "idiot")) > 0
+    assert model.score("Nur ein Vollidiot schreibt das") > 0.5
+    assert model.score("Eine Donaudampfschifffahrt auf der Donaudampf") < 0.3
+
+
+def test_copies_of_one_text_keep_the_bound(spark, monkeypatch):
+    """A text that is a third of all labelled rows enters the sample row by row."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 300)
+    seen = []
+    original = toxicity.fit_sigmoid
+    monkeypatch.setattr(toxicity, "fit_sigmoid", lambda s, p: seen.append(p) or original(s, p))
+    docs = spark.range(6000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'one text', concat('t ', id)) AS text")
+    labels = spark.range(6000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic")
+    examples = quality.labelled(docs, labels, F.lit(False), label_col="toxic")
+    toxicity.train_toxicity(examples, np.zeros((64, 64, 64)))
+    assert 400 < len(seen[0]) <= 600

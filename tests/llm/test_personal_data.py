@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -46,18 +47,13 @@ def base_spans(text: str) -> list[tuple[int, int, str, int, str]]:
 
 def patterns(text: str, start: int, end: int) -> list[str]:
     plain = lambda s: re.sub("[0-9]+", "0", s.lower())
-    space, word = r"[ \t\n\x0b\f\r]", r"[^ \t\n\x0b\f\r]"
-    before, after = plain(text[max(0, start - P.NEAR) : start]), plain(text[end : end + P.NEAR])
-    one = re.search(rf"({word}+){space}*\Z", before)
-    two = re.search(rf"({word}+){space}+{word}+{space}*\Z", before)
-    behind = re.match(rf"{space}*({word}+)", after)
+    left, right = (re.findall(r"[^ \t\n\x0b\f\r]+", plain(t)) for t in (text[:start], text[end:]))
     found = []
-    if one:
-        found.append(f"1 {one[1]}")
-        if two:
-            found.append(f"2 {two[1]} {one[1]}")
-        if behind:
-            found.append(f"3 {one[1]} {behind[1]}")
+    if left:
+        found += [f"1 {left[-1]}", f"2 {left[-2] if left[1:] else '^'} {left[-1]}"]
+    if right:
+        found.append(f"3 {left[-1] if left else '^'} {right[0]}")
+        found += [f"4 {right[0]}", f"5 {right[0]} {right[1] if right[1:] else '$'}"]
     return found
 
 
@@ -132,6 +128,10 @@ def contexts() -> list[str]:
             words.insert(3, f"reach me at ID-{i:04d}-X thanks")
         if i % 4 == 0:
             words.insert(9, f"part no. ZX{i:05d} here")
+        if i % 10 == 0:
+            # Far away, longer than the window, at the start of the text, and behind it only.
+            words.insert(0, rng.choice([f"{seed} is my member number", f"XK-{i:05d} is my member number"]))
+            words.append(f"as {'m' * 90}\n{' ' * 80}{seed} {' ' * 70}{'w' * 100} end")
         made.append(" ".join(words))
     return made
 
@@ -172,3 +172,36 @@ def test_only_good_patterns_add(spark, tmp_path, rows):
 def test_empty_table(spark, tmp_path):
     write(spark, tmp_path, [])
     assert op8_personal_data(spark, str(tmp_path)).collect() == []
+
+
+def test_a_value_at_the_start_of_a_text_is_found(spark, tmp_path):
+    """Words behind a value are enough; nothing stands before it."""
+    texts = [f"a{i}@mail.example.com is my member number" for i in range(9)]
+    rows = list(enumerate([*texts, "XK-20441 is my member number", "XK-20442 is not it"]))
+    write(spark, tmp_path, rows)
+    found = sorted(map(tuple, op8_personal_data(spark, str(tmp_path)).collect()), key=repr)
+    assert found == brute(rows)
+    spans = {row[0]: row[-1] for row in found}
+    assert spans[9] == "context:0:8" and spans[10] == ""
+
+
+@pytest.mark.parametrize("chunk", [7, 4096])
+def test_chunks_change_nothing(spark, tmp_path, monkeypatch, chunk):
+    monkeypatch.setattr("maskwright.llm.spans.CHUNK", chunk)
+    rows = list(enumerate(contexts()))
+    write(spark, tmp_path, rows)
+    assert sorted(map(tuple, op8_personal_data(spark, str(tmp_path)).collect()), key=repr) == brute(rows)
+
+
+def test_work_grows_with_the_values_of_a_text(spark, tmp_path):
+    def seconds(count: int) -> float:
+        folder = tmp_path / str(count)
+        text = " ".join(f"mail a{i}@b.example or ID-{i:06d}-X now" for i in range(count))
+        write(spark, folder, [(1, text)])
+        start = time.perf_counter()
+        op8_personal_data(spark, str(folder)).collect()
+        return time.perf_counter() - start
+
+    seconds(50)
+    few, many = seconds(4_000), seconds(16_000)
+    assert many < 8 * few + 2, (few, many)
