@@ -10,7 +10,9 @@ a bitmap of its positions, that of a long one a heap.
 The ids of short pre-tokens are kept as bytes, so that those of a text are joined, not copied
 one by one; the ids of a whole batch are decoded by one gather over the tokens.
 
-A null text counts as empty and gives no ids. Texts are never cut. Rows keep their number.
+Defined cases: a null text counts as empty and gives no ids. Texts are never cut. Repeated rows
+each have their ids, an empty table gives an empty one. Two pairs of one rank merge from left
+to right. Ids and bytes are column expressions, so other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ connects what is linked, never the pairs.
 Defined cases: vectors that are null, zero or hold null or non-finite components, a null
 label or a null id link with nothing. Vectors of different lengths don't link. Repeated
 rows are one vector, which each of them reports. Copies of a vector under other ids are
-compared once and counted as links of each other.
+compared once and counted as links of each other. A cosine of just the threshold links. An
+empty table gives an empty one; only id, label and vector are read, so other columns cannot
+clash.
 """
 
 from __future__ import annotations

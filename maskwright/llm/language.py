@@ -8,7 +8,10 @@ language, chosen by a hash of the text, each machine in a task of its own. Predi
 one pass over the texts without a shuffle.
 
 Defined cases: a text that is null or has no letter is ``und`` with the score 0. Null labels
-are none. With one language only, that one is predicted; with none, ``und``.
+are none. With one language only, that one is predicted; with none, ``und``. Equal votes go to
+the larger sum of likelihoods, then to the first name. Texts are read whole. Repeated rows are
+predicted each by itself, but copies of a text are chosen for the fit together. An empty table
+gives an empty one. Predictions are column expressions, so other columns cannot clash.
 """
 
 from __future__ import annotations

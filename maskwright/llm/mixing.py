@@ -10,7 +10,9 @@ buckets, and only the documents of one bucket are ordered together.
 
 Defined cases: a null text has no words. A document without words is never taken. A null
 source is a source of its own, the last one. Repeated rows are documents like others. A
-source without words has the target 0. An empty table gives an empty mix.
+source without words has the target 0. An empty table gives an empty mix. Documents of equal
+hashes stand in the order of their sizes; equal ones are interchangeable. Texts are counted
+whole, however long. Other columns stay as they are.
 """
 
 from __future__ import annotations

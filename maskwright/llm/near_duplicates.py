@@ -10,7 +10,9 @@ and without punctuation, counted exactly on whole texts.
 
 Defined cases: a null text counts as empty. Texts without words are near-duplicates of equal
 texts only. Rows of one id are one document. A document whose id is null is named by a hash
-of its text. Repeated rows keep their number in the result. An empty table gives none.
+of its text. Repeated rows keep their number in the result. An empty table gives none. Texts
+are read whole. A class is named by its smallest id. Other columns stay as they are where
+documents are dropped, and are not read otherwise.
 """
 
 from __future__ import annotations

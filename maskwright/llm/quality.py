@@ -12,7 +12,9 @@ averaged. Scoring needs one pass over the texts and no shuffle.
 
 Defined cases: a null text counts as empty and still has a score. Labels that are null are
 none; of several labels of one id the largest counts. Without labels of both classes every
-score is 0.5.
+score is 0.5. Texts are read whole, in overlapping parts if they are long. Repeated rows count,
+and are scored, each by itself, but copies of a text are chosen for the fit together. An empty
+table gives an empty one. Scores are column expressions, so other columns cannot clash.
 """
 
 from __future__ import annotations

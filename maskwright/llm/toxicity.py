@@ -30,10 +30,11 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
-from itertools import product
+from itertools import product, repeat
 from statistics import multimode
 
 import numpy as np
@@ -54,7 +55,7 @@ LOOKALIKES = {
 SEPARATORS = ".-_*'~·"
 #: Labelled rows of a class that the scores are fitted on, at most.
 SAMPLE = 20_000
-BUCKETS = 1 << 20
+BUCKETS = 1 << 21
 #: Standard errors by which log-odds are lowered, so that rare words prove little.
 CAUTION = 2.0
 READINGS = 3
@@ -63,8 +64,8 @@ SPACED_READINGS = 24
 #: Tokens kept with their evidence by a task, and the longest that is kept.
 KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 SYMBOLS = 64
-#: Letters of beginnings and endings that are scored, and of pieces within a word.
-EDGES, PIECES = range(4, 10), (5, 7)
+#: Letters of beginnings and endings that are scored, and of the pieces within longer words.
+EDGES, PIECE = range(4, 10), 5
 
 _EDGE = frozenset(".,;:!?\"')]")
 _WORD = re.compile(r"\w")
@@ -352,15 +353,15 @@ class _Kept(dict):
 
 
 def _buckets(word: str) -> list[int]:
-    """The buckets of what is scored of a word: the whole, beginnings, endings, pieces."""
-    forms = {f"^{word}$"}
-    for n in EDGES:
-        if n <= len(word):
-            forms.add(f"^{word[:n]}")
-            forms.add(f"{word[-n:]}$")
-    for n in PIECES:
-        forms.update(word[i : i + n] for i in range(len(word) - n + 1))
-    return [xxhash.xxh3_64_intdigest(form) % BUCKETS for form in sorted(forms)]
+    """The buckets of what is scored of a word: the whole, beginnings, endings, and the pieces of
+    a word that is longer than these."""
+    size, digest = len(word), xxhash.xxh3_64_intdigest
+    forms = [f"^{word}$"]
+    for n in EDGES[: max(0, size - EDGES.start + 1)]:
+        forms += (f"^{word[:n]}", f"{word[-n:]}$")
+    if size >= EDGES.stop:
+        forms += [word[i : i + PIECE] for i in range(size - PIECE + 1)]
+    return [digest(form) % BUCKETS for form in forms]
 
 
 @dataclass
@@ -377,6 +378,7 @@ class Model:
         self.decoder = Decoder(self.counts)
         self.kept = _Kept(self.speaking)
         self.restored = _Kept(self.readings)
+        self.numbered = _Kept(self.packed)
 
     def __getstate__(self):
         return self.counts, self.evidence, self.a, self.b
@@ -390,8 +392,7 @@ class Model:
 
     def word(self, word: str) -> float:
         """The strongest evidence of a word."""
-        evidence = self.evidence
-        return max(evidence.get(bucket, 0.0) for bucket in _buckets(word))
+        return max(map(self.evidence.get, _buckets(word), repeat(0.0)))
 
     def words_of(self, token: str) -> list[str]:
         """The words of a token and of the readings of what is hidden in it."""
@@ -410,6 +411,10 @@ class Model:
         runs = {*_single_runs(tokens), *spaced_runs(text)}
         return [word for run in runs for word in self.restored[run]]
 
+    def packed(self, token: str) -> bytes:
+        """The buckets of its words, as 32 bits each."""
+        return array("i", [b for word in self.words_of(token) for b in _buckets(word)]).tobytes()
+
     def words(self, text: str | None) -> set[str]:
         """The words of a text and of the readings of what is hidden in it."""
         lower = (text or "").lower()
@@ -419,6 +424,14 @@ class Model:
             found.update(self.words_of(token))
         return found
 
+    def buckets(self, text: str | None) -> np.ndarray:
+        """The buckets of all of these words, ascending and distinct."""
+        lower = (text or "").lower()
+        tokens = lower.split()
+        parts = [*map(self.numbered.__getitem__, set(tokens))]
+        parts += [array("i", _buckets(w)).tobytes() for w in self.words_of_runs(lower, tokens)]
+        return np.unique(np.frombuffer(b"".join(parts), np.int32))
+
     def strength(self, text: str | None) -> float:
         """The evidence of the strongest word, and a little of the next two."""
         lower = (text or "").lower()
@@ -479,8 +492,7 @@ def train_toxicity(examples: DataFrame, counts: np.ndarray) -> Model:
         found, rows = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
         for part in parts:
             for text, label in zip(part["text"], part["label"]):
-                at = [bucket for word in blank.words(text) for bucket in _buckets(word)]
-                found[int(label > 0), np.unique(at).astype(int)] += 1
+                found[int(label > 0), blank.buckets(text)] += 1
                 rows[int(label > 0)] += 1
         at = np.flatnonzero(found.any(axis=0))
         yield pd.DataFrame({"bucket": at, "clean": found[0, at], "toxic": found[1, at]})

@@ -1,0 +1,60 @@
+"""Every query on tables that have more columns, with the names that operators use inside."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from maskwright.llm.queries import QUERIES
+from tests.llm.test_classifiers import SOUNDS, prose
+
+NAMES = (
+    "id", "text_", "key", "digest", "label", "draw", "shard", "spans", "both", "ids", "bits", "part",
+    "vector", "norm", "first", "tile", "bucket", "table", "class_id", "component_id", "shingles", "value",
+    "count", "size", "target", "taken", "position", "score", "found", "conversation", "audit", "place",
+    "edit", "line", "copy", "damage", "repeats", "_marked", "secrets", "a.b",
+)
+
+
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    rng = random.Random(12)
+    docs = [
+        (i, prose(rng, SOUNDS[lang], 60) + rng.choice(["", " idiot", " mail a@b.example", " AKIA" + "A1" * 9]), lang, f"s{i % 3}")
+        for i, lang in ((i, rng.choice(["en", "de", "fr"])) for i in range(80))
+    ]
+    docs += [(80 + i, docs[i][1], "en", "s0") for i in range(10)]
+    tables = {
+        "documents": spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string"),
+        "labels": spark.createDataFrame(
+            [(i, i % 2, int("idiot" in docs[i][1])) for i in range(80)], "doc_id bigint, quality int, toxic int"
+        ),
+        "embeddings": spark.createDataFrame(
+            [(i, [rng.gauss(0, 1) for _ in range(8)], i % 2) for i in range(60)], "vec_id bigint, embedding array<float>, label int"
+        ),
+        "conversations": spark.createDataFrame(
+            [(c, t, ["user", "assistant"][t % 2], f"Turn {t} of {c}.") for c in range(30) for t in range(5)],
+            "conv_id bigint, turn bigint, role string, text string",
+        ),
+    }
+    plain, more = (str(tmp_path_factory.mktemp(name)) for name in ("plain", "more"))
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{plain}/{name}.parquet")
+        taken = {column.lower() for column in df.columns}
+        extra = [F.lit(f"own {n}").alias(n) for n in NAMES if n not in taken]
+        df.select("*", *extra).coalesce(1).write.parquet(f"{more}/{name}.parquet")
+    return plain, more
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("op")))
+def test_more_columns_change_nothing(spark, folders, name):
+    results = [
+        sorted(
+            (tuple(round(v, 6) if isinstance(v, float) else v for v in row) for row in QUERIES[name](spark, folder).collect()),
+            key=repr,
+        )
+        for folder in folders
+    ]
+    assert results[0] == results[1] and results[0]

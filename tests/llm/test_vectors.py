@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -120,3 +121,49 @@ def test_recall(spark, tmp_path, monkeypatch, sample, tiles):
         hits += len({r["vec_id"] for r in own} & set(exact))
         total += len(best)
     assert hits / total >= 0.95
+
+
+def test_recall_of_the_buckets_alone(spark, tmp_path, monkeypatch):
+    """Without the sample's candidates, on vectors without any structure."""
+    monkeypatch.setattr(A, "SAMPLE", 300)
+    monkeypatch.setattr(A, "TILE_VECTORS", 200)
+    monkeypatch.setattr(A, "TILE_QUERIES", 40)
+    monkeypatch.setattr(
+        A, "_sampled", lambda queries, *_: queries.sparkSession.createDataFrame(
+            [], "query_id bigint, id bigint, score double"
+        )
+    )
+    rng = random.Random(11)
+    given = [(i, [rng.gauss(0, 1) for _ in range(16)], None) for i in range(4000)]
+    spark.createDataFrame(given, SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    values = np.array([v for _, v, _ in given], np.float32).astype(float)
+    hits = total = 0
+    found: dict[int, set] = {}
+    for row in op6_nearest(spark, str(tmp_path)).collect():
+        found.setdefault(row["query_id"], set()).add(row["vec_id"])
+    for i in range(0, 4000, 20):
+        scores = values @ values[i]
+        scores[i] = -np.inf
+        hits += len(found[i] & set(np.argsort(-scores)[: A.K].tolist()))
+        total += A.K
+    assert hits / total >= 0.9, hits / total
+
+
+def test_vectors_go_where_they_are_asked_for(spark, monkeypatch):
+    """A bucket's vectors meet the parts of its own visits, and those of no other bucket."""
+    monkeypatch.setattr(A, "TILE_VECTORS", 10)
+    monkeypatch.setattr(A, "TILE_QUERIES", 5)
+    cells = [("a", 40, 12), ("b", 7, 1), ("never", 100, 0)]
+    index = [(3, 0, c, i, [1.0]) for c, n, _ in cells for i in range(n)]
+    visits = [(3, 0, c, q, [1.0], 0.0) for c, _, n in cells for q in range(n)]
+    vectors, asked = A._tiles(
+        spark.createDataFrame(index, "length int, table int, cells string, id bigint, vector array<float>"),
+        spark.createDataFrame(
+            visits, "length int, table int, cells string, query_id bigint, query array<float>, least double"
+        ),
+    )
+    assert {r["cells"]: r["count"] for r in vectors.groupBy("cells").count().collect()} == {"a": 120, "b": 7}
+    assert {r["cells"]: r["count"] for r in asked.groupBy("cells").count().collect()} == {"a": 48, "b": 1}
+    # Every vector of a bucket meets every visit of it once.
+    keys = ["length", "table", "cells", "piece", "query_part"]
+    assert vectors.join(asked, keys).count() == 40 * 12 + 7
