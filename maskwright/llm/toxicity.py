@@ -64,8 +64,9 @@ SPACED_READINGS = 24
 #: Tokens kept with their evidence by a task, and the longest that is kept.
 KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 SYMBOLS = 64
-#: Letters of beginnings and endings that are scored, and of the pieces within longer words.
-EDGES, PIECE = range(4, 10), 5
+#: Letters of beginnings and endings that are scored; the longest words that are scored by these
+#: and as a whole only, and the letters of the pieces within longer ones.
+EDGES, WHOLE, PIECE = range(4, 8), 9, 5
 
 _EDGE = frozenset(".,;:!?\"')]")
 _WORD = re.compile(r"\w")
@@ -322,8 +323,14 @@ def spaced_runs(text: str) -> list[str]:
                     found.append(" ".join(part))
         run.clear()
 
-    ended = True
+    ended, before = True, ""
     for gap, token in _TOKEN.findall(text.lower()):
+        if len(token) > 1 and token[:2].isalnum():
+            close()
+            before = token
+            continue
+        if before:
+            ended, before = _core(before) != before, ""
         inner = token.lstrip(_OPEN) or token
         core = _core(inner) or inner
         if len(core) == 1:
@@ -359,7 +366,7 @@ def _buckets(word: str) -> list[int]:
     forms = [f"^{word}$"]
     for n in EDGES[: max(0, size - EDGES.start + 1)]:
         forms += (f"^{word[:n]}", f"{word[-n:]}$")
-    if size >= EDGES.stop:
+    if size > WHOLE:
         forms += [word[i : i + PIECE] for i in range(size - PIECE + 1)]
     return [digest(form) % BUCKETS for form in forms]
 
@@ -401,6 +408,9 @@ class Model:
 
     def speaking(self, token: str) -> tuple[tuple[str, float], ...]:
         """Those of its words that speak for toxicity, and how strongly."""
+        if token.isalpha() and not _REPEAT.search(token):
+            strength = self.word(token)
+            return ((token, strength),) if strength else ()
         found = ((word, self.word(word)) for word in self.words_of(token))
         return tuple((word, strength) for word, strength in found if strength > 0)
 
