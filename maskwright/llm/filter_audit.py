@@ -166,15 +166,17 @@ def removals(postings: DataFrame, filters: int, marks: int) -> DataFrame:
                     [pa.array(list(c), kind) for c, kind in zip(zip(*out), _SIZE_KINDS)], _SIZES
                 )
 
-    kind = "part string, documents bigint, filter int, earlier int, removed bigint, " \
-        "together bigint, marked array<bigint>"
-    sizes = postings.mapInArrow(merge, kind)
+    sizes = postings.mapInArrow(merge, _SIZE_SCHEMA)
     return sizes.groupBy("part", "filter", "earlier").agg(
         *(F.sum(name).alias(name) for name in ("documents", "removed", "together")),
         F.array(*(F.sum(F.col("marked")[i]) for i in range(marks))).alias("marked"),
     )
 
 
+_SIZE_SCHEMA = (
+    "part string, documents bigint, filter int, earlier int, removed bigint, together bigint, "
+    "marked array<bigint>"
+)
 _SIZES = ["part", "documents", "filter", "earlier", "removed", "together", "marked"]
 _SIZE_KINDS = (
     pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()),

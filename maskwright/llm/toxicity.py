@@ -383,6 +383,8 @@ class Model:
 
     def __post_init__(self):
         self.decoder = Decoder(self.counts)
+        # Words stand in several tokens, with and without marks.
+        self.known = _Kept(self.word)
         self.kept = _Kept(self.speaking)
         self.restored = _Kept(self.readings)
         self.numbered = _Kept(self.packed)
@@ -409,9 +411,9 @@ class Model:
     def speaking(self, token: str) -> tuple[tuple[str, float], ...]:
         """Those of its words that speak for toxicity, and how strongly."""
         if token.isalpha() and not _REPEAT.search(token):
-            strength = self.word(token)
+            strength = self.known[token]
             return ((token, strength),) if strength else ()
-        found = ((word, self.word(word)) for word in self.words_of(token))
+        found = ((word, self.known[word]) for word in self.words_of(token))
         return tuple((word, strength) for word, strength in found if strength > 0)
 
     def words_of_runs(self, text: str, tokens: list[str]) -> list[str]:
