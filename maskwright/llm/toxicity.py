@@ -66,7 +66,7 @@ KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 SYMBOLS = 64
 #: Letters of beginnings and endings that are scored; the longest words that are scored by these
 #: and as a whole only, and the letters of the pieces within longer ones.
-EDGES, WHOLE, PIECE = range(4, 8), 9, 5
+EDGES, WHOLE, PIECE = range(4, 7), 9, 5
 
 _EDGE = frozenset(".,;:!?\"')]")
 _WORD = re.compile(r"\w")
