@@ -258,6 +258,8 @@ ORACLES = {
     "(DATE '2001-02-03' + (o_orderkey % 9999)::INTEGER)::VARCHAR AS day, "
     "regexp_replace(regexp_replace(strftime(make_timestamp(o_orderkey * 3600000001), "
     "'%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '[.]$', '') AS t FROM orders)",
+    "stream_dictionary": f"SELECT {sha256('v')} AS hash, v AS plaintext FROM (SELECT DISTINCT "
+    "unnest([o_orderpriority, o_orderstatus, o_custkey::VARCHAR]) AS v FROM orders)",
     "hash_files_parquet": "SELECT 'success' AS route, o_orderpriority, o_orderkey, "
     f"{sha256('o_orderstatus')} AS o_orderstatus FROM orders WHERE o_orderpriority <> '3-MEDIUM' "
     "UNION ALL SELECT DISTINCT 'failure', o_orderpriority, NULL, NULL FROM orders "

@@ -37,7 +37,13 @@ from maskwright.sources import (
 from maskwright.sources.logs import read_logs
 from maskwright.sources.routing import LINE
 from maskwright.sources.scratch import new_folder
-from maskwright.streaming import start_routing, start_writing, stream_lines, stream_records
+from maskwright.streaming import (
+    distinct_pairs,
+    start_routing,
+    start_writing,
+    stream_lines,
+    stream_records,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -465,6 +471,27 @@ def stream_routing(spark, folder):
     )
 
 
+@query
+def stream_dictionary(spark, folder):
+    """Each pair once, over batches of one file that share most of their values."""
+    orders = table(spark, folder, "orders").select("o_orderpriority", "o_orderstatus", "o_custkey")
+    path, out = new_folder(spark, "orders"), new_folder(spark, "pairs")
+    files = orders.withColumn("part", F.col("o_custkey") % 3)
+    write_records(files, path, "json", partition_by=["part"])
+    schema = "o_orderpriority string, o_orderstatus string, o_custkey bigint"
+    stream = stream_records(spark, f"{path}/*", "json", schema, files_per_trigger=2)
+    paths = {name: f"/{name}" for name in orders.columns}
+    started = start_writing(
+        distinct_pairs(key_hash_dictionary(stream, paths, key=KEY)),
+        f"{out}/data",
+        "parquet",
+        checkpoint=f"{out}/checkpoint",
+        available_now=True,
+    )
+    started.awaitTermination()
+    return spark.read.schema("hash string, plaintext string").parquet(f"{out}/data")
+
+
 # Made-up members, drawn from the ids of a table.
 
 

@@ -1,4 +1,5 @@
 from maskwright.streaming.streams import (
+    distinct_pairs,
     start_routing,
     start_routing_files,
     start_writing,
@@ -8,6 +9,7 @@ from maskwright.streaming.streams import (
 )
 
 __all__ = [
+    "distinct_pairs",
     "start_routing",
     "start_routing_files",
     "start_writing",

@@ -1,7 +1,7 @@
-"""The same operators on streams of files: stateless, append only.
+"""The same operators on streams of files: append only, and stateless but for distinct pairs.
 
 Operators take and return DataFrames, so they apply to a streaming one as they
-are. What differs is here: the source, the sink, and routing batch by batch.
+are. What differs is here: the source, the sink, distinct pairs, and routing batch by batch.
 """
 
 from __future__ import annotations
@@ -90,6 +90,32 @@ def start_writing(
     return _triggered(writer, available_now).start()
 
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+_ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PAIR = "__pair"
+
+
+def distinct_pairs(pairs: DataFrame) -> DataFrame:
+    """The pairs of a streaming dictionary, or any rows, each once over all batches and restarts.
+
+    The state holds 32 bytes for each pair seen, SHA-256 of its columns, in the keys of Spark's
+    state store: kept on disk by RocksDB, whose filters tell most new pairs without a look-up, and
+    whose keys decide. It grows with the distinct pairs. Sessions that name no other store
+    get RocksDB, as the one on the heap would hold all of it in memory.
+    """
+    spark = pairs.sparkSession
+    if spark.conf.get(_STATE_STORE, _ON_HEAP).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_STATE_STORE, _ROCKS_DB)
+    name = _PAIR
+    while name in pairs.columns:
+        name += "_"
+    # As JSON, so that no two pairs look alike.
+    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    known = pairs.withColumn(name, F.unhex(F.sha2(text, 256)))
+    return known.dropDuplicates([name]).drop(name)
+
+
 def start_routing(
     lines: DataFrame,
     fmt: str,

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 from maskwright import hash_fields, key_hash_dictionary
+from maskwright.streaming import distinct_pairs, start_writing, stream_records
 from tests.fixtures import DIGESTS, KEY, SHA256_123_ADDRESS, VALUE
 
 SHA256 = DIGESTS["hash-sha256"]
@@ -92,3 +93,31 @@ def test_tokens_join_back_to_their_texts(spark):
     hashed = hash_fields(df, {"/v": "/v"}, key=KEY)
     back = hashed.join(words, hashed.v == words.hash).select("plaintext")
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_pairs_of_a_stream_come_once(spark, tmp_path):
+    """Over batches, and over a restart that knows of them by its checkpoint alone."""
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+
+    def run(files: dict[str, str]) -> list[str]:
+        for name, text in files.items():
+            (folder / name).write_text(text)
+        stream = stream_records(spark, str(folder), "json", "v string", files_per_trigger=1)
+        pairs = distinct_pairs(key_hash_dictionary(stream, {"v": "/v"}, key=KEY, algorithm="crc32"))
+        query = start_writing(
+            pairs, f"{out}/data", "parquet", checkpoint=f"{out}/checkpoint", available_now=True
+        )
+        query.awaitTermination()
+        return sorted(r["plaintext"] for r in spark.read.parquet(f"{out}/data").collect())
+
+    first = run({"a.json": '{"v":"x"}\n{"v":"y"}\n{"v":"x"}\n', "b.json": '{"v":"y"}\n{"v":"z"}\n{"v":null}\n'})
+    assert first == ["x", "y", "z"]
+    assert run({"c.json": '{"v":"z"}\n{"v":"w"}\n{"v":"w"}\n'}) == ["w", "x", "y", "z"]
+
+
+def test_columns_decide_together_which_rows_are_the_same(spark):
+    rows = [("a", "b"), ("a", None), (None, "a"), ('a","p":"b', None), ("a", "b")]
+    df = spark.createDataFrame(rows, "h string, `__pair` string")
+    kept = distinct_pairs(df)
+    assert kept.columns == ["h", "__pair"] and kept.count() == 4
