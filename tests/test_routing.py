@@ -64,7 +64,7 @@ def test_copies_of_a_line_spread_over_groups(spark, tmp_path):
     folder = put(tmp_path / "h", files)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
     try:
-        salted = routing._salted(read_lines(spark, folder).where(f"line = '{bad}'"))
+        salted = routing.salted(read_lines(spark, folder).where(f"line = '{bad}'"))
         groups = salted.groupBy("__salt").count().collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -90,7 +90,7 @@ def test_records_of_one_block_spread_over_groups(spark, tmp_path):
     folder = put(tmp_path / "one", {"a.csv": text, "b.csv": "id,name,size\nx,y,z\n"})
     reader = spark.read.schema(SCHEMA).option("header", "true").csv(f"{folder}/a.csv")
     parsed = reader.selectExpr("'u' AS unit", "0L AS block", "struct(*) AS __record")
-    groups = routing._salted(parsed).groupBy("__salt").count().collect()
+    groups = routing.salted(parsed).groupBy("__salt").count().collect()
     assert len(groups) == routing.SALTS and max(g["count"] for g in groups) < 60
 
 
