@@ -158,9 +158,18 @@ def split_files(
 ) -> Routed:
     """The same for files whose records are not their lines: CSV with a header,
     JSON over several lines, XML."""
-    reader = spark.read.format(fmt).schema(_with_corrupt(schema)).options(**_permissive(options))
+    checked, given = _with_corrupt(schema), _permissive(options)
     record = F.struct("*").alias(_RECORD)
-    parsed = reader.load(path).select(*place_columns(folders), record)
+
+    def loaded_by(read_as: T.StructType, mode: str) -> DataFrame:
+        reader = spark.read.format(fmt).schema(read_as).options(**{**given, "mode": mode})
+        return reader.load(path).select(*place_columns(folders), record)
+
+    kept = None
+    if _reads_again(fmt, options):
+        parsed, kept = loaded_by(schema, given["mode"]), loaded_by(schema, "DROPMALFORMED")
+    else:
+        parsed = loaded_by(checked, given["mode"])
     # Spark converts only the fields a query uses, and finds only their errors.
     # This comparison always holds, but makes it convert all of them.
     texts = [F.col(_RECORD)[field.name].cast("string") for field in schema.fields]
@@ -170,7 +179,17 @@ def split_files(
     extra = [name for name in loaded if name_folding()(name) not in named]
     found = {k: v for k, v in reader_options(options).items() if k.lower() != "linesep"}
     lines = read_lines(spark, path, options=found, folders=folders)
-    return _route(parsed, all_read, schema, lines, [], extra, made)
+    return _route(parsed, all_read, schema, lines, [], extra, made, kept)
+
+
+def _reads_again(fmt: str, options: Mapping[str, str] | None) -> bool:
+    """Whether the format's reader reads a file again for the text of each bad record in it.
+
+    That takes time in the square of these. So their text is not asked for: a unit has failed
+    if a reader that drops bad records gives fewer than one that keeps them.
+    """
+    many = {k.lower(): str(v).lower() for k, v in (options or {}).items()}.get("multiline")
+    return fmt.lower() == "xml" or (fmt.lower() == "json" and many == "true")
 
 
 #: Files without any record that are at most so large are opened to see whether that is so.
@@ -281,20 +300,29 @@ def _route(
     partition: list[str],
     extra: list[str] | None = None,
     made: Column | None = None,
+    kept: DataFrame | None = None,
 ) -> Routed:
     """A first job finds the failed units. Each task reduces its lines to one flag and one count
     for each unit before anything is shuffled, so one huge file is no hot spot. What it
-    finds is written to the checkpoint folder.
+    finds is written to the checkpoint folder. ``kept`` are the same records without bad ones, for
+    formats that are read without marks at these.
     """
     shared_folder(lines.sparkSession)
     fields = _fields(schema, partition)
     fields += [F.col(_RECORD)[name].alias(name) for name in extra or []]
-    failed = F.col(_RECORD)[_CORRUPT].isNotNull() & all_read
-    flagged = parsed.select(F.col(UNIT).alias(_FILE), failed.alias(_CORRUPT), *fields)
+    marked = all_read if kept is not None else F.col(_RECORD)[_CORRUPT].isNotNull() & all_read
+    flagged = parsed.select(F.col(UNIT).alias(_FILE), marked.alias(_CORRUPT), *fields)
     counted = F.sum(F.lit(1) if made is None else made).cast("bigint")
     units = flagged.groupBy(F.col(_FILE).alias(UNIT)).agg(
-        F.max(_CORRUPT).alias("failed"), counted.alias("record_count")
+        F.count_if(_CORRUPT).alias("marked"), counted.alias("record_count")
     )
+    if kept is None:
+        units = units.withColumn("failed", F.col("marked") > 0)
+    else:
+        whole = kept.groupBy(UNIT).agg(F.count_if(all_read).alias("whole"))
+        fewer = F.col("marked") > F.coalesce("whole", F.lit(0))
+        units = units.join(whole, UNIT, "left").withColumn("failed", fewer)
+    units = units.select(UNIT, "failed", "record_count")
     return _routed(units.checkpoint(), parsed, lines, fields)
 
 

@@ -309,3 +309,26 @@ def test_partition_folders(spark, tmp_path):
             assert sorted(routed.records.columns) == sorted(expected.columns)
             got = routed.records.select(expected.columns)
             assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+@pytest.mark.parametrize("fmt", ["xml", "json"])
+def test_a_file_of_bad_records_is_not_read_once_for_each(spark, tmp_path, fmt):
+    records = range(300)
+    if fmt == "xml":
+        text = "<rs>" + "".join(f"<r><a>x{i}</a></r>" for i in records) + "</rs>"
+        options = {"rowTag": "r"}
+    else:
+        text = "[" + ",".join(f'{{"a": "x{i}"}}' for i in records) + "]"
+        options = {"multiLine": "true"}
+    path = tmp_path / f"bad.{fmt}"
+    path.write_text(text)
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem
+
+    def read():
+        every = files.getAllStatistics()
+        return sum(one.getBytesRead() for one in every if one.getScheme() == "file")
+
+    before = read()
+    routed = split_files(spark, str(path), fmt, T.StructType.fromDDL("a bigint"), options=options)
+    assert routed.failed_units == 1 and routed.counts.count() == 0
+    assert read() - before < 40 * len(text)
