@@ -35,12 +35,17 @@ def key_hash_dictionary(
     algorithm: str | None = DEFAULT_ALGORITHM,
     attributes: Mapping[str, str] | None = None,
     reference_crc32: bool = False,
+    together: bool = False,
 ) -> DataFrame:
     """One row for each non-empty value that the paths select.
 
     ``paths`` goes from a free label to a path; labels only order the pairs of a
     row. Repeated values give repeated pairs. The table is read once and nothing
     is shuffled: all values of a row are exploded, filtered, and hashed after that.
+
+    ``together`` is for values that come often, such as words: each task sorts its values before
+    it hashes them, so that files of the pairs hold equal ones side by side, in few bytes. The
+    order of the rows is lost. Streams can't be sorted.
     """
     checked_key(key)
     require_some(paths)
@@ -54,6 +59,8 @@ def key_hash_dictionary(
     plaintext = F.col(quoted(plaintext_name))
     pairs = df.select(F.explode(texts).alias(plaintext_name))
     pairs = pairs.where(plaintext.isNotNull() & (plaintext != ""))
+    if together:
+        pairs = pairs.sortWithinPartitions(plaintext)
     return pairs.select(token(plaintext, key, chosen).alias(hash_name), plaintext)
 
 

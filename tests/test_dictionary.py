@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from acceptance.queries import QUERIES
 from maskwright import hash_fields, key_hash_dictionary
 from maskwright.streaming import distinct_pairs, start_writing, stream_records
 from tests.fixtures import DIGESTS, KEY, SHA256_123_ADDRESS, VALUE
@@ -121,3 +122,17 @@ def test_columns_decide_together_which_rows_are_the_same(spark):
     df = spark.createDataFrame(rows, "h string, `__pair` string")
     kept = distinct_pairs(df)
     assert kept.columns == ["h", "__pair"] and kept.count() == 4
+
+
+def test_equal_pairs_stand_together_where_asked(spark):
+    df = spark.range(0, 600, 1, 3).selectExpr("concat('w', id % 7) AS v")
+    plain = key_hash_dictionary(df, {"v": "/v"}, key=KEY)
+    pairs = key_hash_dictionary(df, {"v": "/v"}, key=KEY, together=True)
+    assert sorted(pairs.collect()) == sorted(plain.collect())
+    for part in pairs.rdd.glom().collect():
+        assert len(part) == 200 and part == sorted(part, key=lambda row: row["plaintext"])
+
+
+def test_words_are_sorted_in_their_tasks(spark):
+    pairs = QUERIES["dictionary_of_words"](spark, "/root/testdata/sf0.001")
+    assert "Sort [" in pairs._jdf.queryExecution().executedPlan().toString()
