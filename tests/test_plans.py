@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +75,18 @@ def test_arrow_digests_share_one_python_pass(spark):
     mapping = {"/c_name": "/c_name", "/c_mktsegment": "/c_mktsegment"}
     hashed = hash_fields(customer, mapping, key=KEY, algorithm="crc32c")
     assert plan(hashed).count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("name", ["lineitem_sha512"])
+def test_lines_of_a_supplier_stand_together_in_each_task(spark, tmp_path, name):
+    rows = spark.range(0, 900, 1, 3).selectExpr(
+        "id AS l_orderkey", "id % 50 AS l_partkey", "if(id % 9 = 0, null, id % 7) AS l_suppkey",
+        "cast(id % 4 AS int) AS l_linenumber", "id * 2 AS l_tax",
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    lines = QUERIES[name](spark, str(tmp_path))
+    parts = [part for part in lines.rdd.glom().collect() if part]
+    assert sum(map(len, parts)) == 900 and "Exchange" not in plan(lines)
+    for part in parts:
+        runs = [token for token, _ in groupby(part, key=lambda row: row["l_suppkey"])]
+        assert len(runs) == len(set(runs)) == 8
