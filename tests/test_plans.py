@@ -77,7 +77,7 @@ def test_arrow_digests_share_one_python_pass(spark):
     assert plan(hashed).count("ArrowEvalPython") == 1
 
 
-@pytest.mark.parametrize("name", ["lineitem_sha512", "lineitem_sha384"])
+@pytest.mark.parametrize("name", ["lineitem_sha512", "lineitem_sha384", "lineitem_sha256"])
 def test_lines_of_a_supplier_stand_together_in_each_task(spark, tmp_path, name):
     rows = spark.range(0, 900, 1, 3).selectExpr(
         "id AS l_orderkey", "id % 50 AS l_partkey", "if(id % 9 = 0, null, id % 7) AS l_suppkey",
