@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 
 from acceptance.queries import QUERIES
@@ -136,3 +139,23 @@ def test_equal_pairs_stand_together_where_asked(spark):
 def test_words_are_sorted_in_their_tasks(spark):
     pairs = QUERIES["dictionary_of_words"](spark, "/root/testdata/sf0.001")
     assert "Sort [" in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stream_commits_as_many_partitions_of_state_as_there_are_cores(spark, tmp_path):
+    orders = spark.range(60).selectExpr(
+        "concat(id % 3, '-P') AS o_orderpriority", "if(id % 2 = 0, 'F', null) AS o_orderstatus",
+        "id % 20 AS o_custkey",
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "40")
+    try:
+        pairs = QUERIES["stream_dictionary"](spark, str(tmp_path))
+        assert spark.conf.get(setting) == "40"
+    finally:
+        spark.conf.set(setting, before)
+    assert pairs.count() == pairs.distinct().count() == 3 + 1 + 20
+    out = Path(urlparse(pairs.inputFiles()[0]).path).parent.parent
+    state = [path for path in (out / "checkpoint/state/0").iterdir() if path.name.isdigit()]
+    assert len(state) == spark.sparkContext.defaultParallelism
