@@ -93,9 +93,13 @@ def personal_data(
     free = F.when(F.size(base) > 0, uncovered(F.col("all"), BASE))
     found = found.withColumns({"base": base, "free": free.otherwise(tokens)})
     each = F.concat("base", "free")
+    # The length is bound too: within the transform it would be counted again for each value.
     described = bound(
-        chunks_of(F.col("text")),
-        lambda chunks: F.transform(each, lambda s: _mention(chunks, F.length("text"), s)),
+        F.length("text"),
+        lambda length: bound(
+            chunks_of(F.col("text")),
+            lambda chunks: F.transform(each, lambda s: _mention(chunks, length, s)),
+        ),
     )
     nothing = F.array().cast(MENTIONS)
     mentions = F.when(F.size(each) > 0, described).otherwise(nothing)

@@ -205,3 +205,17 @@ def test_work_grows_with_the_values_of_a_text(spark, tmp_path):
     seconds(50)
     few, many = seconds(4_000), seconds(16_000)
     assert many < 8 * few + 2, (few, many)
+
+
+def test_text_without_values_is_not_counted_for_each_value(spark, tmp_path):
+    values = " ".join(f"mail a{i}@b.example or ID-{i:06d}-X now" for i in range(150))
+
+    def seconds(words: int) -> float:
+        folder = tmp_path / str(words)
+        write(spark, folder, [(1, values + " word" * words)])
+        start = time.perf_counter()
+        op8_personal_data(spark, str(folder)).collect()
+        return time.perf_counter() - start
+
+    short, long = seconds(1), seconds(400_000)
+    assert long < short + 40, (short, long)
